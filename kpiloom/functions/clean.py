@@ -33,8 +33,21 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _sql_list(values: list[str]) -> str:
+    return ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
+
+
+_MARKER_SQL = _sql_list(ALL_NULL_TOKENS)
+
+
 def null_markers(c: Column | str, markers: list[str] | None = None) -> Column:
-    """Whole-cell missing markers -> null (exact match, no trimming)."""
+    """Whole-cell missing markers -> null (exact match, no trimming).
+
+    Given a column name, the test is one parsed ``IN`` (optimised to a hash
+    set) rather than one literal object per marker."""
+    if isinstance(c, str) and markers is None:
+        name = "`" + c.replace("`", "``") + "`"
+        return F.expr(f"CASE WHEN {name} IN ({_MARKER_SQL}) THEN NULL ELSE {name} END")
     c = _c(c)
     return F.when(~c.isin(markers or ALL_NULL_TOKENS), c)
 

@@ -137,7 +137,7 @@ def wide_to_long(df: DataFrame, entries: list[Entry], policy: str = "row",
 def null_marker_strings(df: DataFrame, exclude: list[str] | None = None) -> DataFrame:
     """Apply ``null_markers`` to every string column (one projection)."""
     ex = set(exclude or [])
-    return df.select(*[null_markers(F.col(f.name)).alias(f.name)
+    return df.select(*[null_markers(f.name).alias(f.name)
                        if f.dataType.simpleString() == "string" and f.name not in ex else F.col(f.name)
                        for f in df.schema.fields])
 

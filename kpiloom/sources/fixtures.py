@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.sources.tables import Tables
-from kpiloom.operators.broadcast import sized_broadcast
 
 
 def _s(c: Column) -> Column:
@@ -24,9 +23,10 @@ def base(t: Tables) -> DataFrame:
     od = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     cu = t.customer.select("c_custkey", "c_mktsegment")
     su = t.supplier.select("s_suppkey", "s_nationkey")
-    # nation / region are fixed-size dimensions: broadcast behind a row-count check
-    na = sized_broadcast(t.nation.select("n_nationkey", "n_name", "n_regionkey"), 10_000)
-    re = sized_broadcast(t.region.select("r_regionkey", "r_name"), 10_000)
+    # nation / region are tiny: the planner's size-based broadcast (file statistics
+    # against spark.sql.autoBroadcastJoinThreshold) picks them up without a hint
+    na = t.nation.select("n_nationkey", "n_name", "n_regionkey")
+    re = t.region.select("r_regionkey", "r_name")
     j = (li.join(su, li.l_suppkey == su.s_suppkey)
            .join(na, F.col("s_nationkey") == F.col("n_nationkey"))
            .join(re, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -53,14 +53,12 @@ def wide(t: Tables) -> DataFrame:
     """W: counts per (school year, school, segment) plus a school total row."""
     ids = ["yr", "county", "district", "supp"]
     rf = F.col("rf")
-    per_seg = base(t).groupBy(*ids, "seg").agg(
+    # one scan, one shuffle: both grouping levels come out of a single aggregate
+    # (Expand + partial aggregation before the exchange)
+    g = base(t).groupingSets([[*ids, "seg"], ids], *ids, "seg").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(rf == "A").alias("a"),
         F.count_if(rf == "N").alias("nn"), F.count_if(rf == "R").alias("r"),
         F.sum("q").alias("qs"))
-    # the all-segments row is rolled up from the (much smaller) per-segment result
-    per_school = per_seg.groupBy(*ids).agg(
-        *[F.sum(c).alias(c) for c in ["n", "a", "nn", "r", "qs"]]).withColumn("seg", F.lit(None).cast("string"))
-    g = per_seg.unionByName(per_school)
     n, yr, seg = F.col("n"), F.col("yr"), F.col("seg")
     small = n < 10
 
