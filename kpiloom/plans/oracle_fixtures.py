@@ -124,3 +124,23 @@ def ctes(*names: str) -> str:
         visit(n)
     parts = [FX_DIMS if n == "dm" else FX[n] for n in order]
     return "WITH " + ",\n".join(parts) + "\n"
+
+
+# --- generic source pipeline (oracle side) ------------------------------------
+W_IDS_SQL = ", ".join(f"{nm(c)} AS {c}" for c in _W_IDS)
+W_FLAG_SQL = flag(nm("suppressed"))
+DEFAULT_SOURCE_FILE_SQL = "'source_' || substr(school_year, 5, 4) || '.csv'"
+
+
+def pipeline(name: str, prep_select: str, prep_from: str, prep_deps: list[str], prep_cols: list[str],
+             measures: list[str], entries: list[tuple], policy: str = "row", defaults: list[tuple] | None = None,
+             source_file_sql: str = DEFAULT_SOURCE_FILE_SQL, skip: bool = True,
+             year_sql: str | None = None) -> tuple[str, str]:
+    """(WITH-clause, SELECT) of a source: prepare -> ids -> mapping -> emission."""
+    from kpiloom.plans.sqltext import emit, ids_select
+    define(f"{name}_prep", f"SELECT {prep_select} FROM {prep_from}", prep_deps)
+    where = f" WHERE {not_aggregate()}" if skip else ""
+    define(f"{name}_ids", f"SELECT {ids_select(prep_cols, year_sql or yearx('school_year'), source_file_sql, measures)} "
+           f"FROM {name}_prep{where}", [f"{name}_prep"])
+    define(f"{name}_map", mapping_select(f"{name}_ids"), [f"{name}_ids", "dm"])
+    return ctes(f"{name}_map"), emit(f"{name}_map", entries, policy, defaults)

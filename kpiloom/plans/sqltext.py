@@ -111,3 +111,63 @@ def unpivot(src: str, items: list[tuple[str, str]], extra: str = "") -> str:
     parts = [f"SELECT *, {m} AS metric_name, CAST({v} AS DOUBLE) AS metric_value, {i} AS entry_no{extra} FROM {src}"
              for i, (m, v) in enumerate(items)]
     return "\nUNION ALL ".join(parts)
+
+
+# --- generic KPI pipeline (oracle side) -------------------------------------
+NULL_S = "CAST(NULL AS VARCHAR)"
+PASSTHROUGH = ["county_number", "county_name", "district_number", "school_code", "state_school_id",
+               "nces_id", "co_op", "co_op_code", "school_type"]
+KPI_LIST = ["year", "metric", "district", "school_name", "student_group", "value", "suppressed", "county_number",
+            "county_name", "district_number", "school_id", "school_code", "state_school_id", "nces_id", "co_op",
+            "co_op_code", "school_type", "source_file"]
+
+
+def ids_select(src_cols: list[str], year_sql: str, source_file_sql: str, measures: list[str],
+               district_sql: str = "district_name", flag_sql: str = "suppressed") -> str:
+    """Select list of the id template over a prepared wide CTE."""
+    have = set(src_cols)
+    parts = [f"{year_sql} AS year", f"{district_sql} AS district", f"{sid('school_code') if 'school_code' in have else NULL_S} AS school_id",
+             f"{sname('school_name') if 'school_name' in have else sname(NULL_S)} AS school_name",
+             f"{'demographic' if 'demographic' in have else NULL_S} AS demographic", f"{flag_sql} AS suppressed"]
+    parts += [f"{c if c in have else NULL_S} AS {c}" for c in PASSTHROUGH]
+    parts.append(f"{source_file_sql} AS source_file")
+    parts += measures
+    return ", ".join(parts)
+
+
+def emit(src: str, entries: list[tuple], policy: str = "row", defaults: list[tuple] | None = None) -> str:
+    """Emission policy over a CTE carrying the id template + student_group.
+
+    entries: (metric_sql, value_sql[, keep_sql]); defaults: (metric_sql[, keep_sql])."""
+    ents = []
+    for e in entries:
+        m, v = e[0], f"CAST({e[1]} AS DOUBLE)"
+        k = e[2] if len(e) > 2 and e[2] is not None else f"({v}) IS NOT NULL"
+        ents.append((m, v, f"COALESCE({k}, FALSE)"))
+    has_any = "(" + " OR ".join(k for _, _, k in ents) + ")"
+    base = [c for c in KPI_LIST if c not in ("metric", "value")]
+    parts = [f"SELECT {', '.join(base)}, CAST({m} AS VARCHAR) AS metric, {v} AS value, {k} AS _keep, {has_any} AS _has_any, 0 AS _dflt FROM {src}"
+             for m, v, k in ents]
+    for d in (defaults or []):
+        m = d[0]
+        k = f"COALESCE({d[1]}, FALSE)" if len(d) > 1 and d[1] is not None else "TRUE"
+        parts.append(f"SELECT {', '.join(base)}, CAST({m} AS VARCHAR) AS metric, CAST(NULL AS DOUBLE) AS value, {k} AS _keep, "
+                     f"{has_any} AS _has_any, 1 AS _dflt FROM {src}")
+    u = "(" + "\nUNION ALL ".join(parts) + ") u"
+    sel = {c: c for c in KPI_LIST}
+    if policy == "row":
+        sel["value"] = "CASE WHEN suppressed = 'Y' THEN NULL ELSE value END"
+        where = ("(_dflt = 0 AND _keep AND (suppressed = 'Y' OR value IS NOT NULL)) OR "
+                 "(_dflt = 1 AND suppressed = 'Y' AND NOT _has_any AND _keep)")
+    elif policy == "metric":
+        sel["value"] = "CASE WHEN _dflt = 0 AND value >= 0 THEN value END"
+        sel["suppressed"] = "CASE WHEN _dflt = 0 AND value >= 0 THEN 'N' ELSE 'Y' END"
+        where = "(_dflt = 0 AND _keep) OR (_dflt = 1 AND suppressed = 'Y' AND NOT _has_any AND _keep)"
+    elif policy == "always":
+        sel["value"] = "CASE WHEN suppressed = 'Y' THEN NULL ELSE value END"
+        sel["suppressed"] = "CASE WHEN suppressed = 'Y' THEN 'Y' ELSE 'N' END"
+        where = "_dflt = 0"
+    else:
+        raise ValueError(policy)
+    cols = ", ".join(f"{sel[c]} AS {c}" for c in KPI_LIST)
+    return f"SELECT {cols} FROM {u} WHERE school_id IS NOT NULL AND ({where})"
