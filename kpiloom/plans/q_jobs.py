@@ -52,11 +52,15 @@ def _w(spark, sf):
     return fixtures.wide(Tables(spark, sf))
 
 
+JOB_SQL: dict[str, str] = {}
+
+
 def _job(key, fixture, spark_prep, entries, defaults, policy, sql_prep, sql_cols, sql_measures, sql_entries,
          sql_defaults, source_file_sql=None, source_file=None):
     sf_sql = source_file_sql or f"'{key}_' || substr(school_year, 5, 4) || '.csv'"
     c, sel = pipeline(key, sql_prep, {"W": "fx_wn", "B": "fx_bn"}[fixture], [{"W": "fx_wn", "B": "fx_bn"}[fixture]],
                       sql_cols, sql_measures, sql_entries, policy, sql_defaults, source_file_sql=sf_sql)
+    JOB_SQL[key] = sel
     sfc = source_file or (lambda: F.concat(F.lit(f"{key}_"), F.substring("school_year", 5, 4), F.lit(".csv")))
     spec = SourceSpec(key, spark_prep, entries, defaults, policy, sfc)
     reader = {"W": fixtures.wide, "B": fixtures.bands}[fixture]
