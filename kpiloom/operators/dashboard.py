@@ -14,7 +14,9 @@ RATE_PATTERN = "_rate"
 SUSPENSION_COUNT_PATTERN = "out_of_school_suspension.*_count"
 SUSPENSION_TOTAL_MARK = "total_count"
 
-METRIC_LIMIT = 1_000_000   # metrics per table: configuration-sized
+# Metric names come from source specs (fixed names, or products of small label
+# domains such as subject x band x grade): the set is configuration-sized.
+METRIC_LIMIT = 1_000_000
 
 
 def filter_district_contains(kpi: DataFrame, needle: str) -> DataFrame:
@@ -40,7 +42,8 @@ def latest_year(kpi: DataFrame, year: str | None = None) -> DataFrame:
     if year is not None:
         return u.filter(F.col("year") == year)
     newest = u.groupBy("metric").agg(F.max("year").alias("_latest"))
-    newest = sized_broadcast(newest, METRIC_LIMIT)
+    # one row per metric: bounded by the configured metric set, no counting job
+    newest = sized_broadcast(newest, METRIC_LIMIT, known_rows=METRIC_LIMIT)
     return u.join(newest, (u.metric == newest.metric) & (u.year == newest._latest), "left_semi")
 
 
@@ -53,7 +56,8 @@ def heatmap_cells(kpi: DataFrame, year: str | None = None, metrics: DataFrame |
     """
     rows = latest_year(kpi, year)
     if metrics is not None:
-        rows = rows.join(sized_broadcast(metrics.select("metric"), METRIC_LIMIT), "metric", "left_semi")
+        rows = rows.join(sized_broadcast(metrics.select("metric"), METRIC_LIMIT, known_rows=METRIC_LIMIT),
+                         "metric", "left_semi")
     cells = rows.groupBy("metric", "year", "school_name", "student_group").agg(F.avg("value").alias("cell"))
     schools = cells.groupBy("metric", "year", "school_name").agg(F.avg("cell").alias("school_mean"))
     ranked = position_within(schools, ["metric"], [F.col("school_mean").desc(), F.col("school_name").asc()],

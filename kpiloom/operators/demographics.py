@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.operators.broadcast import DIMENSION_MAX_ROWS, sized_broadcast
+from kpiloom.sources.local import local_table
 
 ALL_STUDENTS = "All Students"
 
@@ -56,7 +57,7 @@ class DemographicDims:
         return [(y, lab) for y in self.years for lab in dict.fromkeys(self.required)]
 
     def _frame(self, spark: SparkSession, rows: list, schema: str) -> DataFrame:
-        df = spark.createDataFrame(rows, schema)
+        df = local_table(spark, rows, schema)
         return sized_broadcast(df, DIMENSION_MAX_ROWS, known_rows=len(rows))
 
     def standard_df(self, spark):

@@ -44,41 +44,61 @@ class Entry:
                         F.coalesce(keep, F.lit(False)).alias("keep"))
 
 
-def _out(metric: Column, value: Column, flag: Column) -> Column:
-    return F.struct(metric.alias("metric"), value.cast("double").alias("value"),
-                    flag.cast("string").alias("suppressed"))
+def _cand(metric: Column, value: Column, flag: Column, keep: Column) -> Column:
+    return F.struct(metric.cast("string").alias("metric"), value.cast("double").alias("value"),
+                    flag.cast("string").alias("suppressed"), F.coalesce(keep, F.lit(False)).alias("_keep"))
 
 
 def entries_column(entries: list[Entry], policy: str = "row", flag: Column | str = "suppressed",
                    defaults: list[Entry] | None = None) -> Column:
-    """The per-row array of (metric, value, suppressed) for ``policy``."""
+    """Per-row array of candidate (metric, value, suppressed, _keep) structs.
+
+    Every decision is a plain column expression on the row (no higher-order
+    functions), so the projection, ``inline`` and the ``_keep`` filter all stay
+    inside whole-stage codegen."""
     flag = F.col(flag) if isinstance(flag, str) else flag
     supp = F.coalesce(flag == "Y", F.lit(False))
-    allx = F.array(*[e.struct() for e in entries])
-    ext = F.filter(allx, lambda e: e["keep"])
-    dflt = F.filter(F.array(*[d.struct() for d in (defaults or [])]), lambda e: e["keep"]) \
-        if defaults else F.array().cast("array<struct<metric:string,value:double,keep:boolean>>")
-    chosen = F.when(supp & (F.size(ext) == 0), dflt).otherwise(ext)
     null_d = F.lit(None).cast("double")
+
+    def name(e: Entry) -> Column:
+        return F.lit(e.metric) if isinstance(e.metric, str) else e.metric
+
+    def extracted(e: Entry) -> Column:
+        v = e.value.cast("double")
+        return F.coalesce(e.keep if e.keep is not None else v.isNotNull(), F.lit(False))
+
+    has_any = F.lit(False)
+    for e in entries:
+        has_any = has_any | extracted(e)
+    use_defaults = supp & ~has_any
+    out: list[Column] = []
     if policy == "row":
-        return F.when(supp, F.transform(chosen, lambda e: _out(e["metric"], null_d, F.lit("Y")))) \
-                .otherwise(F.transform(F.filter(ext, lambda e: e["value"].isNotNull()),
-                                       lambda e: _out(e["metric"], e["value"], F.lit("N"))))
-    if policy == "metric":
-        def per_metric(e):
-            ok = F.coalesce(e["value"] >= 0, F.lit(False))
-            return _out(e["metric"], F.when(ok, e["value"]), F.when(ok, F.lit("N")).otherwise(F.lit("Y")))
-        return F.transform(chosen, per_metric)
-    if policy == "always":
-        return F.transform(allx, lambda e: _out(e["metric"], F.when(~supp, e["value"]),
-                                               F.when(supp, F.lit("Y")).otherwise(F.lit("N"))))
-    raise ValueError(f"unknown policy {policy!r}")
+        for e in entries:
+            v = e.value.cast("double")
+            out.append(_cand(name(e), F.when(~supp, v), F.when(supp, F.lit("Y")).otherwise(F.lit("N")),
+                             extracted(e) & (supp | v.isNotNull())))
+        for d in defaults or []:
+            out.append(_cand(name(d), null_d, F.lit("Y"), use_defaults & extracted(d)))
+    elif policy == "metric":
+        for e in entries:
+            v = e.value.cast("double")
+            ok = F.coalesce(v >= 0, F.lit(False))
+            out.append(_cand(name(e), F.when(ok, v), F.when(ok, F.lit("N")).otherwise(F.lit("Y")), extracted(e)))
+        for d in defaults or []:
+            out.append(_cand(name(d), null_d, F.lit("Y"), use_defaults & extracted(d)))
+    elif policy == "always":
+        for e in entries:
+            v = e.value.cast("double")
+            out.append(_cand(name(e), F.when(~supp, v), F.when(supp, F.lit("Y")).otherwise(F.lit("N")), F.lit(True)))
+    else:
+        raise ValueError(f"unknown policy {policy!r}")
+    return F.array(*out)
 
 
 def explode_entries(df: DataFrame, arr: Column, keep_cols: list[str]) -> DataFrame:
-    """Carry ``keep_cols`` and emit one row per array element (metric, value, suppressed)."""
+    """Carry ``keep_cols`` and emit one row per kept candidate (metric, value, suppressed)."""
     base = [c for c in keep_cols if c not in ("metric", "value", "suppressed")]
-    return df.select(*base, F.inline(arr))
+    return df.select(*base, F.inline(arr)).filter(F.col("_keep")).drop("_keep")
 
 
 def skip_aggregate_rows(df: DataFrame, label: str = "demographic") -> DataFrame:

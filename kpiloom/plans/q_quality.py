@@ -16,6 +16,7 @@ from kpiloom.plans.registry import register
 from kpiloom.plans.wide_kpi import W_MEASURES, kpi_long, kpi_second_delivery, wide_source_file
 from kpiloom.schema import LOGICAL_KEY
 from kpiloom.sources import fixtures
+from kpiloom.sources.local import local_table
 from kpiloom.sources.tables import Tables
 
 KPI = ", ".join(S.KPI_LIST)
@@ -149,7 +150,7 @@ define("dq_exp", S.values_cte("dq_exp_v", ["year", "metric"], _EXP_ROWS).split("
 UNION ALL SELECT e.year, e.metric, CAST(0 AS BIGINT), 'missing' FROM dq_exp e
  WHERE e.year IN (SELECT year FROM kdq) AND NOT EXISTS (SELECT 1 FROM kdq k WHERE k.year = e.year AND k.metric = e.metric)""")
 def dq_metric_coverage_q(spark, sf):
-    exp = sized_broadcast(spark.createDataFrame(_EXP_ROWS, "year string, metric string"), known_rows=len(_EXP_ROWS))
+    exp = sized_broadcast(local_table(spark, _EXP_ROWS, "year string, metric string"), known_rows=len(_EXP_ROWS))
     return Q.dq_metric_coverage(K(spark, sf), exp)
 
 
@@ -163,7 +164,7 @@ WHERE source_file NOT IN (SELECT source_file FROM kdq WHERE source_file IS NOT N
 def dq_source_coverage_q(spark, sf):
     w = fixtures.wide(Tables(spark, sf))
     inputs = w.select(wide_source_file().alias("source_file")).unionByName(
-        spark.createDataFrame([(PLANTED_EMPTY_FILE,)], "source_file string"))
+        local_table(spark, [(PLANTED_EMPTY_FILE,)], "source_file string"))
     return Q.dq_source_coverage(inputs, K(spark, sf))
 
 
@@ -181,7 +182,7 @@ UNION ALL SELECT b.year, 'basic_group_missing', b.student_group, CAST(0 AS BIGIN
  WHERE b.year IN (SELECT year FROM kdq)
   AND NOT EXISTS (SELECT 1 FROM kdq k WHERE k.year = b.year AND k.student_group = b.student_group)""")
 def dq_group_labels_q(spark, sf):
-    basic = sized_broadcast(spark.createDataFrame(_BASIC_ROWS, "year string, student_group string"), known_rows=len(_BASIC_ROWS))
+    basic = sized_broadcast(local_table(spark, _BASIC_ROWS, "year string, student_group string"), known_rows=len(_BASIC_ROWS))
     return Q.dq_group_labels(K(spark, sf), basic)
 
 

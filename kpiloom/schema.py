@@ -45,4 +45,5 @@ def select_kpi_columns(df: DataFrame, with_timestamp: bool = False,
 
 
 def empty_kpi(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], KPI_SCHEMA)
+    from kpiloom.sources.local import local_table
+    return local_table(spark, [], ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in KPI_SCHEMA.fields))
