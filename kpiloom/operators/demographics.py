@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.operators.broadcast import DIMENSION_MAX_ROWS, sized_broadcast
-from kpiloom.sources.local import local_table
+from kpiloom.sources.local import Raw, _lit, local_table
 
 ALL_STUDENTS = "All Students"
+YEAR_SEP = "\u0001"
 
 # Mapping types written to the audit column, in precedence order.
 MAPPING_TYPES = ["default", "standard", "year_specific", "general", "case_insensitive", "no_mapping"]
@@ -56,6 +57,36 @@ class DemographicDims:
     def required_rows(self) -> list[tuple[str, str]]:
         return [(y, lab) for y in self.years for lab in dict.fromkeys(self.required)]
 
+    def rule_rows(self) -> list[tuple]:
+        """One row per lower-cased label with every rule that can fire for it:
+        (lkey, standard spellings, year map, exact general map, case-insensitive target)."""
+        keys: dict[str, dict] = {}
+
+        def slot(label: str) -> dict:
+            return keys.setdefault(label.lower(), {"std": [], "year": {}, "gen": {}, "ci": None})
+
+        for (lab,) in self.standard_rows():
+            slot(lab)["std"].append(lab)
+        for y, lab, m in self.year_rows():
+            slot(lab)["year"][f"{y}{YEAR_SEP}{lab}"] = m
+        for lab, m in self.general_rows():
+            slot(lab)["gen"][lab] = m
+        for lk, m in self.case_insensitive_rows():
+            slot(lk)["ci"] = m
+
+        def arr(xs):
+            return Raw("array(" + ", ".join(_lit(x) for x in xs) + ")")
+
+        def mp(d):
+            return Raw("map(" + ", ".join(f"{_lit(k)}, {_lit(v)}" for k, v in d.items()) + ")")
+
+        return [(k, arr(v["std"]), mp(v["year"]), mp(v["gen"]), v["ci"]) for k, v in keys.items()]
+
+    def rules_df(self, spark):
+        rows = self.rule_rows()
+        return self._frame(spark, rows, "_dm_key string, _dm_std array<string>, _dm_year map<string,string>, "
+                                        "_dm_gen map<string,string>, _dm_ci string")
+
     def _frame(self, spark: SparkSession, rows: list, schema: str) -> DataFrame:
         df = local_table(spark, rows, schema)
         return sized_broadcast(df, DIMENSION_MAX_ROWS, known_rows=len(rows))
@@ -86,36 +117,30 @@ def map_demographic(df: DataFrame, dims: DemographicDims, label: str = "demograp
                     year: str = "year", out: str = "student_group",
                     type_col: str | None = "mapping_type") -> DataFrame:
     """Precedence: null/empty -> All Students; trimmed standard label; year map;
-    general map; case-insensitive general map (first in file order); unchanged."""
+    general map; case-insensitive general map (first in file order); unchanged.
+
+    One broadcast left join on lower(trim(label)): the rule row for that key
+    carries the standard spellings and small exact-match maps, so the
+    case-sensitive rules are map lookups on the joined row."""
     spark = df.sparkSession
     raw = F.col(label)
-    d = (df.withColumn("_dm_lab", F.trim(raw))
-           .withColumn("_dm_low", F.lower(F.trim(raw)))
-           .withColumn("_dm_year", F.col(year).cast("string")))
-    d = (d.join(dims.standard_df(spark), F.col("_dm_lab") == F.col("_dm_std"), "left")
-          .join(dims.year_df(spark), (F.col("_dm_year") == F.col("_dm_y_year"))
-                & (F.col("_dm_lab") == F.col("_dm_y_label")), "left")
-          .join(dims.general_df(spark), F.col("_dm_lab") == F.col("_dm_g_label"), "left")
-          .join(dims.case_insensitive_df(spark), F.col("_dm_low") == F.col("_dm_ci_key"), "left"))
+    lab = F.trim(raw)
+    d = df.join(dims.rules_df(spark), F.lower(lab) == F.col("_dm_key"), "left")
+    std = F.coalesce(F.array_contains(F.col("_dm_std"), lab), F.lit(False))
+    yr = F.col("_dm_year")[F.concat(F.col(year).cast("string"), F.lit(YEAR_SEP), lab)]
+    gen = F.col("_dm_gen")[lab]
+    ci = F.col("_dm_ci")
     empty = raw.isNull() | (raw == "")
-    mapped = (F.when(empty, F.lit(ALL_STUDENTS))
-               .when(F.col("_dm_std").isNotNull(), F.col("_dm_lab"))
-               .when(F.col("_dm_y_mapped").isNotNull(), F.col("_dm_y_mapped"))
-               .when(F.col("_dm_g_mapped").isNotNull(), F.col("_dm_g_mapped"))
-               .when(F.col("_dm_ci_mapped").isNotNull(), F.col("_dm_ci_mapped"))
-               .otherwise(F.col("_dm_lab")))
-    kind = (F.when(empty, F.lit("default"))
-             .when(F.col("_dm_std").isNotNull(), F.lit("standard"))
-             .when(F.col("_dm_y_mapped").isNotNull(), F.lit("year_specific"))
-             .when(F.col("_dm_g_mapped").isNotNull(), F.lit("general"))
-             .when(F.col("_dm_ci_mapped").isNotNull(), F.lit("case_insensitive"))
-             .otherwise(F.lit("no_mapping")))
+    mapped = (F.when(empty, F.lit(ALL_STUDENTS)).when(std, lab).when(yr.isNotNull(), yr)
+               .when(gen.isNotNull(), gen).when(ci.isNotNull(), ci).otherwise(lab))
+    kind = (F.when(empty, F.lit("default")).when(std, F.lit("standard"))
+             .when(yr.isNotNull(), F.lit("year_specific")).when(gen.isNotNull(), F.lit("general"))
+             .when(ci.isNotNull(), F.lit("case_insensitive")).otherwise(F.lit("no_mapping")))
     cols = {out: mapped}
     if type_col:
         cols[type_col] = kind
     d = d.withColumns(cols)
-    helper = [c for c in d.columns if c.startswith("_dm_")]
-    return d.drop(*helper)
+    return d.drop(*[c for c in d.columns if c.startswith("_dm_")])
 
 
 def mapping_audit(mapped: DataFrame, type_col: str = "mapping_type",

@@ -11,7 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+class Raw(str):
+    """A SQL literal expression passed through unquoted (array(...), map(...))."""
+
+
 def _lit(v) -> str:
+    if isinstance(v, Raw):
+        return str(v)
     if v is None:
         return "NULL"
     if isinstance(v, bool):
@@ -22,9 +28,26 @@ def _lit(v) -> str:
     return f"'{s}'"
 
 
+def _split_fields(schema: str) -> list[str]:
+    """Split 'a string, m map<string,string>' on top-level commas."""
+    out, depth, cur = [], 0, []
+    for ch in schema:
+        if ch == "<":
+            depth += 1
+        elif ch == ">":
+            depth -= 1
+        if ch == "," and depth == 0:
+            out.append("".join(cur))
+            cur = []
+        else:
+            cur.append(ch)
+    out.append("".join(cur))
+    return [f for f in out if f.strip()]
+
+
 def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """rows + 'a string, b int' -> DataFrame backed by a LocalRelation."""
-    fields = [f.strip().split() for f in schema.split(",")]
+    fields = [f.strip().split(None, 1) for f in _split_fields(schema)]
     names = [f[0] for f in fields]
     types = [f[1] for f in fields]
     if not rows:

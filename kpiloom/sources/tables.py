@@ -1,4 +1,12 @@
-"""Driver tables read as Parquet (columns and filters pruned by Catalyst)."""
+"""Driver tables read as Parquet (columns and filters pruned by Catalyst).
+
+A Parquet file is split only at row-group boundaries.  A small fact table
+written as one row group would be scanned, joined and pre-aggregated by a
+single task, so fact tables whose whole size is below ``parallelism x
+SPREAD_BYTES_PER_TASK`` are spread round-robin over the cluster's parallelism
+right after the scan.  The shuffle this costs is small by construction; large
+tables (many row groups, many splits) are never repartitioned.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 TABLE_NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
                "conversations"]
+FACT_TABLES = {"lineitem", "orders", "customer", "part", "events"}
+SPREAD_BYTES_PER_TASK = 64 * 1024 * 1024
 
 
 class Tables:
@@ -16,8 +26,22 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 
+    def path(self, name: str) -> str:
+        return f"{self.sf_dir}/{name}.parquet"
+
+    def size_bytes(self, name: str) -> int:
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.path(name))
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return fs.getContentSummary(p).getLength()
+
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        df = self.spark.read.parquet(self.path(name))
+        if name in FACT_TABLES:
+            par = self.spark.sparkContext.defaultParallelism
+            if par > 1 and self.size_bytes(name) < par * SPREAD_BYTES_PER_TASK:
+                df = df.repartition(par)
+        return df
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLE_NAMES:
