@@ -50,15 +50,24 @@ def latest_year(kpi: DataFrame, year: str | None = None) -> DataFrame:
 def heatmap_cells(kpi: DataFrame, year: str | None = None, metrics: DataFrame | None = None) -> DataFrame:
     """Long heatmap: (metric, year, school_name, school_rank, student_group, value).
 
-    Cell = mean per (school, group) of the chosen year, 1 decimal (half-even);
-    schools ranked per metric by the unweighted mean of their cells, descending,
-    school name ascending on ties.
+    Cell = mean per (school, group) of the chosen year (default: the newest
+    year with usable data, per metric), 1 decimal (half-even); schools ranked
+    per metric by the unweighted mean of their cells, descending, school name
+    ascending on ties.  The KPI rows are aggregated once into cells of every
+    year; the newest year, the school means and the ranks all come from the
+    (much smaller) cells, whose exchange every later step reuses.
     """
-    rows = latest_year(kpi, year)
+    rows = usable(kpi)
+    if year is not None:
+        rows = rows.filter(F.col("year") == year)
     if metrics is not None:
         rows = rows.join(sized_broadcast(metrics.select("metric"), METRIC_LIMIT, known_rows=METRIC_LIMIT),
                          "metric", "left_semi")
     cells = rows.groupBy("metric", "year", "school_name", "student_group").agg(F.avg("value").alias("cell"))
+    if year is None:
+        newest = cells.groupBy("metric").agg(F.max("year").alias("_latest"))
+        newest = sized_broadcast(newest, METRIC_LIMIT, known_rows=METRIC_LIMIT)
+        cells = cells.join(newest, (cells.metric == newest.metric) & (cells.year == newest._latest), "left_semi")
     schools = cells.groupBy("metric", "year", "school_name").agg(F.avg("cell").alias("school_mean"))
     ranked = position_within(schools, ["metric"], [F.col("school_mean").desc(), F.col("school_name").asc()],
                              out="school_rank")
