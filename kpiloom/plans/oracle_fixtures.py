@@ -91,13 +91,14 @@ def kpi_cols(**over: str) -> str:
 
 def row_policy(src: str) -> str:
     """Row-policy emission over an unpivoted CTE with metric_name / metric_value / has_any."""
-    return (f"SELECT {kpi_cols(metric='metric_name', value='CASE WHEN suppressed = ' + chr(39) + 'Y' + chr(39) + ' THEN NULL ELSE metric_value END')} "
+    value = "CASE WHEN suppressed = 'Y' THEN NULL ELSE metric_value END"
+    return (f"SELECT {kpi_cols(metric='metric_name', value=value)} "
             f"FROM {src} WHERE school_id IS NOT NULL AND ((suppressed = 'N' AND metric_value IS NOT NULL) "
             f"OR (suppressed = 'Y' AND (metric_value IS NOT NULL OR NOT has_any)))")
 
 
 _def("fx_k", row_policy("fx_ke"), ["fx_ke"])
-_def("fx_k2", f"SELECT {kpi_cols(value='value + 1', source_file=chr(39) + 'z_' + chr(39) + ' || source_file')} "
+_def("fx_k2", f"SELECT {kpi_cols(value='value + 1', source_file="'z_' || source_file")} "
      "FROM fx_k WHERE CAST(school_id AS BIGINT) % 10 = 0", ["fx_k"])
 
 FX_DIMS = ",\n".join(dims_ctes(W_DIMS, "dm"))

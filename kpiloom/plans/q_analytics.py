@@ -53,7 +53,10 @@ define("ev_prep", f"SELECT *, CASE WHEN tier = 1 THEN 'safe_students_affected_'
        "WHEN tier = 3 THEN 'All Students - Total Events' END AS tier_group FROM (SELECT "
        f"{', '.join(T_IDS)}, " + ", ".join(f"{S.num(v)} AS {v}" for v in T_VALUES) + f", {_TIER} AS tier FROM "
        f"(SELECT {_T_IDS_SQL}, " + ", ".join(f"{S.nm(v)} AS {v}" for v in T_VALUES) + " FROM fx_t) a) b", ["fx_t"])
-define("ev_ids", f"SELECT {S.ids_select(T_IDS, S.yearx('school_year'), chr(39) + 'events_' + chr(39) + ' || ' + S.yearx('school_year') + ' || ' + chr(39) + '.csv' + chr(39), [*T_VALUES, 'metric_prefix', 'metric_suffix', 'tier_group'], flag_sql=chr(39) + 'N' + chr(39))} FROM ev_prep", ["ev_prep"])
+_EV_FILE = "'events_' || " + S.yearx("school_year") + " || '.csv'"
+_EV_IDS = S.ids_select(T_IDS, S.yearx("school_year"), _EV_FILE, [*T_VALUES, "metric_prefix", "metric_suffix", "tier_group"],
+                       flag_sql="'N'")
+define("ev_ids", f"SELECT {_EV_IDS} FROM ev_prep", ["ev_prep"])
 define("ev_map", S.mapping_select("ev_ids"), ["ev_ids", "dm"])
 define("ev_fix", f"SELECT * REPLACE (COALESCE(tier_group, student_group) AS student_group, "
        f"COALESCE(school_id, {S.sid('state_school_id')}) AS school_id) FROM ev_map", ["ev_map"])
