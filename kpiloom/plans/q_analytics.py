@@ -18,7 +18,7 @@ from kpiloom.plans.q_jobs import FLAG_SQL, IDS_SQL, JOB_SQL
 from kpiloom.plans.q_long import T_IDS, T_RENAME, T_VALUES, _ae, always_spec
 from kpiloom.plans.registry import register
 from kpiloom.plans.specs import run_spec
-from kpiloom.plans.wide_kpi import W_IDS, kpi_long, kpi_second_delivery
+from kpiloom.plans.wide_kpi import W_IDS, kpi_long, with_second_delivery
 from kpiloom.schema import LOGICAL_KEY, select_kpi_columns
 from kpiloom.sources import fixtures
 from kpiloom.sources.master import kpi_schema_check, union_master
@@ -186,8 +186,7 @@ define("kk2", f"SELECT {KPI} FROM fx_k UNION ALL SELECT {KPI} FROM fx_k2", ["fx_
 
 @register("dedupe_latest", ctes("kk2") + dedupe_sql("kk2"))
 def dedupe_latest_q(spark, sf):
-    k = kpi_long(Tables(spark, sf))
-    return dedupe_latest(k.unionByName(kpi_second_delivery(k)))
+    return dedupe_latest(with_second_delivery(kpi_long(Tables(spark, sf))))
 
 
 # --- rate pair compare over the readiness job --------------------------------------

@@ -13,7 +13,7 @@ from kpiloom.plans.dims import W_DIMS, W_YEARS
 from kpiloom.plans.oracle_fixtures import ctes, define, kpi_cols
 from kpiloom.plans.q_analytics import events_job
 from kpiloom.plans.registry import register
-from kpiloom.plans.wide_kpi import W_MEASURES, kpi_long, kpi_second_delivery, wide_source_file
+from kpiloom.plans.wide_kpi import W_MEASURES, kpi_long, wide_source_file, with_second_delivery
 from kpiloom.schema import LOGICAL_KEY
 from kpiloom.sources import fixtures
 from kpiloom.sources.local import local_table
@@ -87,8 +87,7 @@ define("kk2dq", f"SELECT {KPI} FROM fx_k UNION ALL SELECT {KPI} FROM fx_k2", ["f
 
 @register("dq_duplicate_keys", ctes("kk2dq") + f"SELECT {KEYS}, count(*) AS n_rows FROM kk2dq GROUP BY {KEYS} HAVING count(*) > 1")
 def dq_duplicate_keys_q(spark, sf):
-    k = kpi_long(Tables(spark, sf))
-    return Q.dq_duplicate_keys(k.unionByName(kpi_second_delivery(k)))
+    return Q.dq_duplicate_keys(with_second_delivery(kpi_long(Tables(spark, sf))))
 
 
 @register("dq_school_id_stability", ctes("kdq") + """SELECT count(*) AS n_names, count(*) FILTER (WHERE n_ids > 1) AS n_unstable,
