@@ -10,9 +10,11 @@ tables (many row groups, many splits) are never repartitioned.
 
 from __future__ import annotations
 
+import json
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 TABLE_NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -21,6 +23,11 @@ FACT_TABLES = {"lineitem", "orders", "customer", "part", "events"}
 SPREAD_BYTES_PER_TASK = 64 * 1024 * 1024
 
 
+# Inferring a Parquet schema reads a footer in a one-task job; a table's schema
+# is read once per path and process and passed explicitly afterwards.
+_SCHEMAS: dict[str, str] = {}
+
+
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -36,7 +43,13 @@ class Tables:
         return fs.getContentSummary(p).getLength()
 
     def read(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(self.path(name))
+        path = self.path(name)
+        known = _SCHEMAS.get(path)
+        if known is None:
+            df = self.spark.read.parquet(path)
+            _SCHEMAS[path] = df.schema.json()
+        else:
+            df = self.spark.read.schema(T.StructType.fromJson(json.loads(known))).parquet(path)
         if name in FACT_TABLES:
             par = self.spark.sparkContext.defaultParallelism
             if par > 1 and self.size_bytes(name) < par * SPREAD_BYTES_PER_TASK:
