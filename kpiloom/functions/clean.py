@@ -55,7 +55,7 @@ def null_markers(c: Column | str, markers: list[str] | None = None) -> Column:
 def parse_number(c: Column | str) -> Column:
     """Strip , " % * and surrounding blanks, then read a plain number; else null."""
     s = F.trim(F.regexp_replace(_c(c).cast("string"), NUMBER_NOISE, ""))
-    return F.when(s.rlike(NUMBER_PATTERN), s.cast("double"))
+    return F.when(s.rlike(NUMBER_PATTERN), s.try_cast("double"))
 
 
 def range_guard(c: Column | str, lo: float | None = None, hi: float | None = None) -> Column:

@@ -14,7 +14,7 @@ def share_of_sum(part: Column | str, parts: list[Column | str]) -> Column:
     """part / sum(parts) * 100 when the sum is positive; null otherwise.
     Null parts make the sum null (a missing count gives no share)."""
     total = sum_strict(parts)
-    return F.when(total > 0, _c(part) / total * 100)
+    return F.when(total > 0, F.try_divide(_c(part), total) * 100)
 
 
 def sum_strict(parts: list[Column | str]) -> Column:
@@ -35,7 +35,7 @@ def rate_or_count(value: Column | str, total: Column | str) -> tuple[Column, Col
     becomes round(value / total * 100, 1); otherwise it stays a count."""
     v, t = _c(value), _c(total)
     rate = (F.when(v <= 100, v)
-             .when((v > 100) & (t > 0), F.bround(v / t * 100, 1)))
+             .when((v > 100) & (t > 0), F.bround(F.try_divide(v, t) * 100, 1)))
     count = F.when((v > 100) & ~F.coalesce(t > 0, F.lit(False)), v)
     return rate, count
 
@@ -66,7 +66,7 @@ def policy_compliance(answers: list[Column | str]) -> Column:
     arr = F.array(*[F.upper(F.trim(_c(a))) for a in answers])
     answered = F.size(F.filter(arr, lambda x: x.isNotNull()))
     yes = F.size(F.filter(arr, lambda x: x == "YES"))
-    return F.when(answered > 0, F.bround(yes / answered * 100, 1))
+    return F.when(answered > 0, F.bround(F.try_divide(yes, answered) * 100, 1))
 
 
 # Means rounded to one decimal are computed exactly: the summands are scaled to
@@ -77,14 +77,14 @@ MICRO = 1_000_000
 
 def micro_units(c: Column | str) -> Column:
     """A non-negative score as an exact integer count of micro-units."""
-    return F.bround(_c(c) * MICRO, 0).cast("decimal(38,0)")
+    return F.bround(_c(c) * MICRO, 0).try_cast("decimal(38,0)")
 
 
 def mean_half_even_1dp(sum_micro: Column, n: Column) -> Column:
     """round_half_even(sum_micro / MICRO / n, 1) in exact integer arithmetic
     (non-negative sums)."""
     d = (n.cast("decimal(38,0)") * F.lit(MICRO // 10).cast("decimal(38,0)"))
-    q = F.floor(sum_micro / d)
+    q = F.floor(F.try_divide(sum_micro, d))
     r = sum_micro - q * d
     bump = F.when(r * 2 > d, 1).when(r * 2 == d, q % 2).otherwise(0)
     return F.when(n > 0, ((q + bump) / 10).cast("double"))

@@ -41,7 +41,7 @@ def normalize_grade(c: Column | str) -> Column:
     g = F.trim(c)
     lowered = F.regexp_replace(F.lower(g), " ", "_")
     return (F.when(g.isNull() | (g == ""), F.lit("all_grades"))
-             .when(g.rlike(r"^[0-9]+$"), F.concat(F.lit("grade_"), g.cast("int").cast("string")))
+             .when(g.rlike(r"^[0-9]+$"), F.concat(F.lit("grade_"), g.try_cast("int").cast("string")))
              .otherwise(F.coalesce(_lit_map(GRADE_NAMES)[g], lowered)))
 
 
@@ -66,7 +66,7 @@ def grade_to_level(grade: Column | str) -> Column:
     """Normalised grade -> school level: >= 9 high, >= 6 middle, else elementary."""
     g = F.col(grade) if isinstance(grade, str) else grade
     num = F.when(g.startswith("grade_") & F.split_part(g, F.lit("_"), F.lit(2)).rlike(r"^[0-9]+$"),
-                 F.split_part(g, F.lit("_"), F.lit(2)).cast("int"))
+                 F.split_part(g, F.lit("_"), F.lit(2)).try_cast("int"))
     return (F.when(num >= 9, F.lit("high"))
              .when(num >= 6, F.lit("middle"))
              .when(num.isNotNull(), F.lit("elementary"))

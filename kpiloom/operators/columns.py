@@ -86,9 +86,9 @@ def cast_by_config(df: DataFrame, dtypes: dict[str, str]) -> DataFrame:
         col = F.col(c)
         if dt.lower().startswith(("float", "int")) or dt in _NUMERIC:
             s = F.trim(col.cast("string"))
-            num = F.when(s.rlike(NUMBER_PATTERN), s.cast("double"))
+            num = F.when(s.rlike(NUMBER_PATTERN), s.try_cast("double"))
             if dt.lower().startswith("int"):
-                out[c] = F.when(num == F.floor(num), num.cast("bigint"))
+                out[c] = F.when(num == F.floor(num), num.try_cast("bigint"))
             else:
                 out[c] = num
         else:

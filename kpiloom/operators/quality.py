@@ -46,13 +46,13 @@ def dq_suppressed_share(kpi: DataFrame, overall_max: float = 0.40, metric_max: f
     supp = (F.col("suppressed") == "Y").cast("int")
     per = kpi.groupBy("metric").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(supp).alias("n_suppressed"))
     per = per.select(F.col("metric").alias("scope"), "n_rows", "n_suppressed",
-                     F.round(F.col("n_suppressed") / F.col("n_rows"), 6).alias("share"),
-                     F.when((F.col("n_rows") > min_rows) & (F.col("n_suppressed") / F.col("n_rows") > metric_max), "Y")
+                     F.round(F.try_divide(F.col("n_suppressed"), F.col("n_rows")), 6).alias("share"),
+                     F.when((F.col("n_rows") > min_rows) & (F.try_divide(F.col("n_suppressed"), F.col("n_rows")) > metric_max), "Y")
                       .otherwise("N").alias("over_threshold"))
     tot = per.agg(F.sum("n_rows").alias("n_rows"), F.sum("n_suppressed").alias("n_suppressed"))
     tot = tot.select(F.lit("overall").alias("scope"), "n_rows", "n_suppressed",
-                     F.round(F.col("n_suppressed") / F.col("n_rows"), 6).alias("share"),
-                     F.when(F.col("n_suppressed") / F.col("n_rows") > overall_max, "Y").otherwise("N").alias("over_threshold"))
+                     F.round(F.try_divide(F.col("n_suppressed"), F.col("n_rows")), 6).alias("share"),
+                     F.when(F.try_divide(F.col("n_suppressed"), F.col("n_rows")) > overall_max, "Y").otherwise("N").alias("over_threshold"))
     return per.unionByName(tot)
 
 
@@ -64,7 +64,7 @@ def dq_duplicate_keys(kpi: DataFrame, key: list[str] | None = None) -> DataFrame
 def dq_school_id_stability(kpi: DataFrame, max_share: float = 0.10) -> DataFrame:
     per = kpi.groupBy("school_name").agg(F.count_distinct("school_id").alias("n_ids"))
     return per.agg(F.count(F.lit(1)).alias("n_names"), F.count_if(F.col("n_ids") > 1).alias("n_unstable")) \
-              .withColumn("share_unstable", F.round(F.col("n_unstable") / F.col("n_names"), 6)) \
+              .withColumn("share_unstable", F.round(F.try_divide(F.col("n_unstable"), F.col("n_names")), 6)) \
               .withColumn("ok", F.when(F.col("share_unstable") < max_share, "Y").otherwise("N"))
 
 
@@ -76,7 +76,7 @@ def dq_rate_consistency(kpi: DataFrame, rate: str, count: str, total: str, tol:
     g = (kpi.filter(m.isin(rate, count, total) & v.isNotNull()).groupBy(*key)
             .agg(F.max(F.when(m == rate, v)).alias("rate"), F.max(F.when(m == count, v)).alias("count"),
                  F.max(F.when(m == total, v)).alias("total")))
-    calc = F.col("count") / F.col("total") * 100
+    calc = F.try_divide(F.col("count"), F.col("total")) * 100
     diff = F.abs(F.col("rate") - calc)
     return (g.filter((F.col("total") > 0) & F.col("rate").isNotNull() & F.col("count").isNotNull() & (diff > tol))
              .withColumn("computed", F.round(calc, 6)).withColumn("diff", F.round(diff, 6)))
@@ -107,7 +107,7 @@ def dq_tier_consistency(events: DataFrame, tol: float = 0.001) -> DataFrame:
         F.max(F.when(m.startswith("safe_event_count_") & (F.col("student_group") == "All Students - Total Events"), F.col("value"))).alias("events"),
         F.max(F.when(m.startswith("safe_incident_rate_"), F.col("value"))).alias("rate"))
     a, e, r = F.col("affected"), F.col("events"), F.col("rate")
-    rule = (F.when(r.isNotNull() & (a > 0) & (F.abs(r - e / a) > tol), F.lit("rate_mismatch"))
+    rule = (F.when(r.isNotNull() & (a > 0) & (F.abs(r - F.try_divide(e, a)) > tol), F.lit("rate_mismatch"))
              .when(a > e, F.lit("affected_above_events"))
              .when(r < 1, F.lit("rate_below_one")))
     return g.withColumn("rule", rule).filter(F.col("rule").isNotNull())

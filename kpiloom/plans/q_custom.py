@@ -25,8 +25,8 @@ def user_spec() -> SourceSpec:
     def prepare(w):
         total, r, qty = C.parse_number("total_count"), C.parse_number("r_count"), C.parse_number("qty_text")
         return w.select(*W_IDS, C.suppression_flag("suppressed").alias("suppressed"),
-                        C.range_guard(F.when(total > 0, r / total * 100), 0, 100).alias("return_share"),
-                        F.when(total > 0, qty / total).alias("quantity_per_line"))
+                        C.range_guard(F.when(total > 0, F.try_divide(r, total) * 100), 0, 100).alias("return_share"),
+                        F.when(total > 0, F.try_divide(qty, total)).alias("quantity_per_line"))
 
     return SourceSpec(
         "user_returns", prepare,

@@ -134,12 +134,13 @@ def _kg_entries():
     e = []
     for name, col in [("ready_with_interventions", "rwi"), ("ready", "rdy"), ("ready_with_enrichments", "rwe")]:
         e.append(Entry(f"kindergarten_{name}_count", F.col(col), c & a))
-        e.append(Entry(f"kindergarten_{name}_rate", F.col(col) / tested * 100, c & a & pos))
+        e.append(Entry(f"kindergarten_{name}_rate", F.try_divide(F.col(col), tested) * 100, c & a & pos))
     e += [Entry("kindergarten_readiness_count", ready, c & a & ready.isNotNull()),
           Entry("kindergarten_readiness_total", tested, c & a & ready.isNotNull()),
-          Entry("kindergarten_readiness_rate", ready / tested * 100, c & a & ready.isNotNull() & pos),
+          Entry("kindergarten_readiness_rate", F.try_divide(ready, tested) * 100, c & a & ready.isNotNull() & pos),
           Entry(F.concat(F.lit("kindergarten_"), slug, F.lit("_count")), ready, c & d & ready.isNotNull()),
-          Entry(F.concat(F.lit("kindergarten_"), slug, F.lit("_rate")), ready / tested * 100, c & d & ready.isNotNull() & pos),
+          Entry(F.concat(F.lit("kindergarten_"), slug, F.lit("_rate")), F.try_divide(ready, tested) * 100,
+                c & d & ready.isNotNull() & pos),
           Entry("kindergarten_readiness_rate", pct, p & a & pct.isNotNull()),
           Entry("kindergarten_readiness_total", tot, p & a & tot.isNotNull()),
           Entry("kindergarten_readiness_count", est, p & a & tot.isNotNull() & pct.isNotNull()),
@@ -222,8 +223,8 @@ def _pse_prep(w):
     pos = cohort > 0
     return w.select(*W_IDS, _flag().alias("suppressed"), cohort.alias("cohort"), pub.alias("pub"), priv.alias("priv"),
                     tot.alias("tot"), C.range_guard(n("r_rate"), 0, 100).alias("pub_rate"),
-                    F.when(pos, F.bround(priv / cohort * 100, 1)).alias("priv_rate"),
-                    F.when(pos, F.bround(tot / cohort * 100, 1)).alias("tot_rate"))
+                    F.when(pos, F.bround(F.try_divide(priv, cohort) * 100, 1)).alias("priv_rate"),
+                    F.when(pos, F.bround(F.try_divide(tot, cohort) * 100, 1)).alias("tot_rate"))
 
 
 _PSE_COLS = {"total_cohort": "cohort", "public_count": "pub", "private_count": "priv", "total_count": "tot",

@@ -96,3 +96,16 @@ def test_exact_mean(spark):
     out = df.groupBy("g").agg(F.sum(D.micro_units("v")).alias("s"), F.count("v").alias("n")) \
             .select("g", D.mean_half_even_1dp(F.col("s"), F.col("n")).alias("m"))
     assert dict((r.g, r.m) for r in out.collect()) == {"g": 52.6, "h": 0.3}
+
+
+def test_zero_divisors_are_null_under_ansi(spark):
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    df = spark.createDataFrame([(0.0, 0.0, 0.0), (1.0, 0.0, 3.0)], "a double, b double, c double")
+    got = [r[0] for r in df.select(D.share_of_sum("a", ["a", "b", "c"])).collect()]
+    assert got == [None, 25.0]
+    from kpiloom.plans.q_jobs import _kg_entries  # entry values divide by the tested count
+    kg = spark.createDataFrame([(True, True, False, "child_care", 0.0, 0.0, 0.0, 0.0, 0.0, None, None)],
+                               "count_format boolean, prior_all boolean, demo_all boolean, prior_slug string, rwi double, "
+                               "rdy double, rwe double, tested double, ready double, pct double, number_tested double")
+    vals = kg.select(*[e.value.alias(f"v{i}") for i, e in enumerate(_kg_entries())]).collect()[0]
+    assert vals is not None
