@@ -36,13 +36,6 @@ class Entry:
     value: Column
     keep: Column | None = None      # extraction condition; default: value is not null
 
-    def struct(self) -> Column:
-        name = F.lit(self.metric) if isinstance(self.metric, str) else self.metric
-        value = self.value.cast("double")
-        keep = self.keep if self.keep is not None else value.isNotNull()
-        return F.struct(name.cast("string").alias("metric"), value.alias("value"),
-                        F.coalesce(keep, F.lit(False)).alias("keep"))
-
 
 def _cand(metric: Column, value: Column, flag: Column, keep: Column) -> Column:
     return F.struct(metric.cast("string").alias("metric"), value.cast("double").alias("value"),

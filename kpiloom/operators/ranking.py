@@ -6,6 +6,12 @@ Here the rows are range-partitioned on (group, order keys) so a large group
 spreads over many tasks, each task numbers its sorted rows locally, and a small
 table of per-(task, group) counts turns local numbers into global positions.
 The offset table has at most (#tasks + #groups) rows.
+
+Consistency: the counts and the numbered rows are two consumers of one
+range exchange (the same plan, reused), so they see the same partitions; the
+sort inside a partition is a total order, so a retried task renumbers its rows
+identically, and a lost shuffle block is recomputed with the same fixed range
+bounds.
 """
 
 from __future__ import annotations
