@@ -9,7 +9,7 @@ from kpiloom.functions import derive as D
 from kpiloom.operators.longform import null_marker_strings
 from kpiloom.plans import sqltext as S
 from kpiloom.plans.oracle_fixtures import ctes
-from kpiloom.plans.q_normalize import B_KEY, B_KEY_SQL, SUPP, SUPP_SQL, W_KEY, W_KEY_SQL
+from kpiloom.plans.q_normalize import B_KEY, B_KEY_SQL, supp, SUPP_SQL, W_KEY, W_KEY_SQL
 from kpiloom.plans.registry import register
 from kpiloom.sources import fixtures
 from kpiloom.sources.tables import Tables
@@ -52,7 +52,7 @@ _TOT_SQL = f"{_n('qty_text')} * 2"
           f"CASE WHEN {_PART_SQL} > 100 AND NOT COALESCE({_TOT_SQL} > 0, FALSE) THEN {_PART_SQL} END AS participation_count FROM fx_w")
 def rate_or_count_q(spark, sf):
     w = _w(spark, sf)
-    part = F.when(SUPP % 2 == 0, C.parse_number("r_rate")).otherwise(C.parse_number("qty_text"))
+    part = F.when(supp() % 2 == 0, C.parse_number("r_rate")).otherwise(C.parse_number("qty_text"))
     rate, count = D.rate_or_count(part, C.parse_number("qty_text") * 2)
     return w.select(*W_KEY, rate.alias("participation_rate"), count.alias("participation_count"))
 

@@ -32,7 +32,8 @@ define("fx_wn", "SELECT " + ", ".join(f"{S.nm(c)} AS {c}" for c in W_ALL) + " FR
 define("fx_bn", "SELECT " + ", ".join(f"{S.nm(c)} AS {c}" for c in B_ALL) + " FROM fx_b", ["fx_b"])
 IDS_SQL = ", ".join(W_IDS)
 FLAG_SQL = S.flag("suppressed")
-SUPPK = F.col("school_code").cast("bigint")
+def suppk():
+    return F.col("school_code").cast("bigint")
 SUPPK_SQL = "CAST(school_code AS BIGINT)"
 
 
@@ -113,7 +114,7 @@ _job("job_english_learner", "B",
 # 4. kindergarten readiness: count format (>= 1998) and percent format -----------
 def _kg_prep(w):
     rwi, r, rwe = n("a_count"), n("n_count"), n("r_count")
-    prior = F.when(SUPPK % 2 == 1, F.lit("Child Care")).otherwise(F.lit("All Students"))
+    prior = F.when(suppk() % 2 == 1, F.lit("Child Care")).otherwise(F.lit("All Students"))
     counts = F.substring("school_year", 5, 4) >= "1998"
     flag = C.override_suppression(_flag(), [rwi, r, rwe, n("r_rate"), n("total_count")])
     return w.select(*W_IDS, flag.alias("suppressed"), counts.alias("count_format"),
@@ -302,7 +303,7 @@ _job("job_assessment", "B", _ksa_prep, _ksa_entries, _ksa_defaults, "row", _ksa_
 
 # 9. CTE participation: rate or count, guarded after the decision --------------------
 def _cte_prep(w):
-    part = F.when(SUPPK % 2 == 0, n("r_rate")).otherwise(n("qty_text"))
+    part = F.when(suppk() % 2 == 0, n("r_rate")).otherwise(n("qty_text"))
     total = n("qty_text") * 2
     p_rate, p_count = D.rate_or_count(part, total)
     elig = n("a_count")

@@ -11,7 +11,7 @@ from kpiloom.operators.longform import Entry, with_kpi_ids
 from kpiloom.plans import sqltext as S
 from kpiloom.plans.dims import W_DIMS
 from kpiloom.plans.oracle_fixtures import W_FLAG_SQL, W_IDS_SQL, ctes, define, pipeline
-from kpiloom.plans.q_normalize import (SUPP, SUPP_SQL, level_text, sql_grade, sql_grade_to_level, sql_level,
+from kpiloom.plans.q_normalize import (supp, SUPP_SQL, level_text, sql_grade, sql_grade_to_level, sql_level,
                                        sql_subject, LEVEL_TEXT_SQL)
 from kpiloom.plans.registry import register
 from kpiloom.plans.specs import SourceSpec, run_spec
@@ -44,7 +44,7 @@ _sd = pipeline("sd", f"{W_IDS_SQL}, {_PLANTED_SQL} AS suppressed, {', '.join(_ME
 def suppressed_defaults_q(spark, sf):
     spec = SourceSpec(
         "suppressed_defaults",
-        prepare=lambda w: w.select(*_measure_cols(F.when(SUPP % 4 == 0, F.lit("Y")).otherwise(C.suppression_flag("suppressed")))),
+        prepare=lambda w: w.select(*_measure_cols(F.when(supp() % 4 == 0, F.lit("Y")).otherwise(C.suppression_flag("suppressed")))),
         entries=lambda: [Entry(m, F.col(m)) for m in W_MEASURES],
         defaults=lambda: list(W_MEASURES))
     return run_spec(spec, _w(spark, sf), W_DIMS).filter(F.col("suppressed") == "Y")

@@ -38,3 +38,15 @@ def test_every_key_has_an_oracle_or_is_rows_only():
     qs, os_ = E.queries(), E.oracle_sql()
     assert set(os_) <= set(qs)
     assert set(qs) - set(os_) == {"sink_heatmap_json"}
+
+
+def test_registry_loads_without_spark():
+    """oracle_sql() / queries() must be listable in a process without a SparkContext."""
+    import subprocess
+    import sys
+    code = "import __spark_entry__ as E; print(len(E.queries()), len(E.oracle_sql()))"
+    root = __import__("os").path.dirname(__import__("os").path.dirname(__import__("os").path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr[-2000:]
+    n_q, n_o = map(int, out.stdout.split()[-2:])
+    assert n_q == n_o + 1
