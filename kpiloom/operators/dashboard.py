@@ -57,7 +57,11 @@ def heatmap_cells(kpi: DataFrame, year: str | None = None, metrics: DataFrame |
     year; the newest year, the school means and the ranks all come from the
     (much smaller) cells, whose exchange every later step reuses.
     """
-    rows = usable(kpi)
+    # the join keys' not-null constraints are stated once here; otherwise each
+    # branch below would get its own inferred filter pushed under the cells
+    # aggregate, the branches would differ and the aggregate could not be reused
+    rows = usable(kpi).filter(F.col("metric").isNotNull() & F.col("year").isNotNull()
+                              & F.col("school_name").isNotNull())
     if year is not None:
         rows = rows.filter(F.col("year") == year)
     if metrics is not None:
