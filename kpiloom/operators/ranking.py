@@ -7,11 +7,12 @@ spreads over many tasks, each task numbers its sorted rows locally, and a small
 table of per-(task, group) counts turns local numbers into global positions.
 The offset table has at most (#tasks + #groups) rows.
 
-Consistency: the counts and the numbered rows are two consumers of one
-range exchange (the same plan, reused), so they see the same partitions; the
-sort inside a partition is a total order, so a retried task renumbers its rows
-identically, and a lost shuffle block is recomputed with the same fixed range
-bounds.
+Consistency: the numbered rows are written once with a reliable
+``checkpoint()`` under the shared ``spark.checkpoint.dir`` before the counts
+and the join read them.  Two independent range exchanges could sample
+different bounds and number rows differently; after the checkpoint both
+consumers read the same materialised ids, whatever the planner reuses, and
+lost executors cannot change them.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.operators.broadcast import sized_broadcast
+from kpiloom.session import checkpoint_root
 
 _LOW_BITS = (1 << 33) - 1
 
@@ -43,6 +45,8 @@ def position_within(df: DataFrame, group: list[str], order: list[Column], out: s
     s = s.withColumn("_pos_id", F.monotonically_increasing_id())
     s = s.withColumn("_pos_task", F.shiftright("_pos_id", 33)) \
          .withColumn("_pos_idx", F.col("_pos_id").bitwiseAND(F.lit(_LOW_BITS)))
+    checkpoint_root(spark)
+    s = s.checkpoint(eager=True)
     counts = s.groupBy("_pos_task", *group).agg(F.min("_pos_idx").alias("_pos_first"),
                                                 F.count(F.lit(1)).alias("_pos_n"))
     before = Window.partitionBy(*group).orderBy("_pos_task").rowsBetween(Window.unboundedPreceding, -1)

@@ -80,3 +80,20 @@ def test_position_within_matches_window_under_skew(spark):
     a = sorted(map(tuple, fast.select("grp", "name", "pos").collect()))
     b = sorted(map(tuple, slow.select("grp", "name", "pos").collect()))
     assert a == b
+
+
+def test_position_within_without_exchange_reuse(spark):
+    """The ranks must not depend on the planner reusing the range exchange."""
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        df = spark.range(0, 6000).select(
+            F.when(F.col("id") % 10 < 8, F.lit("hot")).otherwise(F.lit("cold")).alias("grp"),
+            (F.col("id") % 97).cast("double").alias("score"), F.col("id").cast("string").alias("name"))
+        df = df.repartition(5).groupBy("grp", "name").agg(F.max("score").alias("score"))
+        order = [F.col("score").desc(), F.col("name").asc()]
+        fast = position_within(df, ["grp"], order, out="pos", num_partitions=6)
+        slow = df.withColumn("pos", F.row_number().over(Window.partitionBy("grp").orderBy(*order)))
+        assert sorted(map(tuple, fast.select("grp", "name", "pos").collect())) == \
+            sorted(map(tuple, slow.select("grp", "name", "pos").collect()))
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
