@@ -2,13 +2,15 @@
 
 Only tests and the bench build their own session; library code always takes
 the caller's ``SparkSession``.  Intermediate tables that must survive executor
-loss are written under ``spark.checkpoint.dir`` (a shared folder on a cluster);
-a private folder is created only when the setting is absent, as in tests.
+loss are written under ``spark.checkpoint.dir`` (a shared folder on a cluster).
+Where that setting is absent, a private folder is made in local mode (tests);
+on any other master this is an error, since executors could not see it.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -44,6 +46,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; set a private one only if unset."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="kpiloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
@@ -55,3 +59,10 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/kpiloom/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete every scratch folder of this session's checkpoint root; call it
+    once the results that were built from them have been written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/kpiloom")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
