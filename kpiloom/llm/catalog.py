@@ -3,14 +3,17 @@ their oracle SQL where SQL can express them."""
 
 from __future__ import annotations
 
+from kpiloom.llm import url_filter
 from kpiloom.llm.byte_bpe import op8_byte_bpe
+from kpiloom.llm.sharding import op1_stratified_interleave
 from kpiloom.llm.token_count import op9_resync_token_counts
+from kpiloom.llm.url_filter import op4_bloom_url_filter
 
 
 def queries():
-    found = [op8_byte_bpe, op9_resync_token_counts]
+    found = [op1_stratified_interleave, op4_bloom_url_filter, op8_byte_bpe, op9_resync_token_counts]
     return {f.__name__: f for f in found}
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {"op4_bloom_url_filter": url_filter.ORACLE}
