@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from kpiloom.llm import url_filter
 from kpiloom.llm.byte_bpe import op8_byte_bpe
+from kpiloom.llm.decontamination import op2_spaced_seed_decontamination
 from kpiloom.llm.language_id import op6_byte_cnn_language
 from kpiloom.llm.sharding import op1_stratified_interleave
 from kpiloom.llm.simhash import op7_bitsliced_simhash
@@ -14,7 +15,7 @@ from kpiloom.llm.url_filter import op4_bloom_url_filter
 
 
 def queries():
-    found = [op1_stratified_interleave, op3_fm_toxicity, op4_bloom_url_filter, op6_byte_cnn_language, op7_bitsliced_simhash, op8_byte_bpe, op9_resync_token_counts]
+    found = [op1_stratified_interleave, op2_spaced_seed_decontamination, op3_fm_toxicity, op4_bloom_url_filter, op6_byte_cnn_language, op7_bitsliced_simhash, op8_byte_bpe, op9_resync_token_counts]
     return {f.__name__: f for f in found}
 
 

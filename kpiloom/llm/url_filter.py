@@ -1,13 +1,9 @@
 """URL filter: host and path rules, then a list of canonical URLs behind a
 blocked Bloom filter.
 
-The filter holds the listed URLs in blocks of eight 64-bit words; a URL sets
-one bit in each word of its block.  It is built with one aggregation (bit_or
-per block) and probed with one broadcast join on the block number, all in the
-JVM.  The number of blocks follows the list up to ``MAX_BLOCKS`` (72 bytes
-each), so what is broadcast is bounded whatever the list; a longer list only
-raises the share of false positives.  The possible hits alone go on to an
-exact join with the list, which takes the false positives out.  A URL that
+The filter (``bloom.py``) is a broadcast table of bounded size, whatever the
+list; a longer list only raises the share of false positives.  The possible
+hits alone go on to an exact join with the list, which takes the false positives out.  A URL that
 many pages share is no problem there: the list has one row a URL, and the
 join's other side can be split.
 
@@ -29,6 +25,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kpiloom.llm.bloom import MAX_BLOCKS, probed
 from kpiloom.llm.common import ascii_lower, table, written
 
 
@@ -47,9 +44,6 @@ RULES = (Rule("org", "/", "allow"), Rule("example.org", "/es/", "block"), Rule("
          Rule("com", "/fr/", "allow"), Rule("com", "/de/", "block"))
 LISTED_HOSTS = "casino|pills|bets|poker|loans"
 
-WORDS = 8
-KEYS_PER_BLOCK = 32
-MAX_BLOCKS = 1 << 18
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _QUERY = r"(?s)^.*?://[^?#]*\?([^#]*)"
 _TRACKING = r"^(utm_[^=]*|ref|fbclid|gclid)(=|$)"
@@ -81,43 +75,18 @@ def rule_columns(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) ->
     return name, verdict
 
 
-def _block(key: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(blocks))
-
-
-def _masks(key: Column) -> list[Column]:
-    """The bit that the key sets in each word of its block."""
-    h = F.xxhash64(F.lit(1), key)
-    return [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 6 * i).bitwiseAND(F.lit(63)).cast("int")) for i in range(WORDS)]
-
-
-def bloom_blocks(listed: DataFrame, key: str, blocks: int) -> DataFrame:
-    """(block, w0 .. w7): at most ``blocks`` rows."""
-    masks = [m.alias(f"m{i}") for i, m in enumerate(_masks(F.col(key)))]
-    return (listed.select(_block(F.col(key), blocks).alias("block"), *masks)
-            .groupBy("block").agg(*(F.bit_or(f"m{i}").alias(f"w{i}") for i in range(WORDS))))
-
-
-def listed_in(rows: DataFrame, listed: DataFrame, key: str) -> DataFrame:
+def listed_in(rows: DataFrame, listed: DataFrame, key: str, max_blocks: int = MAX_BLOCKS) -> DataFrame:
     """``rows`` with the column ``listed``: whether ``key`` is on the list
     (one column of that name, no repeats), by filter and exact join."""
-    blocks = 1 << max(0, min(MAX_BLOCKS.bit_length() - 1, (listed.count() // KEYS_PER_BLOCK).bit_length()))
-    masks = _masks(F.col(key))
-    possible = F.lit(True)
-    for i, mask in enumerate(masks):
-        possible &= F.col(f"w{i}").bitwiseAND(mask) != 0
-    probed = (rows.withColumn("block", _block(F.col(key), blocks))
-              .join(F.broadcast(bloom_blocks(listed, key, blocks)), "block", "left")
-              .withColumn("possible", F.coalesce(possible, F.lit(False)))
-              .select(*rows.columns, "possible"))
-    sure = probed.filter("not possible").withColumn("listed", F.lit(False))
-    hits = (probed.filter("possible").join(listed.select(key, F.lit(True).alias("listed")), key, "left")
+    found = probed(rows, listed, key, max_blocks)
+    sure = found.filter("not _possible").withColumn("listed", F.lit(False))
+    hits = (found.filter("_possible").join(listed.select(key, F.lit(True).alias("listed")), key, "left")
             .withColumn("listed", F.coalesce("listed", F.lit(False))))
     return sure.unionByName(hits).select(*rows.columns, "listed")
 
 
 def judge(pages: DataFrame, listed_urls: DataFrame, rules: tuple[Rule, ...] = RULES, page_id: str = "page_id",
-          url: str = "url") -> DataFrame:
+          url: str = "url", max_blocks: int = MAX_BLOCKS) -> DataFrame:
     """page_id, host, path, rule, verdict of every page.  ``listed_urls``: the
     blocked URLs, one column ``url``, as found (they are made canonical here)."""
     listed = written(listed_urls.select(canonical(F.col("url")).alias("canonical")).filter("canonical != ''").distinct(), "listed-urls")
@@ -127,7 +96,7 @@ def judge(pages: DataFrame, listed_urls: DataFrame, rules: tuple[Rule, ...] = RU
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     own = own.withColumn("rule", rule).withColumn("verdict", verdict)
     ruled = own.filter("rule is not null")
-    rest = (listed_in(own.filter("rule is null"), listed, "canonical")
+    rest = (listed_in(own.filter("rule is null"), listed, "canonical", max_blocks)
             .withColumn("verdict", F.when(F.col("listed"), "block").otherwise("allow")))
     out = ["page_id", "host", "path", "rule", "verdict"]
     return ruled.select(*out).unionByName(rest.select(*out))
