@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kpiloom.llm.common import table
+from kpiloom.llm.common import bounded_batches, table
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
 CHUNK_CHARS = 50_000
@@ -88,6 +88,8 @@ def encode_text(enc, text: str, chunk: int = CHUNK_CHARS, long_run: re.Pattern =
 
 def encode(docs: DataFrame, rank_file: str = RANK_FILE, text: str = "text", out: str = "ids") -> DataFrame:
     """``docs`` with the binary column ``out``: the ids of each whole text."""
+    bounded_batches(docs.sparkSession)
+
     @F.pandas_udf(T.BinaryType())
     def ids_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         enc = encoding(rank_file)
@@ -99,6 +101,8 @@ def encode(docs: DataFrame, rank_file: str = RANK_FILE, text: str = "text", out:
 
 def decode(df: DataFrame, rank_file: str = RANK_FILE, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` with the binary column ``out``: the bytes that the ids stand for."""
+    bounded_batches(df.sparkSession)
+
     @F.pandas_udf(T.BinaryType())
     def bytes_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         enc = encoding(rank_file)

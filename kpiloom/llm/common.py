@@ -30,3 +30,12 @@ def fold(doc_id: str | Column, n: int) -> Column:
 def ascii_lower(c: Column) -> Column:
     """A-Z lower-cased, every other character as it is."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def bounded_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Hold the Arrow batches that Python functions get to ``size``, unless the
+    session was set up with a size of its own: a worker's memory then follows
+    the batch, not 10,000 texts of any length."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.sparkContext.getConf().get(key) is None:
+        spark.conf.set(key, size)

@@ -4,9 +4,9 @@ Every byte of a window has a small embedding; filters of several widths run
 over them, the largest response of each filter over the window is its feature,
 and a softmax layer turns features into languages.  The network is trained in
 numpy (Adam, seeded) on windows of a bounded sample of labelled rows:
-``SAMPLE_DOCS`` rows at most, as many of each language as there are, up to an
-equal share, those with the smallest seeded hash of their id, and
-``SAMPLE_WINDOWS`` places of each text.
+about ``SAMPLE_DOCS`` rows (twice that at most), an equal share of each
+language or all it has, those whose id's seeded hash is under the language's
+share of its rows, and ``SAMPLE_WINDOWS`` places of each text.
 
 Applied, a text is cut into windows of ``WINDOW`` bytes, one after the other
 until its end (the last one padded with byte 0); the windows of many texts are
@@ -29,10 +29,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import fold, table
+from kpiloom.llm.common import bounded_batches, fold, table
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -46,6 +46,7 @@ BATCH = 64
 SEED = 5
 BLOCK_WINDOWS = 1024
 UNDETERMINED = "und"
+LEAST_SCORE = 0.4
 FOLDS, HELD_OUT = 4, 2
 
 
@@ -165,16 +166,17 @@ class Reader:
 def sample_windows(docs: DataFrame, sample: int = SAMPLE_DOCS) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Windows, label numbers and languages of the bounded sample."""
     rows = docs.filter(F.col("lang").isNotNull() & (fold("doc_id", FOLDS) != HELD_OUT))
-    languages = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
-    share = max(1, sample // max(1, len(languages)))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id")
-    ids = (rows.select("doc_id", "lang").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= share)
-           .groupBy("doc_id").agg(F.min("lang").alias("lang")))
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    languages = sorted(counts)
+    parts = [F.lit(x) for lang in languages for x in (lang, min(1.0, sample / len(languages) / counts[lang]))]
+    place = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    chosen = rows.select("doc_id", "lang").filter(place < F.create_map(*parts)[F.col("lang")] if parts else F.lit(False))
+    ids = chosen.groupBy("doc_id").agg(F.min("lang").alias("lang")).orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(2 * sample)
     body = F.coalesce("text", F.lit("")).cast("binary")
     places = F.transform(F.sequence(F.lit(1), F.lit(SAMPLE_WINDOWS)), lambda i: F.substring(
         body, F.pmod(F.xxhash64("doc_id", i), F.greatest(F.octet_length(body) - WINDOW + 1, F.lit(1))).cast("int") + 1, F.lit(WINDOW)))
     found = (docs.select("doc_id", "text").filter(F.col("text").rlike(r"\p{L}")).join(F.broadcast(ids), "doc_id")
-             .select("doc_id", "lang", F.explode(F.array_distinct(places)).alias("window")).collect())
+             .select("doc_id", "lang", F.explode(F.array_distinct(places)).alias("window")).limit(2 * sample * SAMPLE_WINDOWS).collect())
     found.sort(key=lambda r: (r["doc_id"], r["lang"], r["window"]))
     windows = np.frombuffer(b"".join(bytes(r["window"]).ljust(WINDOW, b"\0") for r in found), "uint8").reshape(-1, WINDOW)
     return windows, np.array([languages.index(r["lang"]) for r in found], "int64"), languages
@@ -193,6 +195,7 @@ def predictor(spark: SparkSession, net: Net | None, text: Column) -> Column:
     nothing = F.struct(F.lit(UNDETERMINED).alias("lang"), F.lit(0.0).alias("score"))
     if net is None:
         return nothing
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast(net)
 
     @F.pandas_udf("lang string, score double")
@@ -210,6 +213,13 @@ def identify(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return docs.withColumn("language_id", predictor(spark, train(docs), F.col("text")))
 
 
+def with_known_language(spark: SparkSession, docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs`` in some learned language, with a score of ``least`` or more."""
+    found = predictor(spark, train(docs), F.col("text"))
+    judged = docs.withColumn("_language", found)
+    return judged.filter((F.col("_language.lang") != UNDETERMINED) & (F.col("_language.score") >= least)).select(docs.columns)
+
+
 def op6_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return identify(spark, docs).select("doc_id", F.coalesce(fold("doc_id", FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"),

@@ -42,10 +42,10 @@ from math import ceil, log2
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import table, written
+from kpiloom.llm.common import bounded_batches, table, written
 
 SHINGLE = 4
 RADIUS = 4
@@ -80,6 +80,8 @@ def fingerprint_of(text: str, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, text: str = "text", out: str = "fp", shingle: int = SHINGLE) -> DataFrame:
     """``docs`` with its fingerprint as a (signed) long."""
+    bounded_batches(docs.sparkSession)
+
     @F.pandas_udf("long")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
@@ -258,6 +260,21 @@ def same_document(prints: DataFrame) -> DataFrame:
             .select(F.col("doc_id").alias("a"), F.col("id").alias("b")))
 
 
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without those whose group has a smaller doc_id.
+    Rows without an id stay; of several rows with one id that stays, the one
+    with the first text does."""
+    found = near_duplicates(docs)
+    dropped = written(found.filter("doc_id != component_id").select("doc_id").distinct(), "near-duplicates")
+    kept = docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    repeated = found.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if not repeated.head(1):
+        return kept
+    first = Window.partitionBy("doc_id").orderBy("text", *(c for c in docs.columns if c not in ("doc_id", "text")))
+    one = kept.join(repeated, "doc_id", "left_semi").withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n")
+    return kept.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(one)
+
+
 def hex_of(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import table
+from kpiloom.llm.common import bounded_batches, table
 
 MODEL_FILE = "piece_bpe_32k.model"
 CHUNK_CHARS = 60_000
@@ -125,6 +125,8 @@ def counts_of(model_file: str, texts: list[str], chunk: int = CHUNK_CHARS, overl
 def with_token_count(docs: DataFrame, model_file: str = MODEL_FILE, text: str = "text", out: str = "n_tokens",
                      chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> DataFrame:
     """``docs`` with the number of pieces of each whole text."""
+    bounded_batches(docs.sparkSession)
+
     @F.pandas_udf("long")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kpiloom.llm.common import fold, table
+from kpiloom.llm.common import bounded_batches, fold, table
 
 HASH_BITS = 20
 SAMPLE_DOCS = 20_000
@@ -170,6 +170,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Mode
 
 def scorer(spark: SparkSession, model: Model, text: Column) -> Column:
     """The score of a text column.  The model has a fixed size (4 MB)."""
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -187,6 +188,11 @@ def score_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame) ->
     return docs.withColumn("toxic_score", scorer(spark, model, F.col("text")))
 
 
+def without_toxic(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score under ``threshold``."""
+    return docs.filter(scorer(spark, train(docs, labels), F.col("text")) < threshold)
+
+
 def op3_fm_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score_documents(spark, docs, table(spark, sf_dir, "labels"))
