@@ -6,18 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.operators.broadcast import sized_broadcast
 from kpiloom.operators.ranking import position_within
+from kpiloom.session import materialized
 
 # Which metrics a dashboard shows.
 RATE_PATTERN = "_rate"
 SUSPENSION_COUNT_PATTERN = "out_of_school_suspension.*_count"
 SUSPENSION_TOTAL_MARK = "total_count"
 
-# Metric names come from source specs (fixed names, or products of small label
-# domains such as subject x band x grade): the set is configuration-sized.
-METRIC_LIMIT = 1_000_000
-
 
 def filter_district_contains(kpi: DataFrame, needle: str) -> DataFrame:
     """Case-insensitive substring filter on district; null districts drop."""
@@ -42,37 +38,39 @@ def latest_year(kpi: DataFrame, year: str | None = None) -> DataFrame:
     if year is not None:
         return u.filter(F.col("year") == year)
     newest = u.groupBy("metric").agg(F.max("year").alias("_latest"))
-    # one row per metric: bounded by the configured metric set, no counting job
-    newest = sized_broadcast(newest, METRIC_LIMIT, known_rows=METRIC_LIMIT)
     return u.join(newest, (u.metric == newest.metric) & (u.year == newest._latest), "left_semi")
 
 
-def heatmap_cells(kpi: DataFrame, year: str | None = None, metrics: DataFrame | None = None) -> DataFrame:
-    """Long heatmap: (metric, year, school_name, school_rank, student_group, value).
-
-    Cell = mean per (school, group) of the chosen year (default: the newest
-    year with usable data, per metric), 1 decimal (half-even); schools ranked
-    per metric by the unweighted mean of their cells, descending, school name
-    ascending on ties.  The KPI rows are aggregated once into cells of every
-    year; the newest year, the school means and the ranks all come from the
-    (much smaller) cells, whose exchange every later step reuses.
-    """
-    # the join keys' not-null constraints are stated once here; otherwise each
-    # branch below would get its own inferred filter pushed under the cells
-    # aggregate, the branches would differ and the aggregate could not be reused
+def latest_cells(kpi: DataFrame, year: str | None = None, metrics: DataFrame | None = None) -> DataFrame:
+    """(metric, year, school_name, student_group, cell): the mean per (school,
+    group) of the chosen year (default: the newest year with usable data, per
+    metric).  The KPI rows are aggregated once into cells of every year, and the
+    newest year is found among those."""
     rows = usable(kpi).filter(F.col("metric").isNotNull() & F.col("year").isNotNull()
                               & F.col("school_name").isNotNull())
     if year is not None:
         rows = rows.filter(F.col("year") == year)
     if metrics is not None:
-        rows = rows.join(sized_broadcast(metrics.select("metric"), METRIC_LIMIT, known_rows=METRIC_LIMIT),
-                         "metric", "left_semi")
+        rows = rows.join(metrics.select("metric"), "metric", "left_semi")
     cells = rows.groupBy("metric", "year", "school_name", "student_group").agg(F.avg("value").alias("cell"))
-    if year is None:
-        newest = cells.groupBy("metric").agg(F.max("year").alias("_latest"))
-        newest = sized_broadcast(newest, METRIC_LIMIT, known_rows=METRIC_LIMIT)
-        cells = cells.join(newest, (cells.metric == newest.metric) & (cells.year == newest._latest), "left_semi")
-    schools = cells.groupBy("metric", "year", "school_name").agg(F.avg("cell").alias("school_mean"))
+    if year is not None:
+        return cells
+    cells = materialized(cells, "heatmap-cells")
+    newest = cells.groupBy("metric").agg(F.max("year").alias("_latest"))
+    return cells.join(newest, (cells.metric == newest.metric) & (cells.year == newest._latest), "left_semi")
+
+
+def heatmap_cells(kpi: DataFrame, year: str | None = None, metrics: DataFrame | None = None) -> DataFrame:
+    """Long heatmap: (metric, year, school_name, school_rank, student_group, value).
+
+    Cells to 1 decimal (half-even); schools ranked per metric by the unweighted
+    mean of their cells, descending, school name ascending on ties.  The mean is
+    rounded to 9 decimals before ranking, so that equal means tie whatever the
+    order of summation.  Cells are written once to the scratch folder; ranks and
+    result read them there.
+    """
+    cells = materialized(latest_cells(kpi, year, metrics), "heatmap-latest")
+    schools = cells.groupBy("metric", "year", "school_name").agg(F.round(F.avg("cell"), 9).alias("school_mean"))
     ranked = position_within(schools, ["metric"], [F.col("school_mean").desc(), F.col("school_name").asc()],
                              out="school_rank")
     return (cells.join(ranked.select("metric", "school_name", "school_rank", "school_mean"), ["metric", "school_name"])
@@ -80,14 +78,14 @@ def heatmap_cells(kpi: DataFrame, year: str | None = None, metrics: DataFrame |
                          F.bround("cell", 1).alias("value"), "cell", "school_mean"))
 
 
-def heatmap_pivot(kpi: DataFrame, metric: str, groups: list[str], year: str | None = None) -> DataFrame:
-    """Schools x groups matrix for one metric; ``groups`` are the pivot values
-    (explicit, so no extra distinct job), output in alphabetical order."""
+def heatmap_pivot(kpi: DataFrame, metric: str, year: str | None = None) -> DataFrame:
+    """Schools x groups matrix for one metric: a column for every student group
+    that has a cell, in alphabetical order.  Groups are a dimension (tens)."""
     cells = heatmap_cells(kpi.filter(F.col("metric") == metric), year)
-    ordered = sorted(groups)
+    groups = sorted(r[0] for r in cells.select("student_group").distinct().collect() if r[0] is not None)
     piv = (cells.groupBy("metric", "year", "school_name", "school_rank")
-                .pivot("student_group", ordered).agg(F.first("value")))
-    return piv.select("metric", "year", "school_name", "school_rank", *[F.col(f"`{g}`") for g in ordered])
+                .pivot("student_group", groups).agg(F.first("value")))
+    return piv.select("metric", "year", "school_name", "school_rank", *[F.col(f"`{g}`") for g in groups])
 
 
 def heatmap_stats(cells: DataFrame) -> DataFrame:

@@ -20,21 +20,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiloom.operators.broadcast import sized_broadcast
 from kpiloom.session import checkpoint_root
 
 _LOW_BITS = (1 << 33) - 1
 
 
 def position_within(df: DataFrame, group: list[str], order: list[Column], out: str = "position",
-                    num_partitions: int | None = None, max_groups: int = 1_000_000) -> DataFrame:
+                    num_partitions: int | None = None) -> DataFrame:
     """Add ``out`` = row_number() over (partition by group order by order).
 
     ``order`` must make the order total within a group (add a unique tie-break).
-    ``max_groups`` bounds the number of distinct groups (for metrics: the
-    configuration-sized set of metric names); the offset table then has at
-    most ``num_partitions + max_groups`` rows, which is what licenses the
-    broadcast without running a counting job over the upstream plan.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -51,10 +46,9 @@ def position_within(df: DataFrame, group: list[str], order: list[Column], out: s
                                                 F.count(F.lit(1)).alias("_pos_n"))
     before = Window.partitionBy(*group).orderBy("_pos_task").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_pos_off", F.coalesce(F.sum("_pos_n").over(before), F.lit(0)))
-    # a range partition holds one contiguous key range, so (task, group) pairs
-    # number at most n + groups - 1
-    offsets = sized_broadcast(offsets.select("_pos_task", *group, "_pos_first", "_pos_off"),
-                              max_rows=n + max_groups, known_rows=n + max_groups)
+    # a range partition holds one contiguous key range, so (task, group) pairs number at
+    # most tasks + groups - 1; whether that is broadcast is left to the planner
+    offsets = offsets.select("_pos_task", *group, "_pos_first", "_pos_off")
     joined = s.join(offsets, ["_pos_task", *group])
     return joined.withColumn(out, F.col("_pos_off") + F.col("_pos_idx") - F.col("_pos_first") + 1) \
                  .drop("_pos_id", "_pos_task", "_pos_idx", "_pos_first", "_pos_off")

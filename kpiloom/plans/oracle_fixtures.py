@@ -14,7 +14,8 @@ DEPS: dict[str, list[str]] = {}
 
 
 def _def(name: str, body: str, deps: list[str]) -> None:
-    FX[name] = f"{name} AS (\n{body}\n)"
+    once = "MATERIALIZED " if name in ("fx_base", "fx_k") else ""  # read by many parts of a query
+    FX[name] = f"{name} AS {once}(\n{body}\n)"
     DEPS[name] = deps
 
 
@@ -24,7 +25,7 @@ FROM lineitem l JOIN orders o ON l.l_orderkey=o.o_orderkey JOIN customer c ON o.
 JOIN supplier s ON l.l_suppkey=s.s_suppkey JOIN nation n ON s.s_nationkey=n.n_nationkey
 JOIN region r ON n.n_regionkey=r.r_regionkey""", [])
 
-_def("fx_w", f"""SELECT {_SCHOOL},
+_def("fx_wp", f"""SELECT {_SCHOOL},
  CASE WHEN seg IS NULL THEN 'All Students' WHEN seg='AUTOMOBILE' AND yr<1998 THEN 'automobile' WHEN seg='BUILDING' AND yr=2001 THEN 'Bldg'
   WHEN seg='HOUSEHOLD' AND yr>=2000 THEN 'HOUSEHOL' WHEN seg='MACHINERY' AND yr=1996 THEN 'Mystery Group' ELSE seg END AS demographic,
  CASE WHEN n<10 THEN 'Yes' ELSE 'No' END AS suppressed,
@@ -33,18 +34,25 @@ _def("fx_w", f"""SELECT {_SCHOOL},
  CASE WHEN n<10 THEN '*' ELSE CAST(nn AS VARCHAR) END AS n_count,
  CASE WHEN n<10 THEN '*' ELSE CAST(r AS VARCHAR) END AS r_count,
  CASE WHEN n<10 THEN '*' ELSE format('{{:,}}', qty) END AS qty_text,
- CASE WHEN n<10 THEN '---' ELSE CAST(round(1e2*r/n,1) AS VARCHAR)||'%' END AS r_rate
+ CASE WHEN n<10 THEN '---' ELSE CAST(round(1e2*r/n,1) AS VARCHAR)||'%' END AS r_rate,
+ CASE WHEN n<10 THEN '---' ELSE CAST(round(1e2*a/n,1) AS VARCHAR)||'%' END AS a_rate,
+ {', '.join(f"CASE WHEN n<10 THEN '*' ELSE CAST(b{i} AS VARCHAR) END AS part_{i}" for i in range(15))}
 FROM (SELECT yr,county,district,supp,seg,count(*) AS n,
  count(*) FILTER (WHERE rf='A') AS a, count(*) FILTER (WHERE rf='N') AS nn, count(*) FILTER (WHERE rf='R') AS r,
- CAST(sum(q)*100 AS BIGINT) AS qty
+ CAST(sum(q)*100 AS BIGINT) AS qty,
+ {', '.join(f"count(*) FILTER (WHERE floor((q-1)*15/50)={i}) AS b{i}" for i in range(15))}
  FROM fx_base GROUP BY GROUPING SETS ((yr,county,district,supp,seg),(yr,county,district,supp))) g""", ["fx_base"])
 
+_def("fx_w", "SELECT school_year, county_name, district_name, school_code, school_name, demographic, suppressed, total_count, "
+     "a_count, n_count, r_count, qty_text, r_rate FROM fx_wp", ["fx_wp"])
+
 _def("fx_t", f"""SELECT {_SCHOOL}, demographic, CAST(t AS VARCHAR) AS total_events,
  CASE WHEN a<2 THEN '*' ELSE CAST(a AS VARCHAR) END AS alpha_events, CAST(r AS VARCHAR) AS return_events,
  CASE WHEN supp%10=0 THEN NULL ELSE 'S'||CAST(supp AS VARCHAR) END AS state_school_id
 FROM (
  SELECT yr,county,district,supp,seg AS demographic,count(*) AS t,count(*) FILTER (WHERE rf='A') AS a,count(*) FILTER (WHERE rf='R') AS r FROM fx_base GROUP BY yr,county,district,supp,seg
  UNION ALL SELECT yr,county,district,supp,'All Students',count(DISTINCT cust),count(DISTINCT CASE WHEN rf='A' THEN cust END),count(DISTINCT CASE WHEN rf='R' THEN cust END) FROM fx_base GROUP BY yr,county,district,supp
+ UNION ALL SELECT yr,county,district,supp,'All Students',2*count(DISTINCT cust),2*count(DISTINCT CASE WHEN rf='A' THEN cust END),2*count(DISTINCT CASE WHEN rf='R' THEN cust END) FROM fx_base WHERE supp%50=0 GROUP BY yr,county,district,supp
  UNION ALL SELECT yr,county,district,supp,'Total Events',count(*),count(*) FILTER (WHERE rf='A'),count(*) FILTER (WHERE rf='R') FROM fx_base GROUP BY yr,county,district,supp) g""", ["fx_base"])
 
 _def("fx_s", """SELECT '20232024' AS school_year, 'D'||CAST(user_id%5 AS VARCHAR) AS district_name, lpad(CAST(user_id%50 AS VARCHAR),6,'0') AS school_code,

@@ -12,14 +12,15 @@ from kpiloom.operators.climate import dedupe_latest, survey_index_mean
 from kpiloom.operators.events import incident_rate, tier_split
 from kpiloom.operators.longform import Entry, null_marker_strings, wide_to_long, with_kpi_ids
 from kpiloom.plans import sqltext as S
-from kpiloom.plans.dims import W_DIMS, W_STANDARD
+from kpiloom.plans.dims import W_DIMS
 from kpiloom.plans.oracle_fixtures import ctes, define, kpi_cols, pipeline
-from kpiloom.plans.q_jobs import FLAG_SQL, IDS_SQL, JOB_SQL
+from kpiloom.plans.q_jobs import FLAG_SQL, IDS_SQL, JOB_SPECS, JOB_SQL
 from kpiloom.plans.q_long import T_IDS, T_RENAME, T_VALUES, _ae, always_spec
 from kpiloom.plans.registry import register
 from kpiloom.plans.specs import run_spec
 from kpiloom.plans.wide_kpi import W_IDS, kpi_long, with_second_delivery
 from kpiloom.schema import LOGICAL_KEY, select_kpi_columns
+from kpiloom.session import materialized
 from kpiloom.sources import fixtures
 from kpiloom.sources.master import kpi_schema_check, union_master
 from kpiloom.sources.tables import Tables
@@ -63,17 +64,23 @@ define("ev_fix", f"SELECT * REPLACE (COALESCE(tier_group, student_group) AS stud
 define("ev_long", S.emit("ev_fix", [(f"metric_prefix || '{T_RENAME[v]}' || metric_suffix", v, "TRUE") for v in T_VALUES],
                          "metric"), ["ev_fix"])
 _LOC = S.PASSTHROUGH
+_EV_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in ["source_file", "value", *_LOC])
+_EV_KEY = "district, school_id, school_name, year, base_metric"
+
+
+def _tier_sql(prefix: str, group: str, valid: str) -> str:
+    return (f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {_EV_KEY} ORDER BY {_EV_ORDER}) AS rn FROM "
+            f"(SELECT *, replace(metric, '{prefix}', '') AS base_metric FROM ev_long WHERE starts_with(metric, '{prefix}') "
+            f"AND student_group = '{group}' AND {valid}) x) y WHERE rn = 1")
+
+
 define("ev_rate", f"""SELECT 'safe_incident_rate_' || a.base_metric AS metric, a.district, a.school_name, 'All Students' AS student_group,
  round_even(b.value / a.value, 3) AS value, 'N' AS suppressed, a.school_id, a.year,
  {', '.join(f'COALESCE(a.{c}, b.{c}) AS {c}' for c in _LOC)}, 'derived_rates_' || a.base_metric AS source_file
-FROM (SELECT *, replace(metric, 'safe_students_affected_', '') AS base_metric FROM ev_long
-      WHERE starts_with(metric, 'safe_students_affected_') AND student_group = 'All Students') a
-JOIN (SELECT *, replace(metric, 'safe_event_count_', '') AS base_metric FROM ev_long
-      WHERE starts_with(metric, 'safe_event_count_') AND student_group = 'All Students - Total Events'
-        AND NOT contains(metric, '_by_demo') AND NOT contains(metric, 'students_affected')) b
+FROM ({_tier_sql('safe_students_affected_', 'All Students', 'value > 0')}) a
+JOIN ({_tier_sql('safe_event_count_', 'All Students - Total Events', "value >= 0 AND NOT contains(metric, '_by_demo') AND NOT contains(metric, 'students_affected')")}) b
  ON a.district IS NOT DISTINCT FROM b.district AND a.school_id IS NOT DISTINCT FROM b.school_id
- AND a.school_name IS NOT DISTINCT FROM b.school_name AND a.year IS NOT DISTINCT FROM b.year AND a.base_metric = b.base_metric
-WHERE a.value IS NOT NULL AND b.value IS NOT NULL AND a.value > 0 AND b.value >= 0""", ["ev_long"])
+ AND a.school_name IS NOT DISTINCT FROM b.school_name AND a.year IS NOT DISTINCT FROM b.year AND a.base_metric = b.base_metric""", ["ev_long"])
 define("ev_job", f"SELECT {KPI} FROM ev_long UNION ALL SELECT {KPI} FROM ev_rate", ["ev_long", "ev_rate"])
 
 
@@ -111,14 +118,13 @@ define("sv_rows", f"""SELECT district_name AS district, {S.yearx('school_year')}
  COALESCE(co_op, '999') AS co_op, 'survey_' || {S.yearx('school_year')} || '.csv' AS source_file,
  CASE WHEN upper(trim(question_type)) IN ('C', 'CLIMATE') THEN 'climate_index_score_calculated'
       WHEN upper(trim(question_type)) IN ('S', 'SAFETY') THEN 'safety_index_score_calculated' END AS metric,
- {S.guard(S.num('question_index'), 0)} AS score
+ {S.num('question_index')} AS score
 FROM fx_s WHERE question_type IS NOT NULL AND question_index IS NOT NULL AND question_index <> '' AND question_index <> '*'""", ["fx_s"])
 define("sv_sum", "SELECT district, year, student_group, school_code, co_op, source_file, metric, "
-       "sum(CAST(round(score * 1000000) AS BIGINT)) AS s, count(score) AS n FROM sv_rows WHERE metric IS NOT NULL AND score IS NOT NULL "
+       "avg(score) AS s, count(score) AS n FROM sv_rows WHERE metric IS NOT NULL AND score IS NOT NULL "
        "GROUP BY district, year, student_group, school_code, co_op, source_file, metric", ["sv_rows"])
 define("sv_mean", "SELECT district, year, student_group, school_code, co_op, source_file, metric, "
-       "CAST((s // (n * 100000) + CASE WHEN 2 * (s % (n * 100000)) > n * 100000 THEN 1 "
-       "WHEN 2 * (s % (n * 100000)) = n * 100000 THEN (s // (n * 100000)) % 2 ELSE 0 END) AS DOUBLE) / 10 AS value, "
+       "round_even(round(s, 9), 1) AS value, "
        "n AS question_count, 'N' AS suppressed FROM sv_sum", ["sv_sum"])
 
 
@@ -137,14 +143,16 @@ def climate_parts(t: Tables):
     p = fixtures.policies(t)
     p = p.select("school_code", "district_name", D.policy_compliance(POLICY_COLS).alias("rate"))
     p = with_kpi_ids(p, W_DIMS, flag=F.lit("N"), source_file=F.lit("precautionary_measures_2024.csv"))
-    policy = wide_to_long(p, [Entry("safe_schools_policy_compliance_rate", F.col("rate"))], "row")
-    w = null_marker_strings(fixtures.wide(t))
-    w = w.select(*W_IDS, C.suppression_flag("suppressed").alias("suppressed"),
-                 C.range_guard(C.parse_number("r_rate"), 0, 100).alias("combined"))
+    policy = wide_to_long(p, [Entry("safety_policy_compliance_rate", F.col("rate"))], "row")
+    w = null_marker_strings(fixtures.wide_parts(t))
+    direct = F.substring("school_year", 5, 4) >= "1998"
+    rate = lambda c: C.range_guard(C.parse_number(c), 0, 100)
+    w = w.select(*W_IDS, C.suppression_flag("suppressed").alias("suppressed"), direct.alias("direct"),
+                 F.when(direct, rate("a_rate")).otherwise(rate("r_rate")).alias("climate"), rate("r_rate").alias("safety"))
     from kpiloom.operators.longform import skip_aggregate_rows
     w = with_kpi_ids(skip_aggregate_rows(w), W_DIMS,
-                     source_file=F.concat(F.lit("accountability_"), F.substring("school_year", 5, 4), F.lit(".csv")))
-    combined = wide_to_long(w, [Entry("climate_index_score", F.col("combined")), Entry("safety_index_score", F.col("combined"))],
+                     source_file=F.concat(F.when(F.col("direct"), "index_scores_").otherwise("accountability_"), F.substring("school_year", 5, 4), F.lit(".csv")))
+    combined = wide_to_long(w, [Entry("climate_index_score", F.col("climate")), Entry("safety_index_score", F.col("safety"))],
                             "row", ["climate_index_score", "safety_index_score"])
     return means.unionByName(policy).unionByName(combined)
 
@@ -156,15 +164,16 @@ define("cl_parts", f"""
 SELECT {kpi_cols(school_name="'Unknown School'", school_id=S.sid('school_code'), county_number=_NULLS, county_name=_NULLS,
                  district_number=_NULLS, state_school_id=_NULLS, nces_id=_NULLS, co_op_code=_NULLS, school_type=_NULLS)} FROM sv_mean
 UNION ALL
-SELECT '2024', 'safe_schools_policy_compliance_rate', district_name, 'Unknown School', 'All Students',
+SELECT '2024', 'safety_policy_compliance_rate', district_name, 'Unknown School', 'All Students',
  CASE WHEN {_POL_ANS} > 0 THEN round_even({_POL_YES} / {_POL_ANS} * 100, 1) END, 'N', NULL, NULL, NULL, {S.sid('school_code')},
  school_code, NULL, NULL, NULL, NULL, NULL, 'precautionary_measures_2024.csv'
 FROM fx_p WHERE {_POL_ANS} > 0 AND {S.sid('school_code')} IS NOT NULL""", ["sv_mean", "fx_p"])
 _cl_w = pipeline(
-    "clw", f"{IDS_SQL}, {FLAG_SQL} AS suppressed, {S.guard(S.num('r_rate'), 0, 100)} AS combined", "fx_wn", ["fx_wn"],
-    W_IDS + ["suppressed"], ["combined"], [("'climate_index_score'", "combined"), ("'safety_index_score'", "combined")], "row",
+    "clw", f"{IDS_SQL}, {FLAG_SQL} AS suppressed, CASE WHEN substr(school_year, 5, 4) >= '1998' THEN {S.guard(S.num('a_rate'), 0, 100)} "
+    f"ELSE {S.guard(S.num('r_rate'), 0, 100)} END AS climate, {S.guard(S.num('r_rate'), 0, 100)} AS safety", "fx_wn", ["fx_wn"],
+    W_IDS + ["suppressed"], ["climate", "safety"], [("'climate_index_score'", "climate"), ("'safety_index_score'", "safety")], "row",
     [("'climate_index_score'",), ("'safety_index_score'",)],
-    source_file_sql="'accountability_' || substr(school_year, 5, 4) || '.csv'")
+    source_file_sql="CASE WHEN substr(school_year, 5, 4) >= '1998' THEN 'index_scores_' ELSE 'accountability_' END || substr(school_year, 5, 4) || '.csv'")
 define("cl_all", f"SELECT {KPI} FROM cl_parts UNION ALL SELECT * FROM ({_cl_w[1]}) z", ["cl_parts", "clw_map"])
 _DEDUP_ORDER = ["source_file", "value", "suppressed"] + sorted(
     c for c in S.KPI_LIST if c not in LOGICAL_KEY and c not in ("source_file", "value", "suppressed"))
@@ -227,7 +236,7 @@ def latest_year_q(spark, sf):
 
 
 define("hm_cells", "SELECT metric, year, school_name, student_group, avg(value) AS cell FROM lat GROUP BY metric, year, school_name, student_group", ["lat"])
-define("hm_rank", "SELECT metric, school_name, row_number() OVER (PARTITION BY metric ORDER BY avg(cell) DESC, school_name ASC) AS school_rank "
+define("hm_rank", "SELECT metric, school_name, row_number() OVER (PARTITION BY metric ORDER BY round(avg(cell), 9) DESC, school_name ASC) AS school_rank "
        "FROM hm_cells GROUP BY metric, school_name", ["hm_cells"])
 define("hm", "SELECT c.metric, c.year, c.school_name, r.school_rank, c.student_group, round_even(c.cell, 1) AS value, c.cell "
        "FROM hm_cells c JOIN hm_rank r ON c.metric = r.metric AND c.school_name = r.school_name", ["hm_cells", "hm_rank"])
@@ -239,14 +248,10 @@ def heatmap_cells_q(spark, sf):
         "metric", "year", "school_name", "school_rank", "student_group", "value")
 
 
-_PIV_GROUPS = sorted(W_STANDARD)
-
-
-@register("heatmap_pivot", ctes("hm") + "SELECT metric, year, school_name, school_rank, " + ", ".join(
-    f"max(value) FILTER (WHERE student_group = {S.q(g)}) AS \"{g}\"" for g in _PIV_GROUPS)
-    + " FROM hm WHERE metric = 'r_rate' GROUP BY metric, year, school_name, school_rank")
+@register("heatmap_pivot", ctes("hm") + "SELECT * FROM (PIVOT (SELECT metric, year, school_name, school_rank, student_group, value "
+          "FROM hm WHERE metric = 'r_rate') ON student_group USING max(value) GROUP BY metric, year, school_name, school_rank)")
 def heatmap_pivot_q(spark, sf):
-    return DB.heatmap_pivot(kpi_long(Tables(spark, sf)), "r_rate", _PIV_GROUPS)
+    return DB.heatmap_pivot(kpi_long(Tables(spark, sf)), "r_rate")
 
 
 @register("heatmap_stats", ctes("hm") + """SELECT c.metric, c.year, c.total_schools, c.data_points, c.min_value, c.max_value,
@@ -257,8 +262,7 @@ def heatmap_pivot_q(spark, sf):
        (SELECT metric, year, student_group, avg(cell) AS gm FROM hm GROUP BY metric, year, student_group) x GROUP BY metric, year) g
  ON c.metric = g.metric AND c.year = g.year""")
 def heatmap_stats_q(spark, sf):
-    cells = DB.heatmap_cells(kpi_long(Tables(spark, sf)))
-    st = DB.heatmap_stats(cells)
+    st = DB.heatmap_stats(DB.latest_cells(kpi_long(Tables(spark, sf))))
     return st.select("metric", "year", "total_schools", "data_points", F.round("min_value", 6).alias("min_value"),
                      F.round("max_value", 6).alias("max_value"), "total_demographics",
                      F.round("avg_value", 6).alias("avg_value"))
@@ -285,17 +289,32 @@ def value_profile_top_q(spark, sf):
 
 
 # --- master table and its profiles ---------------------------------------------------
-def master(spark, sf):
-    from kpiloom.plans.registry import QUERIES
-    t = Tables(spark, sf)
-    return union_master(spark, [("wide", kpi_long(t)), ("graduation", QUERIES["job_graduation"](spark, sf)),
-                                ("suspension", QUERIES["job_suspension"](spark, sf)), ("events", events_job(t))])
+# The thirteen sources of the master table, and their jobs.
+MASTER_SOURCES = {"graduation_rates": "job_graduation", "chronic_absenteeism": "job_absenteeism", "english_learner_progress": "job_english_learner",
+                  "kindergarten_readiness": "job_kindergarten", "out_of_school_suspension": "job_suspension",
+                  "postsecondary_enrollment": "job_postsec_enrollment", "postsecondary_readiness": "job_postsec_readiness",
+                  "kentucky_summative_assessment": "job_assessment", "cte_participation": "job_cte", "student_enrollment": "job_enrollment",
+                  "safe_schools_discipline": "job_discipline", "safe_schools_climate": "job_climate", "safe_schools_events": "job_events"}
 
 
-define("master", f"SELECT {KPI}, 'wide' AS source FROM fx_k "
-       f"UNION ALL SELECT *, 'graduation' FROM ({JOB_SQL['job_graduation']}) g "
-       f"UNION ALL SELECT *, 'suspension' FROM ({JOB_SQL['job_suspension']}) s "
-       f"UNION ALL SELECT {KPI}, 'events' FROM ev_job", ["fx_k", "job_graduation_map", "job_suspension_map", "ev_job"])
+def master(spark, sf):
+    """All thirteen jobs stacked, with an audit table and one of too few columns
+    that are left out.  The wide exports that eleven jobs read are written once."""
+    t = Tables(spark, sf)
+    exports = {"W": materialized(fixtures.wide_parts(t), "exports-wide"), "B": materialized(fixtures.bands(t), "exports-bands")}
+    jobs = {job: run_spec(spec, exports[fixture], W_DIMS) for job, (spec, fixture) in JOB_SPECS.items()}
+    jobs |= {"job_climate": dedupe_latest(climate_parts(t)), "job_events": events_job(t)}
+    sources = [(name, jobs[job]) for name, job in MASTER_SOURCES.items()]
+    sample = t.region
+    sources += [("graduation_rates_demographic_audit", sample.select(F.col("r_name").alias("original"))),
+                ("short_header", sample.select(F.col("r_name").alias("district"), F.lit("m").alias("metric")))]
+    return union_master(spark, sources)
+
+
+_MASTER_ORACLE = {**{name: f"({JOB_SQL[job]})" for name, job in MASTER_SOURCES.items() if job in JOB_SQL},
+                  "safe_schools_climate": f"({dedupe_sql('cl_all')})", "safe_schools_events": "ev_job"}
+define("master", "\nUNION ALL ".join(f"SELECT {KPI}, '{name}' AS source FROM {sql} s{i}" for i, (name, sql) in enumerate(_MASTER_ORACLE.items())),
+       [*(f"{job}_map" for job in JOB_SQL if job != "job_postsec_readiness"), "ae_map", "cl_all", "ev_job"])
 
 
 @register("union_master", ctes("master") + "SELECT * FROM master")

@@ -17,7 +17,7 @@ from kpiloom.operators.longform import Entry
 from kpiloom.plans import sqltext as S
 from kpiloom.plans.dims import W_DIMS
 from kpiloom.plans.oracle_fixtures import define, pipeline
-from kpiloom.plans.q_long import always_spec, _ae, BANDS, B_IDS, positive_spec, _po
+from kpiloom.plans.q_long import always_spec, _ae, BANDS, B_IDS
 from kpiloom.plans.q_normalize import (LEVEL_TEXT_SQL, level_text, sql_grade, sql_grade_to_level, sql_level,
                                        sql_slug, sql_subject)
 from kpiloom.plans.registry import register
@@ -26,9 +26,10 @@ from kpiloom.plans.wide_kpi import W_IDS
 from kpiloom.sources import fixtures
 from kpiloom.sources.tables import Tables
 
-W_ALL = list(W_IDS) + ["suppressed", "total_count", "a_count", "n_count", "r_count", "qty_text", "r_rate"]
+W_ALL = list(W_IDS) + ["suppressed", "total_count", "a_count", "n_count", "r_count", "qty_text", "r_rate", "a_rate",
+                         *(f"part_{i}" for i in range(fixtures.N_PARTS))]
 B_ALL = list(B_IDS) + ["subject", "grade", "suppressed", *BANDS]
-define("fx_wn", "SELECT " + ", ".join(f"{S.nm(c)} AS {c}" for c in W_ALL) + " FROM fx_w", ["fx_w"])
+define("fx_wn", "SELECT " + ", ".join(f"{S.nm(c)} AS {c}" for c in W_ALL) + " FROM fx_wp", ["fx_wp"])
 define("fx_bn", "SELECT " + ", ".join(f"{S.nm(c)} AS {c}" for c in B_ALL) + " FROM fx_b", ["fx_b"])
 IDS_SQL = ", ".join(W_IDS)
 FLAG_SQL = S.flag("suppressed")
@@ -54,6 +55,7 @@ def _w(spark, sf):
 
 
 JOB_SQL: dict[str, str] = {}
+JOB_SPECS: dict[str, tuple[SourceSpec, str]] = {}
 
 
 def _job(key, fixture, spark_prep, entries, defaults, policy, sql_prep, sql_cols, sql_measures, sql_entries,
@@ -64,7 +66,8 @@ def _job(key, fixture, spark_prep, entries, defaults, policy, sql_prep, sql_cols
     JOB_SQL[key] = sel
     sfc = source_file or (lambda: F.concat(F.lit(f"{key}_"), F.substring("school_year", 5, 4), F.lit(".csv")))
     spec = SourceSpec(key, spark_prep, entries, defaults, policy, sfc)
-    reader = {"W": fixtures.wide, "B": fixtures.bands}[fixture]
+    JOB_SPECS[key] = spec, fixture
+    reader = {"W": fixtures.wide_parts, "B": fixtures.bands}[fixture]
 
     @register(key, c + sel)
     def _q(spark, sf):
@@ -74,13 +77,19 @@ def _job(key, fixture, spark_prep, entries, defaults, policy, sql_prep, sql_cols
 
 # 1. graduation ------------------------------------------------------------------
 _GRAD = {"graduation_rate_4_year": ("r_rate", 0, 100), "graduation_count_4_year": ("r_count", 0, None),
-         "graduation_total_4_year": ("total_count", 0, None), "graduation_count_5_year": ("a_count", 0, None)}
+         "graduation_total_4_year": ("total_count", 0, None), "graduation_rate_5_year": ("a_rate", 0, 100),
+         "graduation_count_5_year": ("a_count", 0, None), "graduation_total_5_year": ("total_count", 0, None)}
+# the oracle's own list of (metric, column, bounds)
+_GRAD_ORACLE = [("graduation_rate_4_year", "r_rate", 100), ("graduation_rate_5_year", "a_rate", 100),
+                ("graduation_count_4_year", "r_count", None), ("graduation_count_5_year", "a_count", None),
+                ("graduation_total_4_year", "total_count", None), ("graduation_total_5_year", "total_count", None)]
 _job("job_graduation", "W",
      lambda w: w.select(*W_IDS, _flag().alias("suppressed"),
                         *[C.range_guard(n(s), lo, hi).alias(m) for m, (s, lo, hi) in _GRAD.items()]),
      lambda: [Entry(m, F.col(m)) for m in _GRAD], lambda: list(_GRAD), "row",
-     f"{IDS_SQL}, {FLAG_SQL} AS suppressed, " + ", ".join(f"{S.guard(ns(s), lo, hi)} AS {m}" for m, (s, lo, hi) in _GRAD.items()),
-     W_IDS + ["suppressed"], list(_GRAD), [(f"'{m}'", m) for m in _GRAD], [(f"'{m}'",) for m in _GRAD])
+     f"{IDS_SQL}, {FLAG_SQL} AS suppressed, " + ", ".join(f"{S.guard(ns(c), 0, hi)} AS {m}" for m, c, hi in _GRAD_ORACLE),
+     W_IDS + ["suppressed"], [m for m, _, _ in _GRAD_ORACLE], [(f"'{m}'", m) for m, _, _ in _GRAD_ORACLE],
+     [(f"'{m}'",) for m, _, _ in _GRAD_ORACLE])
 
 # 2. chronic absenteeism: grade-suffixed names ------------------------------------
 _ABS = {"rate": ("r_rate", 0, 100), "count": ("r_count", 0, None), "enrollment": ("qty_text", 0, None)}
@@ -116,7 +125,8 @@ def _kg_prep(w):
     rwi, r, rwe = n("a_count"), n("n_count"), n("r_count")
     prior = F.when(suppk() % 2 == 1, F.lit("Child Care")).otherwise(F.lit("All Students"))
     counts = F.substring("school_year", 5, 4) >= "1998"
-    flag = C.override_suppression(_flag(), [rwi, r, rwe, n("r_rate"), n("total_count")])
+    # only the rate, the total ready or all three parts count as data, not the number tested
+    flag = C.override_suppression(_flag(), [F.when(counts, rwi + r).otherwise(C.range_guard(n("r_rate"), 0, 100))])
     return w.select(*W_IDS, flag.alias("suppressed"), counts.alias("count_format"),
                     (C.slugify(prior) == "all_students").alias("prior_all"), C.slugify(prior).alias("prior_slug"),
                     (F.lower(F.trim("demographic")) == "all students").alias("demo_all"),
@@ -150,9 +160,23 @@ def _kg_entries():
     return e
 
 
-_KG_DEFAULTS = ["kindergarten_readiness_rate", "kindergarten_readiness_count", "kindergarten_readiness_total"]
+_KG_DEFAULTS = ["kindergarten_readiness_rate", "kindergarten_readiness_count", "kindergarten_readiness_total",
+                *(f"kindergarten_{p}_{k}" for p in ("ready_with_interventions", "ready", "ready_with_enrichments") for k in ("count", "rate"))]
+_KG_ORACLE_DEFAULTS = ["kindergarten_readiness_rate", "kindergarten_readiness_count", "kindergarten_readiness_total",
+                       "kindergarten_ready_with_interventions_count", "kindergarten_ready_with_interventions_rate",
+                       "kindergarten_ready_count", "kindergarten_ready_rate",
+                       "kindergarten_ready_with_enrichments_count", "kindergarten_ready_with_enrichments_rate"]
+
+
+def _kg_defaults():
+    none, prior = F.lit(None).cast("double"), ~F.col("count_format") & ~F.col("prior_all") & F.col("demo_all")
+    return [*(Entry(m, none, F.lit(True)) for m in _KG_DEFAULTS),
+            *(Entry(F.concat(F.lit("kindergarten_"), F.col("prior_slug"), F.lit(f"_{k}")), none, prior) for k in ("count", "rate"))]
+
+
 _kg_prior = f"CASE WHEN {SUPPK_SQL} % 2 = 1 THEN 'Child Care' ELSE 'All Students' END"
-_kg_has = "COALESCE(" + ", ".join(f"CAST({ns(x)} AS VARCHAR)" for x in ["a_count", "n_count", "r_count", "r_rate", "total_count"]) + ") IS NOT NULL"
+_kg_has = (f"CASE WHEN substr(school_year, 5, 4) >= '1998' THEN {ns('a_count')} + {ns('n_count')} "
+           f"ELSE {S.guard(ns('r_rate'), 0, 100)} END IS NOT NULL")
 _kg_flag = f"CASE WHEN {FLAG_SQL} = 'Y' AND {_kg_has} THEN 'N' ELSE {FLAG_SQL} END"
 _kg_prep_sql = (f"{IDS_SQL}, {_kg_flag} AS suppressed, substr(school_year, 5, 4) >= '1998' AS count_format, "
                 f"{sql_slug(_kg_prior)} = 'all_students' AS prior_all, {sql_slug(_kg_prior)} AS prior_slug, "
@@ -179,40 +203,75 @@ _kg_sql_entries += [
     ("'kindergarten_' || prior_slug || '_rate'", "pct", f"{_P} AND {_D} AND number_tested IS NOT NULL AND pct IS NOT NULL"),
     ("'kindergarten_' || prior_slug || '_count'", _EST, f"{_P} AND {_D} AND number_tested IS NOT NULL AND pct IS NOT NULL")]
 _job("job_kindergarten", "W", _kg_prep, _kg_entries,
-     lambda: [Entry(m, F.lit(None).cast("double"), F.col("prior_all")) for m in _KG_DEFAULTS], "row",
+     _kg_defaults, "row",
      _kg_prep_sql, W_IDS + ["suppressed"],
      ["count_format", "prior_all", "prior_slug", "demo_all", "rwi", "rdy", "rwe", "tested", "ready", "pct", "number_tested"],
-     _kg_sql_entries, [(f"'{m}'", "prior_all") for m in _KG_DEFAULTS])
+     _kg_sql_entries, [*((f"'{m}'",) for m in _KG_ORACLE_DEFAULTS),
+                       *((f"'kindergarten_' || prior_slug || '_{k}'", f"{_P} AND {_D}") for k in ("rate", "count"))])
 
 # 5. out-of-school suspension: metric-level suppression ----------------------------
+# Two formats: from 1998 on (fixture years) the four parts and their totals, before one count;
+# the in-school trio and nine further counts stand in both.
 _OSS = "out_of_school_suspension_"
-_SUSP_METRICS = [f"{_OSS}single_with_disabilities_count", f"{_OSS}single_without_disabilities_count",
-                 f"{_OSS}multiple_with_disabilities_count", f"{_OSS}multiple_without_disabilities_count",
-                 f"{_OSS}single_total_count", f"{_OSS}multiple_total_count", f"{_OSS}total_count"]
+# Metric names of the source.
+_SUSP_NEW = [f"{_OSS}single_with_disabilities_count", f"{_OSS}single_without_disabilities_count",
+             f"{_OSS}multiple_with_disabilities_count", f"{_OSS}multiple_without_disabilities_count",
+             f"{_OSS}single_total_count", f"{_OSS}multiple_total_count", f"{_OSS}total_count"]
+_SUSP_OLD = [f"{_OSS}count"]
+_SUSP_BOTH = ["in_school_suspension_with_disabilities_count", "in_school_suspension_without_disabilities_count", "in_school_suspension_total_count",
+              "expelled_receiving_services_count", "expelled_not_receiving_services_count", "corporal_punishment_count", "in_school_removal_count",
+              "restraint_count", "seclusion_count", "unilateral_removal_count", "removal_by_hearing_officer_count", "discipline_resolution_total_count"]
 
 
 def _susp_prep(w):
-    swd, swod, mwd = n("a_count"), n("n_count"), n("r_count")
-    mwod = n("r_count") - n("a_count")
-    no_flag = F.substring("school_year", 5, 4) < "1998"
-    flag = F.when(no_flag, C.infer_suppression(F.coalesce(swd, swod, mwd, mwod), None)).otherwise(_flag())
+    swd, swod, mwd, mwod = n("a_count"), n("n_count"), n("r_count"), n("part_0")
+    old = F.substring("school_year", 5, 4) < "1998"
+    flag = F.when(old, C.infer_suppression(n("total_count"), None)).otherwise(_flag())
     single, multiple = D.sum_null_as_zero([swd, swod]), D.sum_null_as_zero([mwd, mwod])
-    vals = [swd, swod, mwd, mwod, single, multiple, single + multiple]
-    return w.select(*W_IDS, flag.alias("suppressed"), *[v.alias(f"m{i}") for i, v in enumerate(vals)])
-
-
-_susp_parts = [ns("a_count"), ns("n_count"), ns("r_count"), f"({ns('r_count')} - {ns('a_count')})"]
-_susp_single = f"(COALESCE({_susp_parts[0]}, 0.0) + COALESCE({_susp_parts[1]}, 0.0))"
-_susp_multi = f"(COALESCE({_susp_parts[2]}, 0.0) + COALESCE({_susp_parts[3]}, 0.0))"
-_susp_vals = _susp_parts + [_susp_single, _susp_multi, f"({_susp_single} + {_susp_multi})"]
-_susp_flag = (f"CASE WHEN substr(school_year, 5, 4) < '1998' THEN CASE WHEN COALESCE({', '.join(_susp_parts)}) IS NULL "
+    new = [swd, swod, mwd, mwod, single, multiple, single + multiple]
+    both = [n("part_1"), n("part_2"), D.sum_null_as_zero([n("part_1"), n("part_2")]), *(n(f"part_{i}") for i in range(3, 12))]
+    values = dict(zip([*_SUSP_NEW, *_SUSP_OLD, *_SUSP_BOTH], [*new, n("total_count"), *both]))
+    return w.select(*W_IDS, flag.alias("suppressed"), old.alias("old_format"), *[v.alias(m) for m, v in values.items()])
+
+
+def _susp_entries():
+    old = F.col("old_format")
+    return [*(Entry(m, F.col(m), ~old) for m in _SUSP_NEW), *(Entry(m, F.col(m), old) for m in _SUSP_OLD),
+            *(Entry(m, F.col(m), F.lit(True)) for m in _SUSP_BOTH)]
+
+
+_z = lambda *parts: "(" + " + ".join(f"COALESCE({ns(p)}, 0.0)" for p in parts) + ")"
+# the oracle's own list: (metric, value, in which format)
+_SUSP_ORACLE = [
+    ("out_of_school_suspension_single_with_disabilities_count", ns("a_count"), "NOT old_format"),
+    ("out_of_school_suspension_single_without_disabilities_count", ns("n_count"), "NOT old_format"),
+    ("out_of_school_suspension_multiple_with_disabilities_count", ns("r_count"), "NOT old_format"),
+    ("out_of_school_suspension_multiple_without_disabilities_count", ns("part_0"), "NOT old_format"),
+    ("out_of_school_suspension_single_total_count", _z("a_count", "n_count"), "NOT old_format"),
+    ("out_of_school_suspension_multiple_total_count", _z("r_count", "part_0"), "NOT old_format"),
+    ("out_of_school_suspension_total_count", f"({_z('a_count', 'n_count')} + {_z('r_count', 'part_0')})", "NOT old_format"),
+    ("out_of_school_suspension_count", ns("total_count"), "old_format"),
+    ("in_school_suspension_with_disabilities_count", ns("part_1"), "TRUE"),
+    ("in_school_suspension_without_disabilities_count", ns("part_2"), "TRUE"),
+    ("in_school_suspension_total_count", _z("part_1", "part_2"), "TRUE"),
+    ("expelled_receiving_services_count", ns("part_3"), "TRUE"),
+    ("expelled_not_receiving_services_count", ns("part_4"), "TRUE"),
+    ("corporal_punishment_count", ns("part_5"), "TRUE"),
+    ("in_school_removal_count", ns("part_6"), "TRUE"),
+    ("restraint_count", ns("part_7"), "TRUE"),
+    ("seclusion_count", ns("part_8"), "TRUE"),
+    ("unilateral_removal_count", ns("part_9"), "TRUE"),
+    ("removal_by_hearing_officer_count", ns("part_10"), "TRUE"),
+    ("discipline_resolution_total_count", ns("part_11"), "TRUE"),
+]
+_susp_flag = (f"CASE WHEN substr(school_year, 5, 4) < '1998' THEN CASE WHEN {ns('total_count')} IS NULL "
               f"THEN 'Y' ELSE 'N' END ELSE {FLAG_SQL} END")
-_job("job_suspension", "W", _susp_prep,
-     lambda: [Entry(m, F.col(f"m{i}"), F.lit(True)) for i, m in enumerate(_SUSP_METRICS)],
-     lambda: list(_SUSP_METRICS), "metric",
-     f"{IDS_SQL}, {_susp_flag} AS suppressed, " + ", ".join(f"{v} AS m{i}" for i, v in enumerate(_susp_vals)),
-     W_IDS + ["suppressed"], [f"m{i}" for i in range(7)], [(f"'{m}'", f"m{i}", "TRUE") for i, m in enumerate(_SUSP_METRICS)],
-     [(f"'{m}'",) for m in _SUSP_METRICS])
+_job("job_suspension", "W", _susp_prep, _susp_entries,
+     lambda: [Entry(e.metric, F.lit(None).cast("double"), e.keep) for e in _susp_entries()], "metric",
+     f"{IDS_SQL}, {_susp_flag} AS suppressed, substr(school_year, 5, 4) < '1998' AS old_format, "
+     + ", ".join(f"{v} AS {m}" for m, v, _ in _SUSP_ORACLE),
+     W_IDS + ["suppressed"], ["old_format", *(m for m, _, _ in _SUSP_ORACLE)], [(f"'{m}'", m, k) for m, _, k in _SUSP_ORACLE],
+     [(f"'{m}'", k) for m, _, k in _SUSP_ORACLE])
 
 # 6. postsecondary enrollment: all seven keys always extracted ----------------------
 _PSE = "postsecondary_enrollment_"
@@ -228,8 +287,13 @@ def _pse_prep(w):
                     F.when(pos, F.bround(F.try_divide(tot, cohort) * 100, 1)).alias("tot_rate"))
 
 
-_PSE_COLS = {"total_cohort": "cohort", "public_count": "pub", "private_count": "priv", "total_count": "tot",
-             "public_rate": "pub_rate", "private_rate": "priv_rate", "total_rate": "tot_rate"}
+# Metric names of the source, after the prefix.
+_PSE_COLS = {"total_in_cohort": "cohort", "public_ky_college_count": "pub", "private_ky_college_count": "priv", "total_ky_college_count": "tot",
+             "public_ky_college_rate": "pub_rate", "private_ky_college_rate": "priv_rate", "total_ky_college_rate": "tot_rate"}
+_PSE_ORACLE = [("postsecondary_enrollment_total_in_cohort", "cohort"), ("postsecondary_enrollment_public_ky_college_count", "pub"),
+               ("postsecondary_enrollment_private_ky_college_count", "priv"), ("postsecondary_enrollment_total_ky_college_count", "tot"),
+               ("postsecondary_enrollment_public_ky_college_rate", "pub_rate"), ("postsecondary_enrollment_private_ky_college_rate", "priv_rate"),
+               ("postsecondary_enrollment_total_ky_college_rate", "tot_rate")]
 _pse_cohort, _pse_pub, _pse_priv = ns("total_count"), ns("a_count"), ns("r_count")
 _pse_prep_sql = (f"{IDS_SQL}, {FLAG_SQL} AS suppressed, {_pse_cohort} AS cohort, {_pse_pub} AS pub, {_pse_priv} AS priv, "
                  f"{_pse_pub} + {_pse_priv} AS tot, {S.guard(ns('r_rate'), 0, 100)} AS pub_rate, "
@@ -238,10 +302,14 @@ _pse_prep_sql = (f"{IDS_SQL}, {FLAG_SQL} AS suppressed, {_pse_cohort} AS cohort,
 _job("job_postsec_enrollment", "W", _pse_prep,
      lambda: [Entry(_PSE + k, F.col(c), F.lit(True)) for k, c in _PSE_COLS.items()],
      lambda: [_PSE + k for k in _PSE_COLS], "row", _pse_prep_sql, W_IDS + ["suppressed"], list(_PSE_COLS.values()),
-     [(f"'{_PSE}{k}'", c, "TRUE") for k, c in _PSE_COLS.items()], [(f"'{_PSE}{k}'",) for k in _PSE_COLS])
+     [(f"'{m}'", c, "TRUE") for m, c in _PSE_ORACLE], [(f"'{m}'",) for m, _ in _PSE_ORACLE])
 
 
 # 7. postsecondary readiness: both rates always ------------------------------------
+JOB_SQL["job_postsec_readiness"] = _ae[1]
+JOB_SPECS["job_postsec_readiness"] = always_spec(), "W"
+
+
 @register("job_postsec_readiness", _ae[0] + _ae[1])
 def job_postsec_readiness_q(spark, sf):
     return run_spec(always_spec(), _w(spark, sf), W_DIMS)
@@ -279,9 +347,12 @@ def _ksa_entries():
 
 
 def _ksa_defaults():
-    period = F.when(F.col("grade_n") != "all_grades", F.col("grade_n")).otherwise(F.col("level_n"))
-    return [Entry(F.concat(F.lit(_KSA), F.col("subject_n"), F.lit(f"_{k}_"), period), F.lit(None).cast("double"), F.lit(True))
-            for k in _KSA_NAMES[:5]]
+    none, subj, grade, level = F.lit(None).cast("double"), F.col("subject_n"), F.col("grade_n"), F.col("level_n")
+    out = []
+    for k in _KSA_NAMES:
+        out.append(Entry(F.concat(F.lit(_KSA), subj, F.lit(f"_{k}_"), grade), none, grade != "all_grades"))
+        out.append(Entry(F.concat(F.lit(_KSA), subj, F.lit(f"_{k}_"), level), none, level != "all"))
+    return out
 
 
 _kg = sql_grade("grade")
@@ -297,8 +368,9 @@ for _k in _KSA_NAMES:
     _ksa_sql_entries.append((f"'{_KSA}' || subject_n || '_{_k}_' || level_n", _k, f"{_k} IS NOT NULL AND level_n <> 'all'"))
 _job("job_assessment", "B", _ksa_prep, _ksa_entries, _ksa_defaults, "row", _ksa_prep_sql, B_IDS + ["suppressed"],
      ["subject_n", "grade_n", "level_n", *_KSA_NAMES], _ksa_sql_entries,
-     [(f"'{_KSA}' || subject_n || '_{k}_' || CASE WHEN grade_n <> 'all_grades' THEN grade_n ELSE level_n END",)
-      for k in _KSA_NAMES[:5]])
+     [(f"'kentucky_summative_assessment_' || subject_n || '_{k}_' || {p}_n", f"{p}_n <> '{none}'")
+      for k in ("novice_rate", "apprentice_rate", "proficient_rate", "distinguished_rate", "proficient_distinguished_rate", "content_index_score")
+      for p, none in (("grade", "all_grades"), ("level", "all"))])
 
 
 # 9. CTE participation: rate or count, guarded after the decision --------------------
@@ -328,37 +400,62 @@ _cte_part = f"CASE WHEN {SUPPK_SQL} % 2 = 0 THEN {ns('r_rate')} ELSE {ns('qty_te
 _pr, _pc = _roc_sql(_cte_part, f"{ns('qty_text')} * 2")
 _cr, _cc = _roc_sql(ns("n_count"), ns("a_count"))
 _job("job_cte", "W", _cte_prep, lambda: [Entry(m, F.col(c)) for m, c in _CTE.items()],
-     lambda: ["cte_participation_rate", "cte_eligible_completer_count_grade_12", "cte_completion_rate_grade_12"], "row",
+     lambda: list(_CTE), "row",
      f"{IDS_SQL}, {FLAG_SQL} AS suppressed, {S.guard(_pr, 0, 100)} AS p_rate, {_pc} AS p_count, {ns('a_count')} AS elig, "
      f"{S.guard(_cr, 0, 100)} AS c_rate, {_cc} AS c_count", W_IDS + ["suppressed"], list(_CTE.values()),
      [(f"'{m}'", c) for m, c in _CTE.items()],
-     [(f"'{m}'",) for m in ["cte_participation_rate", "cte_eligible_completer_count_grade_12", "cte_completion_rate_grade_12"]])
+     [(f"'{m}'",) for m in ["cte_participation_rate", "cte_participation_count", "cte_eligible_completer_count_grade_12",
+                            "cte_completion_rate_grade_12", "cte_completion_count_grade_12"]])
 
 # 10. student enrollment: row policy, then positives only --------------------------
 _SE = "student_enrollment_"
-_ENR = {"kindergarten": "a_count", "grade_6": "n_count", "grade_9": "r_count"}
+# Grades of the source in order, and which grades make a school level.
+_ENR_GRADES = ["preschool", "kindergarten", *(f"grade_{i}" for i in range(1, 13)), "grade_14"]
+_ENR_LEVELS = {"primary": _ENR_GRADES[0:7], "middle": _ENR_GRADES[7:10], "secondary": _ENR_GRADES[10:14]}
+_ENR_METRICS = ["total", *_ENR_GRADES, *_ENR_LEVELS]
 
 
 def _enr_prep(w):
-    k, g6, g9 = n("a_count"), n("n_count"), n("r_count")
+    grades = {g: n(f"part_{i}") for i, g in enumerate(_ENR_GRADES)}
     return w.select(*W_IDS, _flag().alias("suppressed"),
                     D.first_nonzero_total(F.lit(None).cast("double"), n("total_count")).alias("e_total"),
-                    k.alias("e_kindergarten"), g6.alias("e_grade_6"), g9.alias("e_grade_9"),
-                    D.sum_positive_or_null([k]).alias("e_primary"), D.sum_positive_or_null([g6]).alias("e_middle"),
-                    D.sum_positive_or_null([g9]).alias("e_secondary"))
+                    *[v.alias(f"e_{g}") for g, v in grades.items()],
+                    *[D.sum_positive_or_null([grades[g] for g in own]).alias(f"e_{level}") for level, own in _ENR_LEVELS.items()])
 
 
-_ENR_METRICS = ["total", "kindergarten", "grade_6", "grade_9", "primary", "middle", "secondary"]
-_enr_prep_sql = (f"{IDS_SQL}, {FLAG_SQL} AS suppressed, CASE WHEN {ns('total_count')} > 0 THEN {ns('total_count')} END AS e_total, "
-                 + ", ".join(f"{ns(s)} AS e_{k}" for k, s in _ENR.items())
-                 + ", " + ", ".join(f"CASE WHEN {ns(s)} > 0 THEN {ns(s)} END AS e_{lvl}"
-                                    for lvl, s in [("primary", "a_count"), ("middle", "n_count"), ("secondary", "r_count")]))
-_job("job_enrollment", "W", _enr_prep, lambda: [Entry(_SE + m, F.col(f"e_{m}"), F.col(f"e_{m}") > 0) for m in _ENR_METRICS],
-     lambda: [_SE + m for m in _ENR_METRICS], "row", _enr_prep_sql, W_IDS + ["suppressed"], [f"e_{m}" for m in _ENR_METRICS],
-     [(f"'{_SE}{m}'", f"e_{m}", f"e_{m} > 0") for m in _ENR_METRICS], [(f"'{_SE}{m}'",) for m in _ENR_METRICS])
+def _positive_sum_sql(first: int, last: int) -> str:
+    parts = [ns(f"part_{i}") for i in range(first, last + 1)]
+    total = " + ".join(f"CASE WHEN {p} > 0 THEN {p} ELSE 0.0 END" for p in parts)
+    return f"NULLIF({total}, 0.0)"
 
 
-# 11. safe-schools discipline: positive counts ------------------------------------
-@register("job_discipline", _po[0] + _po[1])
-def job_discipline_q(spark, sf):
-    return run_spec(positive_spec(), _w(spark, sf), W_DIMS)
+# the oracle's own list: metric -> value
+_ENR_ORACLE = [("student_enrollment_total", f"CASE WHEN {ns('total_count')} > 0 THEN {ns('total_count')} END"),
+               ("student_enrollment_preschool", ns("part_0")), ("student_enrollment_kindergarten", ns("part_1")),
+               *((f"student_enrollment_grade_{g}", ns(f"part_{g + 1}")) for g in range(1, 13)),
+               ("student_enrollment_grade_14", ns("part_14")),
+               ("student_enrollment_primary", _positive_sum_sql(0, 6)),
+               ("student_enrollment_middle", _positive_sum_sql(7, 9)),
+               ("student_enrollment_secondary", _positive_sum_sql(10, 13))]
+_job("job_enrollment", "W", _enr_prep, lambda: [Entry(_SE + m, F.col(f"e_{m}"), F.col(f"e_{m}") > 0) for m in _ENR_METRICS],
+     lambda: [_SE + m for m in _ENR_METRICS], "row",
+     f"{IDS_SQL}, {FLAG_SQL} AS suppressed, " + ", ".join(f"{v} AS {m}" for m, v in _ENR_ORACLE), W_IDS + ["suppressed"],
+     [m for m, _ in _ENR_ORACLE], [(f"'{m}'", m, f"{m} > 0") for m, _ in _ENR_ORACLE], [(f"'{m}'",) for m, _ in _ENR_ORACLE])
+
+
+# 11. safe-schools discipline: positive counts, integer-truncated -------------------
+# Count columns of the source.
+_DISC = ["corporal_punishment_count", "restraint_count", "seclusion_count", "expelled_not_receiving_services_count",
+         "expelled_receiving_services_count", "in_school_removal_count", "out_of_school_suspension_count",
+         "removal_by_hearing_officer_count", "unilateral_removal_count", "arrest_count", "charges_count",
+         "civil_proceedings_count", "court_designated_worker_count", "school_resource_officer_count"]
+_DISC_ORACLE = """corporal_punishment_count restraint_count seclusion_count expelled_not_receiving_services_count
+expelled_receiving_services_count in_school_removal_count out_of_school_suspension_count removal_by_hearing_officer_count
+unilateral_removal_count arrest_count charges_count civil_proceedings_count court_designated_worker_count
+school_resource_officer_count""".split()
+_job("job_discipline", "W",
+     lambda w: w.select(*W_IDS, _flag().alias("suppressed"),
+                        *[n(f"part_{i}").cast("bigint").cast("double").alias(m) for i, m in enumerate(_DISC)]),
+     lambda: [Entry(m, F.col(m), F.col(m) > 0) for m in _DISC], lambda: list(_DISC), "row",
+     f"{IDS_SQL}, {FLAG_SQL} AS suppressed, " + ", ".join(f"trunc({ns(f'part_{i}')}) AS {m}" for i, m in enumerate(_DISC_ORACLE)),
+     W_IDS + ["suppressed"], _DISC_ORACLE, [(f"'{m}'", m, f"{m} > 0") for m in _DISC_ORACLE], [(f"'{m}'",) for m in _DISC_ORACLE])

@@ -38,7 +38,7 @@ def write_wide_deliveries(spark, sf: str) -> str:
     for old, headers in ((True, W_HEADERS_OLD), (False, W_HEADERS_NEW)):
         part = w.filter((year < "1998") if old else (year >= "1998"))
         part = part.select(*[F.col(k).alias(v) for k, v in headers.items()], delivery.alias("delivery"))
-        (part.repartition("delivery").write.mode("append").options(**CSV_OPTS)
+        (part.hint("rebalance", "delivery").write.mode("append").options(**CSV_OPTS)
              .partitionBy("delivery").csv(root))
     touch(spark, f"{root}/delivery=wide_empty.csv/part-00000.csv")
     return root

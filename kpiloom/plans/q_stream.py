@@ -17,13 +17,13 @@ W_COLUMNS = ["school_year", "county_name", "district_name", "school_code", "scho
 
 
 def write_drops(spark, sf, quarantine: bool = False) -> str:
-    """W as Parquet drops, rows of one school year per file."""
+    """W as Parquet drops, rows of a school year together, large years in several files."""
     root = scratch_path(spark, "wide-drops")
     w = fixtures.wide(Tables(spark, sf))
     if quarantine:
         w = w.withColumn("school_code", F.when(F.col("school_code").cast("bigint") % 11 == 0, F.lit(None).cast("string"))
                          .otherwise(F.col("school_code")))
-    w.select(*W_COLUMNS).repartition("school_year").write.parquet(root)
+    w.select(*W_COLUMNS).hint("rebalance", "school_year").write.parquet(root)
     return root
 
 

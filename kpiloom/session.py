@@ -14,7 +14,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -61,6 +61,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/kpiloom/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the scratch folder and read back: several readers
+    share it, and it survives lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete every scratch folder of this session's checkpoint root; call it
     once the results that were built from them have been written."""

@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kpiloom.schema import KPI_SCHEMA, KPI_VALUE_COLUMNS, select_kpi_columns
+
 log = logging.getLogger(__name__)
 
 BOM = "﻿"
@@ -136,18 +138,18 @@ def detect_format(df: DataFrame, rules: list[tuple[str, list[str]]], out: str =
 
 
 def sink_kpi(kpi: DataFrame, path: str, source: str, mode: str = "overwrite") -> None:
-    """KPI rows as Parquet partitioned by (source, year); dynamic partition
-    overwrite replaces only the partitions written."""
-    (kpi.withColumn("source", F.lit(source))
-        .repartition("source", "year")
+    """KPI rows, all 19 columns, as Parquet partitioned by (source, year);
+    dynamic partition overwrite replaces only the partitions written.  Rows of a
+    year are brought together by a rebalance, which splits large years over
+    several tasks and files (``spark.sql.adaptive.advisoryPartitionSizeInBytes``)."""
+    (select_kpi_columns(kpi, with_timestamp=True).withColumn("last_updated", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+        .withColumn("source", F.lit(source)).hint("rebalance", "year")
         .write.mode(mode).partitionBy("source", "year").parquet(path))
 
 
 def read_kpi(spark: SparkSession, path: str) -> DataFrame:
     """Read a KPI table back in schema order (partition values stay strings)."""
-    from kpiloom.schema import KPI_SCHEMA, KPI_VALUE_COLUMNS
-    schema = T.StructType([f for f in KPI_SCHEMA.fields if f.name != "last_updated"]
-                          + [T.StructField("source", T.StringType())])
+    schema = T.StructType([*KPI_SCHEMA.fields, T.StructField("source", T.StringType())])
     return spark.read.schema(schema).parquet(path).select(*KPI_VALUE_COLUMNS, "source")
 
 

@@ -49,8 +49,19 @@ def _school_cols() -> list[Column]:
     ]
 
 
+N_PARTS = 15
+WIDE_COLUMNS = ["school_year", "county_name", "district_name", "school_code", "school_name", "demographic", "suppressed",
+                "total_count", "a_count", "n_count", "r_count", "qty_text", "r_rate"]
+
+
 def wide(t: Tables) -> DataFrame:
     """W: counts per (school year, school, segment) plus a school total row."""
+    return wide_parts(t).select(*WIDE_COLUMNS)
+
+
+def wide_parts(t: Tables) -> DataFrame:
+    """W with a second rate and the counts of ``N_PARTS`` bands of quantity;
+    aggregates that a query does not read are pruned."""
     ids = ["yr", "county", "district", "supp"]
     rf = F.col("rf")
     # one scan, one shuffle: both grouping levels come out of a single aggregate
@@ -58,7 +69,8 @@ def wide(t: Tables) -> DataFrame:
     g = base(t).groupingSets([[*ids, "seg"], ids], *ids, "seg").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(rf == "A").alias("a"),
         F.count_if(rf == "N").alias("nn"), F.count_if(rf == "R").alias("r"),
-        F.sum("q").alias("qs"))
+        F.sum("q").alias("qs"),
+        *[F.count_if(F.floor((F.col("q") - 1) * N_PARTS / 50) == i).alias(f"b{i}") for i in range(N_PARTS)])
     n, yr, seg = F.col("n"), F.col("yr"), F.col("seg")
     small = n < 10
 
@@ -80,6 +92,9 @@ def wide(t: Tables) -> DataFrame:
         F.when(small, F.lit("*")).otherwise(F.format_number(qty, 0)).alias("qty_text"),
         F.when(small, F.lit("---")).otherwise(
             F.concat(_s(F.round(F.lit(1e2) * F.col("r") / n, 1)), F.lit("%"))).alias("r_rate"),
+        F.when(small, F.lit("---")).otherwise(
+            F.concat(_s(F.round(F.lit(1e2) * F.col("a") / n, 1)), F.lit("%"))).alias("a_rate"),
+        *[masked(f"b{i}", f"part_{i}") for i in range(N_PARTS)],
     )
 
 
@@ -101,7 +116,9 @@ def tiers(t: Tables) -> DataFrame:
     affected = per_cust.groupBy(*ids).agg(
         F.count(F.lit(1)).alias("t"), F.count_if(F.col("a") > 0).alias("a"), F.count_if(F.col("r") > 0).alias("r")) \
         .withColumn("demographic", F.lit("All Students"))
-    g = per_seg.unionByName(affected).unionByName(totals)
+    # planted: every fiftieth school delivers its affected row twice, with other numbers
+    again = affected.filter(F.col("supp") % 50 == 0).withColumns({c: F.col(c) * 2 for c in ["t", "a", "r"]})
+    g = per_seg.unionByName(affected).unionByName(again).unionByName(totals)
     supp = F.col("supp")
     return g.select(
         *_school_cols(), "demographic",

@@ -1,31 +1,15 @@
 """Driver tables read as Parquet (columns and filters pruned by Catalyst).
 
-A Parquet file is split only at row-group boundaries.  A small fact table
-written as one row group would be scanned, joined and pre-aggregated by a
-single task, so fact tables whose whole size is below ``parallelism x
-SPREAD_BYTES_PER_TASK`` are spread round-robin over the cluster's parallelism
-right after the scan.  The shuffle this costs is small by construction; large
-tables (many row groups, many splits) are never repartitioned.
-"""
+Splits come from ``spark.sql.files.maxPartitionBytes`` and the files' row
+groups, shuffle partitions from AQE; nothing here depends on a table's size."""
 
 from __future__ import annotations
 
-import json
-from functools import cached_property
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 TABLE_NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
                "conversations"]
-FACT_TABLES = {"lineitem", "orders", "customer", "part", "events"}
-SPREAD_BYTES_PER_TASK = 64 * 1024 * 1024
-
-
-# Inferring a Parquet schema reads a footer in a one-task job; a table's schema
-# is read once per path and process and passed explicitly afterwards.
-_SCHEMAS: dict[str, str] = {}
 
 
 class Tables:
@@ -36,31 +20,10 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"
 
-    def size_bytes(self, name: str) -> int:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return fs.getContentSummary(p).getLength()
-
     def read(self, name: str) -> DataFrame:
-        path = self.path(name)
-        known = _SCHEMAS.get(path)
-        if known is None:
-            df = self.spark.read.parquet(path)
-            _SCHEMAS[path] = df.schema.json()
-        else:
-            df = self.spark.read.schema(T.StructType.fromJson(json.loads(known))).parquet(path)
-        if name in FACT_TABLES:
-            par = self.spark.sparkContext.defaultParallelism
-            if par > 1 and self.size_bytes(name) < par * SPREAD_BYTES_PER_TASK:
-                df = df.repartition(par)
-        return df
+        return self.spark.read.parquet(self.path(name))
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLE_NAMES:
             return self.read(name)
         raise AttributeError(name)
-
-    @cached_property
-    def names(self) -> list[str]:
-        return list(TABLE_NAMES)

@@ -23,9 +23,13 @@ def string_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
-def read_drops(spark: SparkSession, path: str, columns: list[str], files_per_trigger: int = 1) -> DataFrame:
-    return (spark.readStream.schema(string_schema(columns))
-                 .option("maxFilesPerTrigger", files_per_trigger).parquet(path))
+def read_drops(spark: SparkSession, path: str, columns: list[str], bytes_per_trigger: str | None = None) -> DataFrame:
+    """New files under ``path``; a micro-batch takes all that have arrived, or
+    files up to ``bytes_per_trigger`` together (such as "100g")."""
+    reader = spark.readStream.schema(string_schema(columns))
+    if bytes_per_trigger is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
+    return reader.parquet(path)
 
 
 def _run(writer, ckpt: str) -> None:
@@ -61,12 +65,14 @@ def stream_progress_counts(stream: DataFrame, dims: DemographicDims, out: str, c
 
 def stream_quarantine(stream: DataFrame, dims: DemographicDims, good_out: str, bad_out: str, ckpt: str) -> None:
     """Rows without a school id go to a quarantine table with a reason; the
-    rest become KPI rows; the stream keeps going either way."""
-    def split(batch: DataFrame, _epoch: int) -> None:
+    rest become KPI rows; the stream keeps going either way.  Each table has a
+    folder per epoch, which a replayed micro-batch overwrites, so a failure
+    between the two writes leaves no row twice."""
+    def split(batch: DataFrame, epoch: int) -> None:
         bad = clean_school_id("school_code").isNull()
         (batch.filter(bad).withColumn("reject_reason", F.lit("missing_school_id"))
-              .write.mode("append").parquet(bad_out))
-        kpi_from_typed(typed_wide(batch.filter(~bad)), dims).write.mode("append").parquet(good_out)
+              .write.mode("overwrite").parquet(f"{bad_out}/epoch={epoch}"))
+        kpi_from_typed(typed_wide(batch.filter(~bad)), dims).write.mode("overwrite").parquet(f"{good_out}/epoch={epoch}")
 
     _run(stream.writeStream.foreachBatch(split), ckpt)
 
