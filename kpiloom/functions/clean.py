@@ -6,6 +6,8 @@ collapses into the projection of the scan stage.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,7 +26,6 @@ NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 # Suppression flag spellings.
 FLAG_YES = ["YES", "Y", "1", "TRUE"]
-FLAG_NO = ["NO", "N", "0", "FALSE"]
 
 DEFAULT_YEAR = "2024"
 
@@ -139,8 +140,11 @@ def slugify(c: Column | str) -> Column:
 
 
 def to_snake_case(name: str) -> str:
-    """Header text -> snake_case column name (driver-side, names only)."""
-    s = name.strip().lower().replace("(", "").replace(")", "")
+    """Header text -> snake_case column name (driver-side, names only); a word
+    starts where a capital follows a small letter or digit, and at a capital
+    before a small letter (``stateSchoolID`` -> ``state_school_id``)."""
+    s = re.sub(r"(?<=[a-z0-9])(?=[A-Z])|(?<=[A-Za-z0-9])(?=[A-Z][a-z])", "_", name.strip())
+    s = s.lower().replace("(", "").replace(")", "")
     s = s.replace(" ", "_").replace("-", "_")
     while "__" in s:
         s = s.replace("__", "_")

@@ -73,18 +73,3 @@ def policy_compliance(answers: list[Column | str]) -> Column:
 # integer micro-units, summed as decimals (no float summation-order drift) and
 # divided with integer half-even rounding.
 MICRO = 1_000_000
-
-
-def micro_units(c: Column | str) -> Column:
-    """A non-negative score as an exact integer count of micro-units."""
-    return F.bround(_c(c) * MICRO, 0).try_cast("decimal(38,0)")
-
-
-def mean_half_even_1dp(sum_micro: Column, n: Column) -> Column:
-    """round_half_even(sum_micro / MICRO / n, 1) in exact integer arithmetic
-    (non-negative sums)."""
-    d = (n.cast("decimal(38,0)") * F.lit(MICRO // 10).cast("decimal(38,0)"))
-    q = F.floor(F.try_divide(sum_micro, d))
-    r = sum_micro - q * d
-    bump = F.when(r * 2 > d, 1).when(r * 2 == d, q % 2).otherwise(0)
-    return F.when(n > 0, ((q + bump) / 10).cast("double"))

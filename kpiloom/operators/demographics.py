@@ -91,18 +91,6 @@ class DemographicDims:
         df = local_table(spark, rows, schema)
         return sized_broadcast(df, DIMENSION_MAX_ROWS, known_rows=len(rows))
 
-    def standard_df(self, spark):
-        return self._frame(spark, self.standard_rows(), "_dm_std string")
-
-    def year_df(self, spark):
-        return self._frame(spark, self.year_rows(), "_dm_y_year string, _dm_y_label string, _dm_y_mapped string")
-
-    def general_df(self, spark):
-        return self._frame(spark, self.general_rows(), "_dm_g_label string, _dm_g_mapped string")
-
-    def case_insensitive_df(self, spark):
-        return self._frame(spark, self.case_insensitive_rows(), "_dm_ci_key string, _dm_ci_mapped string")
-
     def expected_df(self, spark):
         return self._frame(spark, [tuple(x) for x in dict.fromkeys(self.expected)], "year string, student_group string")
 
@@ -145,11 +133,8 @@ def map_demographic(df: DataFrame, dims: DemographicDims, label: str = "demograp
 
 def mapping_audit(mapped: DataFrame, type_col: str = "mapping_type",
                   file_col: str = "source_file") -> DataFrame:
-    """Rows per mapping type and the files in which that type was seen."""
-    return mapped.groupBy(type_col).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct(file_col).alias("n_files"),
-        F.array_join(F.sort_array(F.collect_set(file_col)), ",").alias("files"))
+    """Rows per mapping type and file: (mapping_type, source_file, n_rows)."""
+    return mapped.groupBy(type_col, file_col).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def unmapped_labels(mapped: DataFrame, label: str = "demographic", year: str = "year",
@@ -166,21 +151,23 @@ def demographic_coverage(kpi: DataFrame, dims: DemographicDims, year: str = "yea
     status in valid / missing_required / missing_optional / unexpected, with
     the per-year totals of expected and actual groups."""
     spark = kpi.sparkSession
-    actual = kpi.select(F.col(year).alias("year"), F.col(group).alias("student_group")).distinct()
-    years = actual.select("year").distinct()
-    expected = dims.expected_df(spark)
-    allow = dims.allow_missing_df(spark)
     key = ["year", "student_group"]
-    valid = actual.join(expected, key, "left_semi").withColumn("status", F.lit("valid"))
-    unexpected = actual.join(expected, key, "left_anti").withColumn("status", F.lit("unexpected"))
-    missing_opt = (expected.join(years, "year", "left_semi").join(actual, key, "left_anti")
-                   .join(allow, "student_group", "left_anti").withColumn("status", F.lit("missing_optional")))
-    missing_req = (dims.required_df(spark).join(years, "year", "left_semi").join(actual, key, "left_anti")
-                   .join(allow, "student_group", "left_anti").withColumn("status", F.lit("missing_required")))
-    status = valid.unionByName(unexpected).unionByName(missing_opt).unionByName(missing_req)
-    totals = (actual.groupBy("year").agg(F.count(F.lit(1)).alias("total_actual"))
-              .join(expected.groupBy("year").agg(F.count(F.lit(1)).alias("total_expected")), "year", "left")
-              .withColumn("total_expected", F.coalesce("total_expected", F.lit(0).cast("bigint"))))
+    actual = kpi.select(F.col(year).alias("year"), F.col(group).alias("student_group")).distinct()
+    years = actual.groupBy("year").agg(F.count(F.lit(1)).alias("total_actual"))
+    # the configured side: one row per (year, group) that says how the group counts
+    allow = dims.allow_missing_df(spark).withColumn("_allowed", F.lit(True))
+    config = (dims.expected_df(spark).withColumns({"_exp": F.lit(1), "_req": F.lit(0)})
+              .unionByName(dims.required_df(spark).withColumns({"_exp": F.lit(0), "_req": F.lit(1)}))
+              .groupBy(*key).agg(F.max("_exp").alias("_exp"), F.max("_req").alias("_req"))
+              .join(allow, "student_group", "left"))
+    # one full outer join of actual and configured groups decides every status
+    both = actual.withColumn("_act", F.lit(True)).join(config, key, "full_outer")
+    exp, missing = F.coalesce("_exp", F.lit(0)) == 1, F.col("_act").isNull() & F.col("_allowed").isNull()
+    statuses = F.array(F.when(F.col("_act") & exp, F.lit("valid")), F.when(F.col("_act") & ~exp, F.lit("unexpected")),
+                       F.when(missing & exp, F.lit("missing_optional")), F.when(missing & (F.col("_req") == 1), F.lit("missing_required")))
+    status = both.select(*key, F.explode(F.array_compact(statuses)).alias("status"))
+    totals = years.join(dims.expected_df(spark).groupBy("year").agg(F.count(F.lit(1)).alias("_n")), "year", "left") \
+                  .select("year", "total_actual", F.coalesce("_n", F.lit(0)).cast("bigint").alias("total_expected"))
     return status.join(totals, "year").select("year", "status", "student_group",
                                               "total_expected", "total_actual")
 
@@ -195,7 +182,3 @@ def mapping_report(mapped: DataFrame, coverage: DataFrame, file_col: str = "sour
     cov = (coverage.groupBy("year", F.col("status").alias("item")).agg(F.count(F.lit(1)).alias("n"))
            .select(F.lit("coverage").alias("section"), "year", "item", "n"))
     return files.unionByName(kinds).unionByName(cov)
-
-
-def group_is_null_or_empty(c: Column) -> Column:
-    return c.isNull() | (F.trim(c) == "")

@@ -113,6 +113,17 @@ def dq_tier_consistency(events: DataFrame, tol: float = 0.001) -> DataFrame:
     return g.withColumn("rule", rule).filter(F.col("rule").isNotNull())
 
 
+def dq_band_rules(df: DataFrame, key: list[str], bands: list[Column], combined: Column, tol_sum: float = 1.0,
+                  tol_combined: float = 0.1) -> DataFrame:
+    """Rows whose four bands don't sum to 100, and rows whose combined share is
+    not the sum of the upper two bands: (key, total, rule).  Rows with a missing
+    band are not judged."""
+    total, top = sum(bands[1:], bands[0]), bands[2] + bands[3]
+    found = F.array(F.when(F.abs(total - 100) > tol_sum, F.struct(total.alias("total"), F.lit("bands_not_100").alias("rule"))),
+                    F.when(F.abs(top - combined) > tol_combined, F.struct(combined.alias("total"), F.lit("combined_not_sum_of_bands").alias("rule"))))
+    return df.select(*key, F.inline(F.array_compact(found)))
+
+
 def dq_metric_coverage(kpi: DataFrame, expected: DataFrame) -> DataFrame:
     """(year, metric, status, n_rows): present metrics with their rows, expected
     metrics missing from a year ('missing')."""
@@ -127,6 +138,16 @@ def dq_metric_coverage(kpi: DataFrame, expected: DataFrame) -> DataFrame:
     return present.unionByName(missing.select("year", "metric", "n_rows", "status"))
 
 
+def dq_paired_metrics(kpi: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """Per year, metric pairs that must have equally many rows and don't:
+    (year, metric = 'a|b', n_rows = difference, status 'unpaired')."""
+    names = sorted({m for pair in pairs for m in pair})
+    counts = kpi.filter(F.col("metric").isin(names)).groupBy("year").agg(*[F.count_if(F.col("metric") == m).alias(m) for m in names])
+    found = F.array(*[F.struct(F.lit(f"{a}|{b}").alias("metric"), (F.col(a) - F.col(b)).alias("n_rows")) for a, b in pairs])
+    return (counts.select("year", F.inline(found)).filter(F.col("n_rows") != 0)
+                  .withColumns({"n_rows": F.abs("n_rows"), "status": F.lit("unpaired")}))
+
+
 def dq_source_coverage(inputs: DataFrame, kpi: DataFrame) -> DataFrame:
     """Input files that produced no KPI row."""
     return inputs.select("source_file").distinct().join(kpi.select("source_file"), "source_file", "left_anti")

@@ -302,7 +302,7 @@ def master(spark, sf):
     that are left out.  The wide exports that eleven jobs read are written once."""
     t = Tables(spark, sf)
     exports = {"W": materialized(fixtures.wide_parts(t), "exports-wide"), "B": materialized(fixtures.bands(t), "exports-bands")}
-    jobs = {job: run_spec(spec, exports[fixture], W_DIMS) for job, (spec, fixture) in JOB_SPECS.items()}
+    jobs = {job: run_spec(spec(), exports[fixture], W_DIMS) for job, (spec, fixture) in JOB_SPECS.items()}
     jobs |= {"job_climate": dedupe_latest(climate_parts(t)), "job_events": events_job(t)}
     sources = [(name, jobs[job]) for name, job in MASTER_SOURCES.items()]
     sample = t.region

@@ -22,8 +22,8 @@ def map_demographic_q(spark, sf):
     return mapped_w(spark, sf).select("year", "school_id", "demographic", "student_group", "mapping_type")
 
 
-@register("mapping_audit", ctes("fx_wid") + "SELECT mapping_type, count(*) AS n_rows, count(DISTINCT source_file) AS n_files, "
-          "array_to_string(list_sort(list_distinct(list(source_file))), ',') AS files FROM fx_wid GROUP BY mapping_type")
+@register("mapping_audit", ctes("fx_wid") + "SELECT mapping_type, source_file, count(*) AS n_rows "
+          "FROM fx_wid GROUP BY mapping_type, source_file")
 def mapping_audit_q(spark, sf):
     return DM.mapping_audit(mapped_w(spark, sf))
 

@@ -8,6 +8,8 @@ Climate and events add their grouped / joined parts in ``q_analytics``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import functions as F
 
 from kpiloom.functions import clean as C
@@ -55,7 +57,7 @@ def _w(spark, sf):
 
 
 JOB_SQL: dict[str, str] = {}
-JOB_SPECS: dict[str, tuple[SourceSpec, str]] = {}
+JOB_SPECS: dict[str, tuple[Callable[[], SourceSpec], str]] = {}
 
 
 def _job(key, fixture, spark_prep, entries, defaults, policy, sql_prep, sql_cols, sql_measures, sql_entries,
@@ -66,7 +68,7 @@ def _job(key, fixture, spark_prep, entries, defaults, policy, sql_prep, sql_cols
     JOB_SQL[key] = sel
     sfc = source_file or (lambda: F.concat(F.lit(f"{key}_"), F.substring("school_year", 5, 4), F.lit(".csv")))
     spec = SourceSpec(key, spark_prep, entries, defaults, policy, sfc)
-    JOB_SPECS[key] = spec, fixture
+    JOB_SPECS[key] = (lambda: spec), fixture
     reader = {"W": fixtures.wide_parts, "B": fixtures.bands}[fixture]
 
     @register(key, c + sel)
@@ -307,7 +309,7 @@ _job("job_postsec_enrollment", "W", _pse_prep,
 
 # 7. postsecondary readiness: both rates always ------------------------------------
 JOB_SQL["job_postsec_readiness"] = _ae[1]
-JOB_SPECS["job_postsec_readiness"] = always_spec(), "W"
+JOB_SPECS["job_postsec_readiness"] = always_spec, "W"
 
 
 @register("job_postsec_readiness", _ae[0] + _ae[1])

@@ -60,7 +60,7 @@ def rename_columns_q(spark, sf):
 T_HEADERS = {"school_year": "School Year", "county_name": "County Name", "district_name": "District Name",
              "school_code": "School Code", "school_name": "School Name", "demographic": "Demographic",
              "total_events": "Total Events", "alpha_events": "Alpha Events (A)",
-             "return_events": "Return-Events", "state_school_id": "State School Id"}
+             "return_events": "Return-Events", "state_school_id": "stateSchoolId"}
 
 
 @register("snake_case_columns", ctes("fx_t") + "SELECT school_year, county_name, district_name, school_code, school_name, "

@@ -141,16 +141,22 @@ def dq_tier_consistency_q(spark, sf):
 
 # Fixed values (fixture): the metrics expected every year, one of them never delivered.
 EXPECTED_METRICS = list(W_MEASURES) + ["r_rate_4_year"]
+METRIC_PAIRS = [("r_count", "total_count"), ("r_rate", "r_count")]
 _EXP_ROWS = [(y, m) for y in W_YEARS for m in EXPECTED_METRICS]
 define("dq_exp", S.values_cte("dq_exp_v", ["year", "metric"], _EXP_ROWS).split(" AS (", 1)[1][:-1], [])
 
 
 @register("dq_metric_coverage", ctes("kdq", "dq_exp") + """SELECT year, metric, count(*) AS n_rows, 'present' AS status FROM kdq GROUP BY year, metric
 UNION ALL SELECT e.year, e.metric, CAST(0 AS BIGINT), 'missing' FROM dq_exp e
- WHERE e.year IN (SELECT year FROM kdq) AND NOT EXISTS (SELECT 1 FROM kdq k WHERE k.year = e.year AND k.metric = e.metric)""")
+ WHERE e.year IN (SELECT year FROM kdq) AND NOT EXISTS (SELECT 1 FROM kdq k WHERE k.year = e.year AND k.metric = e.metric)
+UNION ALL SELECT year, pair, abs(d), 'unpaired' FROM (SELECT year, 'r_count|total_count' AS pair,
+  count(*) FILTER (WHERE metric = 'r_count') - count(*) FILTER (WHERE metric = 'total_count') AS d FROM kdq GROUP BY year
+ UNION ALL SELECT year, 'r_rate|r_count', count(*) FILTER (WHERE metric = 'r_rate') - count(*) FILTER (WHERE metric = 'r_count')
+  FROM kdq GROUP BY year) p WHERE d <> 0""")
 def dq_metric_coverage_q(spark, sf):
     exp = sized_broadcast(local_table(spark, _EXP_ROWS, "year string, metric string"), known_rows=len(_EXP_ROWS))
-    return Q.dq_metric_coverage(K(spark, sf), exp)
+    k = K(spark, sf)
+    return Q.dq_metric_coverage(k, exp).unionByName(Q.dq_paired_metrics(k, METRIC_PAIRS))
 
 
 # Fixed values (fixture): a delivered file that holds no usable row.
@@ -213,6 +219,7 @@ def dq_sample_reconcile_q(spark, sf):
 # Fixed values (fixture): complementary group pairs and groups that must not appear.
 COMPLEMENT_PAIRS = [("HOUSEHOLD", "FURNITURE"), ("AUTOMOBILE", "MACHINERY")]
 MIN_GROUPS = 10
+REQUIRED_GROUPS = ["AUTOMOBILE", "BUILDING", "HOUSEHOLD", "MACHINERY"]
 
 
 @register("dq_demographic_rules", ctes("kdq") + f"""
@@ -224,6 +231,8 @@ UNION ALL SELECT 'complementary_pairs', count(*), count(*) FILTER (WHERE """ + "
     f"(h{i}a <> h{i}b)" for i in range(len(COMPLEMENT_PAIRS))) + ") FROM (SELECT school_id, year, " + ", ".join(
     f"bool_or(student_group = '{a}') AS h{i}a, bool_or(student_group = '{b}') AS h{i}b" for i, (a, b) in enumerate(COMPLEMENT_PAIRS))
     + f""" FROM kdq GROUP BY school_id, year) p
+UNION ALL SELECT 'required_groups', CAST(count(*) * 4 AS BIGINT), CAST(sum(4 - n) AS BIGINT) FROM (SELECT year, count(DISTINCT student_group)
+  FILTER (WHERE student_group IN ('AUTOMOBILE', 'BUILDING', 'HOUSEHOLD', 'MACHINERY')) AS n FROM kdq GROUP BY year) q
 UNION ALL SELECT 'non_demographic_labels', count(*), count(*) FILTER (WHERE student_group IN {S.in_list(Q.AGGREGATE_GROUP_LABELS)}) FROM kdq""")
 def dq_demographic_rules_q(spark, sf):
     k = K(spark, sf)
@@ -243,22 +252,32 @@ def dq_demographic_rules_q(spark, sf):
                  F.count_if(broken).alias("n_violations"))
     r4 = k.agg(F.lit("non_demographic_labels").alias("rule"), F.count(F.lit(1)).alias("n_checked"),
                F.count_if(g.isin(Q.AGGREGATE_GROUP_LABELS)).alias("n_violations"))
-    return r1.unionByName(r2).unionByName(r3).unionByName(r4)
+    years = k.groupBy("year").agg(*[F.bool_or(g.eqNullSafe(x)).cast("int").alias(f"has{i}") for i, x in enumerate(REQUIRED_GROUPS)])
+    present = sum((F.col(f"has{i}") for i in range(len(REQUIRED_GROUPS))), F.lit(0))
+    r5 = years.agg(F.lit("required_groups").alias("rule"), (F.count(F.lit(1)) * len(REQUIRED_GROUPS)).alias("n_checked"),
+                   F.sum(len(REQUIRED_GROUPS) - present).alias("n_violations"))
+    return r1.unionByName(r2).unionByName(r3).unionByName(r4).unionByName(r5)
 
 
 BANDS = ["novice", "apprentice", "proficient", "distinguished"]
 
 
-@register("dq_band_rules", ctes("fx_b") + "SELECT school_year, school_code, subject, grade, band_sum, "
-          "CASE WHEN abs(band_sum - 100) > 1.0 THEN 'bands_not_100' END AS rule FROM (SELECT *, "
-          + " + ".join(S.num(S.nm(b)) for b in BANDS) + " AS band_sum FROM fx_b) x WHERE abs(band_sum - 100) > 1.0")
+_SUM_SQL = " + ".join(S.num(S.nm(b)) for b in BANDS)
+_TOP_SQL = f"{S.num(S.nm('proficient'))} + {S.num(S.nm('distinguished'))}"
+# planted: every thirteenth school reports a combined share that is 1 too high
+_COMBINED_SQL = f"{_TOP_SQL} + CASE WHEN CAST(school_code AS BIGINT) % 13 = 0 THEN 1.0 ELSE 0.0 END"
+
+
+@register("dq_band_rules", ctes("fx_b") + f"""SELECT school_year, school_code, subject, grade, band_sum AS total, 'bands_not_100' AS rule
+FROM (SELECT *, {_SUM_SQL} AS band_sum FROM fx_b) x WHERE abs(band_sum - 100) > 1.0
+UNION ALL SELECT school_year, school_code, subject, grade, combined, 'combined_not_sum_of_bands'
+FROM (SELECT *, {_TOP_SQL} AS top, {_COMBINED_SQL} AS combined FROM fx_b) y WHERE abs(top - combined) > 0.1""")
 def dq_band_rules_q(spark, sf):
     b = null_marker_strings(fixtures.bands(Tables(spark, sf)))
-    total = C.parse_number(BANDS[0])
-    for x in BANDS[1:]:
-        total = total + C.parse_number(x)
-    out = b.select("school_year", "school_code", "subject", "grade", total.alias("band_sum"))
-    return out.filter(F.abs(F.col("band_sum") - 100) > 1.0).withColumn("rule", F.lit("bands_not_100"))
+    novice, apprentice, proficient, distinguished = (C.parse_number(x) for x in BANDS)
+    planted = F.when(F.col("school_code").cast("bigint") % 13 == 0, 1.0).otherwise(0.0)
+    return Q.dq_band_rules(b.withColumn("combined", proficient + distinguished + planted), ["school_year", "school_code", "subject", "grade"],
+                           [novice, apprentice, proficient, distinguished], F.col("combined"))
 
 
 define("dq_new", f"SELECT {kpi_cols(value='CASE WHEN CAST(school_id AS BIGINT) % 10 = 0 THEN value + 1 ELSE value END')} "

@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 from kpiloom.operators import columns as COL
 from kpiloom.operators import dashboard as DB
+from kpiloom.plans import q_analytics  # noqa: F401  (defines the heatmap CTEs)
 from kpiloom.plans import sqltext as S
 from kpiloom.plans.oracle_fixtures import ctes
 from kpiloom.plans.q_normalize import W_HEADERS_NEW, W_HEADERS_OLD, W_SOURCE_HEADERS
 from kpiloom.plans.registry import register
 from kpiloom.plans.wide_kpi import kpi_long
-from kpiloom.session import scratch_path
+from kpiloom.session import materialized, scratch_path
 from kpiloom.sources import csv_io as IO
 from kpiloom.sources import fixtures
+from kpiloom.sources.local import local_table
 from kpiloom.sources.tables import Tables
 
 W_COLS = list(W_HEADERS_NEW)
@@ -117,7 +119,7 @@ def scan_prefilter_q(spark, sf):
     root = write_survey_csv(spark, sf)
     raw = IO.scan_raw_csv(spark, f"{root}/*.csv")
     # the predicate reaches the CSV scan (PushedFilters), so dropped rows are never materialised
-    return raw.filter(F.col("question_type").isNotNull() & F.col("question_index").isNotNull()).drop("_source_path")
+    return raw.filter(F.col("question_type").isNotNull() & F.col("question_index").isNotNull()).drop("_source_path", "_source_header", "_corrupt")
 
 
 W_FORMAT_RULES = [("historical", [W_HEADERS_OLD["r_rate"]]), ("newest", [W_HEADERS_NEW["r_rate"]])]
@@ -137,9 +139,23 @@ def sink_kpi_q(spark, sf):
     return IO.read_kpi(spark, path)
 
 
-@register("sink_heatmap_json")
+@register("sink_heatmap_json", ctes("hm") + """SELECT 'wide' AS source, metric, 'school' AS kind, year, school_name, school_rank, student_group, value,
+ CAST(NULL AS BIGINT) AS total_schools, CAST(NULL AS BIGINT) AS total_demographics, CAST(NULL AS BIGINT) AS data_points,
+ CAST(NULL AS DOUBLE) AS min_value, CAST(NULL AS DOUBLE) AS max_value, CAST(NULL AS DOUBLE) AS avg_value, CAST(NULL AS VARCHAR) AS error FROM hm
+UNION ALL SELECT 'wide', c.metric, 'stats', c.year, NULL, NULL, NULL, NULL, c.total_schools, g.total_demographics, c.data_points,
+ c.min_value, c.max_value, round(g.avg_value, 6), NULL FROM
+ (SELECT metric, year, count(DISTINCT school_name) AS total_schools, count(cell) AS data_points,
+         round(min(cell), 6) AS min_value, round(max(cell), 6) AS max_value FROM hm GROUP BY metric, year) c
+ JOIN (SELECT metric, year, count(*) AS total_demographics, avg(gm) AS avg_value FROM
+       (SELECT metric, year, student_group, avg(cell) AS gm FROM hm GROUP BY metric, year, student_group) x GROUP BY metric, year) g
+ ON c.metric = g.metric AND c.year = g.year
+UNION ALL SELECT 'wide', 'never_delivered', 'empty', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'No data available for this metric'""")
 def sink_heatmap_json_q(spark, sf):
     path = scratch_path(spark, "heatmap-json")
-    cells = DB.heatmap_cells(kpi_long(Tables(spark, sf)))
-    IO.sink_heatmap_json(cells, path, "wide")
-    return spark.read.text(path).select("source", "metric", F.col("value").alias("json"))
+    kpi = kpi_long(Tables(spark, sf))
+    cells = materialized(DB.heatmap_cells(kpi), "heatmap-ranked")
+    stats = DB.heatmap_stats(cells)
+    stats = stats.withColumns({c: F.round(c, 6) for c in ("min_value", "max_value", "avg_value")})
+    wanted = stats.select("metric").unionByName(local_table(spark, [("never_delivered",)], "metric string"))
+    IO.sink_heatmap_json(cells, stats, path, "wide", wanted)
+    return IO.read_heatmap_json(spark, path)

@@ -101,11 +101,6 @@ KPI_OUT = ("year, metric, district, school_name, student_group, value, suppresse
            "co_op_code, school_type, source_file")
 
 
-def kpi_select(src: str) -> str:
-    """Project a long CTE that has every KPI column to the KPI order."""
-    return f"SELECT {KPI_OUT} FROM {src}"
-
-
 def unpivot(src: str, items: list[tuple[str, str]], extra: str = "") -> str:
     """UNION ALL of one select per (metric name SQL, value SQL)."""
     parts = [f"SELECT *, {m} AS metric_name, CAST({v} AS DOUBLE) AS metric_value, {i} AS entry_no{extra} FROM {src}"

@@ -16,9 +16,11 @@ import csv
 import fnmatch
 import io
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,12 +30,14 @@ from kpiloom.schema import KPI_SCHEMA, KPI_VALUE_COLUMNS, select_kpi_columns
 log = logging.getLogger(__name__)
 
 BOM = "﻿"
+HEADER_THREADS = 16
 
 
 @dataclass
 class CsvListing:
     groups: dict[tuple[str, ...], list[str]] = field(default_factory=dict)
     skipped_empty: list[str] = field(default_factory=list)
+    unreadable: list[str] = field(default_factory=list)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -48,6 +52,7 @@ def list_csv(spark: SparkSession, pattern: str, allow: list[str] | None = None)
     fs, p, jvm = _fs(spark, pattern)
     statuses = fs.globStatus(p) or []
     out = CsvListing()
+    files = []
     for st in statuses:
         if st.isDirectory():
             continue
@@ -61,7 +66,22 @@ def list_csv(spark: SparkSession, pattern: str, allow: list[str] | None = None)
             log.warning("empty file (0 bytes) skipped: %s", path)
             out.skipped_empty.append(path)
             continue
-        header = _header(fs, st.getPath(), jvm)
+        files.append((path, st.getPath()))
+
+    def read(file: tuple) -> tuple[str, list[str] | None]:
+        try:
+            return file[0], _header(spark, fs, file[1], jvm)
+        except Py4JJavaError as e:
+            log.warning("unreadable file left out: %s (%s)", file[0], e.java_exception.getMessage())
+            return file[0], None
+
+    # only the header line of each file is read here, several files at a time
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        headers = list(pool.map(read, files))
+    for path, header in headers:
+        if header is None:
+            out.unreadable.append(path)
+            continue
         if not header:
             out.skipped_empty.append(path)
             continue
@@ -69,9 +89,11 @@ def list_csv(spark: SparkSession, pattern: str, allow: list[str] | None = None)
     return out
 
 
-def _header(fs, path, jvm) -> list[str]:
+def _header(spark: SparkSession, fs, path, jvm) -> list[str]:
     stream = fs.open(path)
     try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration()).getCodec(path)
+        stream = stream if codec is None else codec.createInputStream(stream)
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
         line = reader.readLine()
     finally:
@@ -82,21 +104,47 @@ def _header(fs, path, jvm) -> list[str]:
     return next(csv.reader(io.StringIO(line)), [])
 
 
+def unique_names(header: list[str]) -> list[str]:
+    """Header names with repeats numbered: a, b, a -> a, b, a_2 (names compare
+    without case, as Spark's columns do)."""
+    out, seen = [], set()
+    for name in header:
+        new, i = name, 1
+        while new.lower() in seen:
+            i += 1
+            new = f"{name}_{i}"
+        seen.add(new.lower())
+        out.append(new)
+    return out
+
+
 def scan_raw_csv(spark: SparkSession, pattern: str, allow: list[str] | None = None,
-                 listing: CsvListing | None = None) -> DataFrame:
-    """Every CSV under ``pattern`` as all-string columns (header names kept),
-    plus ``_source_path``; groups of different headers stacked by name."""
+                 listing: CsvListing | None = None, multi_line: bool = False) -> DataFrame:
+    """Every CSV under ``pattern`` as all-string columns (header names kept,
+    repeated names numbered), plus ``_source_path``, ``_source_header`` (the
+    names in the file's header) and ``_corrupt`` (the raw line where its number
+    of fields is not the header's, else null); groups of different headers
+    stacked by name.
+
+    ``multi_line``: fields may hold line breaks inside quotes; such files are
+    not split, so it is a choice per source.  Files that cannot be read are
+    listed in ``listing.unreadable`` when their header fails, and skipped by the
+    scan (``ignoreCorruptFiles``) when they break further down."""
     listing = listing or list_csv(spark, pattern, allow)
     parts = []
     for header, files in sorted(listing.groups.items()):
-        schema = T.StructType([T.StructField(h, T.StringType(), True) for h in header])
+        names = unique_names(list(header))
+        schema = T.StructType([T.StructField(h, T.StringType(), True) for h in [*names, "_corrupt"]])
         df = (spark.read.schema(schema)
-              .option("header", True).option("quote", '"').option("escape", '"')
-              .option("multiLine", False).option("mode", "PERMISSIVE").option("encoding", "UTF-8")
+              .option("header", True).option("quote", '"').option("escape", '"').option("enforceSchema", True)
+              .option("multiLine", multi_line).option("mode", "PERMISSIVE").option("encoding", "UTF-8")
+              .option("columnNameOfCorruptRecord", "_corrupt").option("ignoreCorruptFiles", True)
               .csv(files))
-        parts.append(df.withColumn("_source_path", F.col("_metadata.file_path")))
+        parts.append(df.withColumns({"_source_path": F.col("_metadata.file_path"),
+                                     "_source_header": F.array(*map(F.lit, names))}))
     if not parts:
-        return spark.sql("SELECT CAST(NULL AS STRING) AS _source_path WHERE FALSE")
+        return spark.sql("SELECT CAST(NULL AS STRING) AS _source_path, CAST(NULL AS ARRAY<STRING>) AS _source_header, "
+                         "CAST(NULL AS STRING) AS _corrupt WHERE FALSE")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -124,16 +172,14 @@ def classify_file(name: Column | str) -> Column:
                .when(qc, F.lit("survey_responses")).otherwise(F.lit("unknown")))
 
 
-def detect_format(df: DataFrame, rules: list[tuple[str, list[str]]], out: str = "data_format") -> DataFrame:
-    """Label each row by which columns carry values: the first rule whose
-    columns are all present (and non-null on the row) wins."""
-    label = None
-    for name, cols in rules:
-        if not all(c in df.columns for c in cols):
-            continue
-        cond = reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNotNull() for c in cols])
-        label = F.when(cond, F.lit(name)) if label is None else label.when(cond, F.lit(name))
-    label = F.lit("unknown_format") if label is None else label.otherwise(F.lit("unknown_format"))
+def detect_format(df: DataFrame, rules: list[tuple[str, list[str]]], out: str = "data_format",
+                  header: str = "_source_header") -> DataFrame:
+    """Label each row by the columns of its file's header, whatever the row's
+    cells: the first rule whose columns all stand in the header wins."""
+    label = F.lit("unknown_format")
+    for name, cols in reversed(rules):
+        cond = reduce(lambda a, b: a & b, [F.array_contains(header, c) for c in cols])
+        label = F.when(cond, F.lit(name)).otherwise(label)
     return df.withColumn(out, label)
 
 
@@ -153,11 +199,28 @@ def read_kpi(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*KPI_VALUE_COLUMNS, "source")
 
 
-def sink_heatmap_json(cells: DataFrame, path: str, source: str) -> None:
-    """Heatmap rows as JSON lines, one line per (metric, school) with its
-    ordered cells, under source=/metric= folders."""
+def sink_heatmap_json(cells: DataFrame, stats: DataFrame, path: str, source: str, metrics: DataFrame | None = None) -> None:
+    """Heatmap as JSON lines under source=/metric= folders: one line per
+    (metric, school) with its ordered cells (kind ``school``), one per metric
+    with its stats (``stats``), and one for each of ``metrics`` that has no cell
+    (``empty``).  No line grows with the number of schools."""
     row = (cells.groupBy("metric", "year", "school_name", "school_rank")
                 .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("student_group", "value")))).alias("values")))
-    js = F.to_json(F.struct("metric", "year", "school_name", "school_rank", "values"))
-    (row.select(F.lit(source).alias("source"), "metric", js.alias("value"))
-        .write.mode("overwrite").partitionBy("source", "metric").text(path))
+    lines = row.select("metric", F.to_json(F.struct(F.lit("school").alias("kind"), "metric", "year", "school_name", "school_rank", "values")).alias("value"))
+    lines = lines.unionByName(stats.select("metric", F.to_json(F.struct(F.lit("stats").alias("kind"), *stats.columns)).alias("value")))
+    if metrics is not None:
+        empty = metrics.select("metric").distinct().join(stats.select("metric"), "metric", "left_anti")
+        error = F.lit("No data available for this metric").alias("error")
+        lines = lines.unionByName(empty.select("metric", F.to_json(F.struct(F.lit("empty").alias("kind"), "metric", error)).alias("value")))
+    lines.withColumn("source", F.lit(source)).write.mode("overwrite").partitionBy("source", "metric").text(path)
+
+
+HEATMAP_LINE = ("kind string, year string, school_name string, school_rank bigint, values map<string, double>, total_schools bigint, "
+                "total_demographics bigint, data_points bigint, min_value double, max_value double, avg_value double, error string")
+
+
+def read_heatmap_json(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of ``sink_heatmap_json`` as columns, one row a cell, a stats line or an empty metric."""
+    line = F.from_json("value", HEATMAP_LINE).alias("line")
+    rows = spark.read.text(path).select("source", "metric", line).select("source", "metric", "line.*")
+    return rows.select("*", F.explode_outer("values").alias("student_group", "value")).drop("values")

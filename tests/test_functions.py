@@ -91,11 +91,18 @@ def test_horizontal_sums(spark):
     assert got == [(1.0, 1.0), (0.0, None), (4.0, 5.0)]
 
 
-def test_exact_mean(spark):
-    df = spark.createDataFrame([("g", x) for x in [52.6, 52.7, 52.6, 52.7]] + [("h", 0.25), ("h", 0.35)], "g string, v double")
-    out = df.groupBy("g").agg(F.sum(D.micro_units("v")).alias("s"), F.count("v").alias("n")) \
-            .select("g", D.mean_half_even_1dp(F.col("s"), F.col("n")).alias("m"))
-    assert dict((r.g, r.m) for r in out.collect()) == {"g": 52.6, "h": 0.3}
+def test_survey_mean_takes_negative_scores_and_ignores_order(spark):
+    from kpiloom.operators.climate import survey_index_mean
+    rows = [("g", "C", x) for x in ["52.6", "52.7", "52.6", "52.7"]] + [("h", "climate", "0.25"), ("h", "C", "0.35"), ("n", "C", "-4"), ("n", "C", "6"), ("n", "C", "*")]
+    df = spark.createDataFrame(rows, "district string, question_type string, question_index string")
+    out = {r.district: (r.value, r.question_count) for r in survey_index_mean(df, ["district"]).collect()}
+    assert out == {"g": (52.6, 4), "h": (0.3, 2), "n": (1.0, 2)}
+
+
+def test_snake_case():
+    from kpiloom.functions.clean import to_snake_case
+    assert [to_snake_case(x) for x in ["School Year", "stateSchoolId", "Alpha Events (A)", "Return-Events", "NCESId", "a1B", " X  Y "]] == [
+        "school_year", "state_school_id", "alpha_events_a", "return_events", "nces_id", "a1_b", "x_y"]
 
 
 def test_zero_divisors_are_null_under_ansi(spark):

@@ -16,6 +16,7 @@ from tests.conftest import SF001
     ("dq_value_range", "rate_out_of_range"),
     ("dq_suppressed_null", "suppressed_with_value"),
     ("dq_suppressed_null", "bad_flag"),
+    ("dq_band_rules", "combined_not_sum_of_bands"),
 ])
 def test_planted_rule_violations(spark, key, rule):
     df = E.queries()[key](spark, SF001)
@@ -23,7 +24,7 @@ def test_planted_rule_violations(spark, key, rule):
 
 
 @pytest.mark.parametrize("key", ["dq_rate_consistency", "dq_component_sum", "dq_duplicate_keys",
-                                 "dq_baseline_diff", "dq_source_coverage"])
+                                 "dq_baseline_diff", "dq_source_coverage", "dq_tier_consistency"])
 def test_planted_violations_found(spark, key):
     assert E.queries()[key](spark, SF001).count() > 0
 
@@ -36,3 +37,56 @@ def test_stream_restart_is_exactly_once(spark):
     ST.stream_kpi_ingest(ST.read_drops(spark, src, W_COLUMNS), W_DIMS, out, ckpt)
     assert ST.read_kpi_output(spark, out).count() == first
     assert first == E.queries()["wide_to_long"](spark, SF001).count()
+
+
+def test_required_groups_and_unpaired_metrics(spark):
+    from kpiloom.operators.quality import dq_band_rules, dq_paired_metrics
+    kpi = spark.createDataFrame([("2024", "a"), ("2024", "a"), ("2024", "b"), ("2023", "a"), ("2023", "b")], "year string, metric string")
+    assert [tuple(r) for r in dq_paired_metrics(kpi, [("a", "b")]).select("year", "metric", "n_rows").collect()] == [("2024", "a|b", 1)]
+    rules = {r["rule"]: r["n_violations"] for r in E.queries()["dq_demographic_rules"](spark, SF001).collect()}
+    assert "required_groups" in rules
+    bands = spark.createDataFrame([(1, 10., 20., 30., 40., 70.), (2, 10., 20., 30., 42., 72.), (3, 10., 20., 30., 40., 71.), (4, None, 20., 30., 40., 70.)],
+                                  "k int, n double, a double, p double, d double, c double")
+    got = sorted((r["k"], r["rule"]) for r in dq_band_rules(bands, ["k"], [F.col(x) for x in "napd"], F.col("c")).collect())
+    assert got == [(2, "bands_not_100"), (3, "combined_not_sum_of_bands")]
+
+
+def test_replayed_quarantine_batch_adds_nothing(spark, monkeypatch):
+    """The first run fails between the two writes of a micro-batch; the restart replays it."""
+    src = write_drops(spark, SF001, quarantine=True)
+    good, bad, ckpt = (scratch_path(spark, x) for x in ("replay-good", "replay-bad", "replay-ckpt"))
+    real = ST.kpi_from_typed
+
+    def fails(*_):
+        raise RuntimeError("lost between the writes")
+
+    monkeypatch.setattr(ST, "kpi_from_typed", fails)
+    with pytest.raises(Exception, match="lost between"):
+        ST.stream_quarantine(ST.read_drops(spark, src, W_COLUMNS), W_DIMS, good, bad, ckpt)
+    first = spark.read.parquet(bad).count()
+    monkeypatch.setattr(ST, "kpi_from_typed", real)
+    ST.stream_quarantine(ST.read_drops(spark, src, W_COLUMNS), W_DIMS, good, bad, ckpt)
+    assert first > 0 and spark.read.parquet(bad).count() == first
+    assert spark.read.parquet(good).count() > 0
+
+
+def test_incident_rate_takes_whole_rows(spark):
+    from kpiloom.operators.events import incident_rate
+    from kpiloom.schema import KPI_VALUE_COLUMNS
+    base = dict.fromkeys(KPI_VALUE_COLUMNS)
+    base |= {"year": "2024", "district": "d", "school_id": "1", "school_name": "s", "suppressed": "N"}
+    a = {**base, "metric": "safe_students_affected_total", "student_group": "All Students"}
+    e = {**base, "metric": "safe_event_count_total", "student_group": "All Students - Total Events", "value": 8.0, "county_name": "Z", "nces_id": "n"}
+    rows = [{**a, "value": 4.0, "county_name": "Y"}, {**a, "value": 2.0, "county_name": "X"}, {**a, "value": 0.0, "county_name": "W"}, e]
+    df = spark.createDataFrame([tuple(r[c] for c in KPI_VALUE_COLUMNS) for r in rows], ", ".join(f"{c} {'double' if c == 'value' else 'string'}" for c in KPI_VALUE_COLUMNS))
+    got = incident_rate(df).collect()
+    assert [(r["value"], r["county_name"], r["nces_id"]) for r in got] == [(4.0, "X", "n")]
+
+
+def test_pivot_shows_every_group(spark):
+    from kpiloom.operators.dashboard import heatmap_pivot
+    rows = [("m", "2024", "a", g, float(i), "N") for i, g in enumerate(["All Students", "Some New Group"])] + [("m", "2024", "b", "All Students", 3.0, "N"), ("m", "2024", "b", "Hidden", None, "Y")]
+    kpi = spark.createDataFrame(rows, "metric string, year string, school_name string, student_group string, value double, suppressed string")
+    got = heatmap_pivot(kpi, "m")
+    assert got.columns[4:] == ["All Students", "Some New Group"]
+    assert [(r["school_name"], r["school_rank"]) for r in got.orderBy("school_rank").collect()] == [("b", 1), ("a", 2)]

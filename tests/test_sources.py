@@ -15,9 +15,8 @@ def test_scan_groups_by_header(spark, tmp_path):
     assert len(listing.skipped_empty) == 1
     raw = IO.scan_raw_csv(spark, f"file://{d}/*.csv", listing=listing)
     canon = rename_columns(raw)
-    rows = sorted((r.school_year, r.school_code, r.demographic, IO.source_file_column("_source_path") is not None)
-                  for r in canon.collect())
-    assert rows == [("20192020", "000456", "MALE", True), ("20232024", "000123", "Female", True)]
+    rows = sorted((r.school_year, r.school_code, r.demographic) for r in canon.collect())
+    assert rows == [("20192020", "000456", "MALE"), ("20232024", "000123", "Female")]
     names = sorted(r[0] for r in canon.select(IO.source_file_column("_source_path")).collect())
     assert names == ["new_2024.csv", "old_2020.csv"]
     assert {"Value", "EXTRA"} <= set(canon.columns)
@@ -32,3 +31,51 @@ def test_allowlist_and_classify(spark, tmp_path):
     got = sorted((r.f, r.t) for r in raw.select(IO.source_file_column("_source_path").alias("f"),
                                                  IO.classify_file(IO.source_file_column("_source_path")).alias("t")).collect())
     assert got == [("acct_index_scores_2024.csv", "index_scores"), ("precautionary_measures_2023.csv", "precautionary_measures")]
+
+
+def test_repeated_headers_line_breaks_and_bad_files(spark, tmp_path):
+    d = tmp_path / "raw"
+    d.mkdir()
+    (d / "twice.csv").write_text("Name,Total,total\nx,1,2\ny,3\n", encoding="utf-8")
+    (d / "broken.csv.gz").write_bytes(b"this is not gzip")
+    listing = IO.list_csv(spark, f"file://{d}/*")
+    assert [p.rsplit("/", 1)[1] for p in listing.unreadable] == ["broken.csv.gz"]
+    raw = IO.scan_raw_csv(spark, f"file://{d}/*", listing=listing)
+    got = sorted((r["Name"], r["Total"], r["total_2"], r["_corrupt"]) for r in raw.select("Name", "Total", "total_2", "_corrupt").collect())
+    assert got == [("x", "1", "2", None), ("y", "3", None, "y,3")]
+    (d / "lines.csv").write_text('Name,Note\na,"one\ntwo"\nb,three\n', encoding="utf-8")
+    whole = IO.scan_raw_csv(spark, f"file://{d}/lines.csv", multi_line=True)
+    assert sorted((r["Name"], r["Note"]) for r in whole.collect()) == [("a", "one\ntwo"), ("b", "three")]
+
+
+def test_format_comes_from_the_header_not_from_the_cells(spark, tmp_path):
+    d = tmp_path / "raw"
+    d.mkdir()
+    (d / "a.csv").write_text("A,B\n1,\n,2\n", encoding="utf-8")
+    (d / "b.csv").write_text("C\n1\n", encoding="utf-8")
+    (d / "c.csv").write_text("D\n1\n", encoding="utf-8")
+    raw = IO.scan_raw_csv(spark, f"file://{d}/*.csv")
+    got = sorted(r[0] for r in IO.detect_format(raw, [("new", ["A", "B"]), ("old", ["C"])]).select("data_format").collect())
+    assert got == ["new", "new", "old", "unknown_format"]
+
+
+def test_kpi_sink_has_all_columns_and_splits_a_large_year(spark, tmp_path):
+    from kpiloom.schema import KPI_COLUMNS
+    kpi = spark.range(40_000).selectExpr("'2024' as year", "concat('m', id) as metric", "md5(cast(id as string)) as district", "cast(id as double) as value", "'N' as suppressed")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        IO.sink_kpi(kpi, f"file://{tmp_path}/kpi", "s")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "kpi" / "source=s" / "year=2024").glob("*.parquet"))) > 1
+    back = spark.read.parquet(f"file://{tmp_path}/kpi")
+    assert set(back.columns) == {*KPI_COLUMNS, "source"} and back.count() == 40_000
+    assert back.filter("last_updated is null").count() == 0
+
+
+def test_master_leaves_out_audit_and_short_tables(spark):
+    from kpiloom.sources.master import REQUIRED_COLUMNS, union_master
+    full = spark.createDataFrame([tuple("1" for _ in REQUIRED_COLUMNS)], ", ".join(f"{c} string" for c in REQUIRED_COLUMNS))
+    got = union_master(spark, [("a", full), ("a_demographic_audit", full), ("short", full.select("year", "metric"))])
+    assert [r["source"] for r in got.collect()] == ["a"]
+    assert union_master(spark, []).count() == 0
