@@ -51,6 +51,8 @@ def rename_columns(df: DataFrame, source: dict[str, list[str]] | None = None) ->
     for canon, spellings in mapping.items():
         for s in spellings:
             spelled.setdefault(s, canon)
+    for canon, spellings in (source or {}).items():  # a header that both name is the source's
+        spelled.update(dict.fromkeys(spellings, canon))
     targets: dict[str, list[str]] = {}
     passthrough: list[str] = []
     for c in df.columns:
