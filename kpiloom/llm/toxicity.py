@@ -43,7 +43,7 @@ from pyspark.sql import types as T
 from kpiloom.llm.common import bounded_batches, fold, table
 
 HASH_BITS = 20
-SAMPLE_DOCS = 20_000
+SAMPLE_DOCS = 12_000
 MAX_TERMS = 4096
 MIN_SUPPORT = 3
 FACTORS = 8
