@@ -23,8 +23,9 @@ def test_union_counts_add_up(spark):
     q = E.queries()
     m = q["union_master"](spark, SF001)
     per = {r.source: r.n for r in m.groupBy("source").agg(F.count(F.lit(1)).alias("n")).collect()}
-    assert per["wide"] == q["wide_to_long"](spark, SF001).count()
-    assert per["graduation"] == q["job_graduation"](spark, SF001).count()
+    assert len(per) == 13
+    for source, job in (("graduation_rates", "job_graduation"), ("student_enrollment", "job_enrollment"), ("safe_schools_events", "job_events")):
+        assert per[source] == q[job](spark, SF001).count()
 
 
 def test_batch_equals_stream(spark):
@@ -34,10 +35,10 @@ def test_batch_equals_stream(spark):
     assert batch.exceptAll(stream).count() == 0 and stream.exceptAll(batch).count() == 0
 
 
-def test_every_key_has_an_oracle_or_is_rows_only():
-    qs, os_ = E.queries(), E.oracle_sql()
-    assert set(os_) <= set(qs)
-    assert set(qs) - set(os_) == {"sink_heatmap_json"}
+def test_every_key_of_the_survey_has_an_oracle():
+    from kpiloom.plans.catalog import oracles, queries
+    assert set(queries()) == set(oracles())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_registry_loads_without_spark():
@@ -49,4 +50,4 @@ def test_registry_loads_without_spark():
     out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
     assert out.returncode == 0, out.stderr[-2000:]
     n_q, n_o = map(int, out.stdout.split()[-2:])
-    assert n_q == n_o + 1
+    assert n_q >= n_o >= 104
