@@ -42,3 +42,19 @@ def probed(rows: DataFrame, keys: DataFrame, key: str, max_blocks: int = MAX_BLO
             .join(F.broadcast(bloom_blocks(keys, key, blocks)), "_block", "left")
             .withColumn("_possible", F.coalesce(possible, F.lit(False)))
             .select(*rows.columns, "_possible"))
+
+
+def left_out(rows: DataFrame, keys: DataFrame, on: dict[str, Column]) -> DataFrame:
+    """The rows whose keys don't stand in ``keys`` (columns named like ``on``,
+    whose values say how a row's keys are made; nulls are equal).  The filter
+    lets nearly all such rows pass where they are; only possible hits, with
+    whatever long columns they have, meet ``keys`` in an exact anti join."""
+    names = [f"_k_{name}" for name in on]
+    wanted = keys.select(*(F.col(name).alias(k) for name, k in zip(on, names))).distinct()
+    found = probed(rows.withColumns({**dict(zip(names, on.values())), "_key": F.xxhash64(*on.values())}),
+                   wanted.select(F.xxhash64(*names).alias("_key")), "_key")
+    same = F.lit(True)
+    for k in names:
+        same &= F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
+    sure = found.filter("not _possible").select(rows.columns)
+    return sure.unionByName(found.filter("_possible").alias("l").join(wanted.alias("r"), same, "left_anti").select(rows.columns))

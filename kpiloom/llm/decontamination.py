@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm.bloom import probed
+from kpiloom.llm.bloom import left_out, probed
 from kpiloom.llm.common import table, written
 
 MASKS = ("11101011", "110100111")
@@ -120,9 +120,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, keys: list[str], broadcast_r
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that no item contaminates, with the columns of ``docs``."""
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    hit = overlaps(keyed, benchmark, ["doc_id", "text_hash"]).select(
-        F.col("doc_id").alias("_hit_id"), F.col("text_hash").alias("_hit_text")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit_id")) & (F.xxhash64("text") == F.col("_hit_text")), "left_anti")
+    hit = written(overlaps(keyed, benchmark, ["doc_id", "text_hash"]).select("doc_id", "text_hash").distinct(), "contaminated")
+    return left_out(docs, hit, {"doc_id": F.col("doc_id"), "text_hash": F.xxhash64("text")})
 
 
 def op2_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,6 +45,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kpiloom.llm.bloom import left_out
 from kpiloom.llm.common import bounded_batches, table, written
 
 SHINGLE = 4
@@ -266,7 +267,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     with the first text does."""
     found = near_duplicates(docs)
     dropped = written(found.filter("doc_id != component_id").select("doc_id").distinct(), "near-duplicates")
-    kept = docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    kept = left_out(docs, dropped, {"doc_id": F.col("doc_id")})
     repeated = found.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id")
     if not repeated.head(1):
         return kept

@@ -92,3 +92,17 @@ def test_query_over_table(spark, sf):
     assert planted and planted <= found
     df = D.op2_spaced_seed_decontamination(spark, sf)
     assert "Python" not in df._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("max_blocks", [1, 1 << 10])
+def test_left_out_equals_null_safe_anti_join(spark, max_blocks, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from kpiloom.llm import bloom
+    monkeypatch.setattr(bloom.probed, "__defaults__", (max_blocks,))
+    rows = [(i % 40 if i % 9 else None, f"t{i % 7}" if i % 5 else None) for i in range(200)]
+    keys = [(i, f"t{i % 7}") for i in range(0, 40, 3)] + [(None, "t1"), (None, None), (4, None), (4, None)]
+    left = spark.createDataFrame(rows, "a int, b string").selectExpr("a as x", "b as y", "1 as _key")
+    right = spark.createDataFrame(keys, "a int, b string")
+    got = sorted(map(str, ((r["x"], r["y"]) for r in bloom.left_out(left, right, {"a": F.col("x"), "b": F.col("y")}).collect())))
+    assert got == sorted(str(r) for r in rows if r not in set(keys))
