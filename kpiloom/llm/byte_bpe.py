@@ -45,7 +45,7 @@ _BOUNDARY = re.compile(f"(?<=[^{WHITE_SPACE}])(?=[{WHITE_SPACE}])")
 _LONG_RUN = re.compile(f"[{WHITE_SPACE}]{{{CHUNK_CHARS},}}")
 
 
-@functools.lru_cache(maxsize=4)
+@functools.lru_cache(maxsize=1)
 def encoding(rank_file: str):
     """The encoding of a rank file: an absolute path, or a name that the
     ``public_tokenizers`` package resolves on this machine."""
@@ -113,9 +113,19 @@ def decode(df: DataFrame, rank_file: str = RANK_FILE, ids: str = "ids", out: str
 
 
 def round_trip(docs: DataFrame, rank_file: str = RANK_FILE) -> DataFrame:
-    """Per document: doc_id, n_tokens and the digests of its ids and of the bytes they decode to."""
-    both = decode(encode(docs.select("doc_id", "text"), rank_file), rank_file)
-    return both.select(
+    """Per document: doc_id, n_tokens and the digests of its ids and of the bytes
+    they decode to; ``encode`` and ``decode`` in one pass of one Python worker."""
+    bounded_batches(docs.sparkSession)
+
+    @F.pandas_udf("ids binary, decoded binary")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        enc = encoding(rank_file)
+        for texts in batches:
+            ids = [np.array(encode_text(enc, t), "<u4") for t in texts]
+            yield pd.DataFrame({"ids": [x.tobytes() for x in ids], "decoded": [enc.decode_bytes(x.tolist()) for x in ids]})
+
+    done = docs.select("doc_id", both(F.coalesce("text", F.lit(""))).alias("both")).select("doc_id", "both.ids", "both.decoded")
+    return done.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
