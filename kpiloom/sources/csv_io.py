@@ -16,6 +16,7 @@ import csv
 import fnmatch
 import io
 import logging
+import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -31,6 +32,7 @@ log = logging.getLogger(__name__)
 
 BOM = "﻿"
 HEADER_THREADS = 16
+HEADER_TRIES, HEADER_WAIT_S = 4, 0.5
 
 
 @dataclass
@@ -39,6 +41,21 @@ class CsvListing:
     skipped_empty: list[str] = field(default_factory=list)
     unreadable: list[str] = field(default_factory=list)
 
+    def leave_out(self, path: str) -> None:
+        """Take a file that a scan could not read to its end out of the groups, whole, and list it."""
+        for header, files in list(self.groups.items()):
+            if path in files:
+                self.unreadable.append(path)
+                files.remove(path)
+                if not files:
+                    del self.groups[header]
+                return
+        raise ValueError(f"not a file of this listing: {path}")
+
+
+class UnreadableFiles(OSError):
+    """Files whose header could not be read, where the caller has no listing that names them."""
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -48,7 +65,9 @@ def _fs(spark: SparkSession, path: str):
 
 def list_csv(spark: SparkSession, pattern: str, allow: list[str] | None = None) -> CsvListing:
     """Files matching ``pattern`` (a Hadoop glob), optionally restricted to
-    names matching one of the ``allow`` globs, grouped by header line."""
+    names matching one of the ``allow`` globs, grouped by header line.  A file
+    whose header cannot be read in ``HEADER_TRIES`` tries is listed as
+    unreadable."""
     fs, p, jvm = _fs(spark, pattern)
     statuses = fs.globStatus(p) or []
     out = CsvListing()
@@ -69,11 +88,14 @@ def list_csv(spark: SparkSession, pattern: str, allow: list[str] | None = None)
         files.append((path, st.getPath()))
 
     def read(file: tuple) -> tuple[str, list[str] | None]:
-        try:
-            return file[0], _header(spark, fs, file[1], jvm)
-        except Py4JJavaError as e:
-            log.warning("unreadable file left out: %s (%s)", file[0], e.java_exception.getMessage())
-            return file[0], None
+        for n in range(1, HEADER_TRIES + 1):
+            try:
+                return file[0], _header(spark, fs, file[1], jvm)
+            except Py4JJavaError as e:
+                log.warning("header not read: %s (try %d of %d: %s)", file[0], n, HEADER_TRIES, e.java_exception.getMessage())
+            if n < HEADER_TRIES:
+                time.sleep(HEADER_WAIT_S * n)
+        return file[0], None
 
     # only the header line of each file is read here, several files at a time
     with ThreadPoolExecutor(HEADER_THREADS) as pool:
@@ -127,10 +149,15 @@ def scan_raw_csv(spark: SparkSession, pattern: str, allow: list[str] | None = No
     stacked by name.
 
     ``multi_line``: fields may hold line breaks inside quotes; such files are
-    not split, so it is a choice per source.  Files that cannot be read are
-    listed in ``listing.unreadable`` when their header fails, and skipped by the
-    scan (``ignoreCorruptFiles``) when they break further down."""
-    listing = listing or list_csv(spark, pattern, allow)
+    not split, so it is a choice per source.  No file counts by a part of its
+    rows: an error further down fails the task, is retried like any task, and
+    then fails the query with the file's path.  To go on without such a file, or
+    one whose header fails, pass the ``listing`` that names it (``leave_out``,
+    ``unreadable``); without a listing an unreadable header raises."""
+    if listing is None:
+        listing = list_csv(spark, pattern, allow)
+        if listing.unreadable:
+            raise UnreadableFiles(f"headers that could not be read: {', '.join(sorted(listing.unreadable))}")
     parts = []
     for header, files in sorted(listing.groups.items()):
         names = unique_names(list(header))
@@ -138,7 +165,7 @@ def scan_raw_csv(spark: SparkSession, pattern: str, allow: list[str] | None = No
         df = (spark.read.schema(schema)
               .option("header", True).option("quote", '"').option("escape", '"').option("enforceSchema", True)
               .option("multiLine", multi_line).option("mode", "PERMISSIVE").option("encoding", "UTF-8")
-              .option("columnNameOfCorruptRecord", "_corrupt").option("ignoreCorruptFiles", True)
+              .option("columnNameOfCorruptRecord", "_corrupt").option("ignoreCorruptFiles", False)
               .csv(files))
         parts.append(df.withColumns({"_source_path": F.col("_metadata.file_path"),
                                      "_source_header": F.array(*map(F.lit, names))}))

@@ -1,5 +1,10 @@
 """CSV scan by header group: BOM, drifting headers, empty and header-only files."""
 
+import gzip
+import random
+
+import pytest
+
 from kpiloom.operators.columns import rename_columns
 from kpiloom.sources import csv_io as IO
 
@@ -48,6 +53,42 @@ def test_repeated_headers_line_breaks_and_bad_files(spark, tmp_path):
     assert sorted((r["Name"], r["Note"]) for r in whole.collect()) == [("a", "one\ntwo"), ("b", "three")]
 
 
+def test_no_file_counts_by_a_part_of_its_rows(spark, tmp_path):
+    d = tmp_path / "raw"
+    d.mkdir()
+    (d / "good.csv").write_text("A,B\n1,2\n", encoding="utf-8")
+    rnd = random.Random(1)
+    whole = gzip.compress(("A,B\n" + "".join(f"{rnd.random()},{i}\n" for i in range(60_000))).encode())
+    (d / "cut.csv.gz").write_bytes(whole[:len(whole) * 2 // 3])
+    listing = IO.list_csv(spark, f"file://{d}/*")
+    assert not listing.unreadable  # the header is whole
+    with pytest.raises(Exception, match="cut.csv.gz"):
+        IO.scan_raw_csv(spark, f"file://{d}/*", listing=listing).select("A", "B").collect()
+    listing.leave_out(next(f for files in listing.groups.values() for f in files if f.endswith("cut.csv.gz")))
+    assert [p.rsplit("/", 1)[1] for p in listing.unreadable] == ["cut.csv.gz"]
+    assert [tuple(r) for r in IO.scan_raw_csv(spark, f"file://{d}/*", listing=listing).select("A", "B").collect()] == [("1", "2")]
+
+
+def test_header_reads_are_retried_and_then_raise(spark, tmp_path, monkeypatch):
+    d = tmp_path / "raw"
+    d.mkdir()
+    (d / "a.csv").write_text("A\n1\n", encoding="utf-8")
+    read, failed = IO._header, []
+
+    def once(spark, fs, path, jvm):
+        if not failed:
+            failed.append(path)
+            fs.open(jvm.org.apache.hadoop.fs.Path(f"file://{d}/missing"))
+        return read(spark, fs, path, jvm)
+
+    monkeypatch.setattr(IO, "HEADER_WAIT_S", 0)
+    monkeypatch.setattr(IO, "_header", once)
+    assert IO.scan_raw_csv(spark, f"file://{d}/*").count() == 1 and failed
+    (d / "broken.csv.gz").write_bytes(b"this is not gzip")
+    with pytest.raises(IO.UnreadableFiles, match="broken.csv.gz"):
+        IO.scan_raw_csv(spark, f"file://{d}/*")
+
+
 def test_format_comes_from_the_header_not_from_the_cells(spark, tmp_path):
     d = tmp_path / "raw"
     d.mkdir()
