@@ -11,8 +11,9 @@ every pair through the factors, so that two terms harmless alone can be toxic
 together (and the other way round).
 
 Fit: on at most ``SAMPLE_DOCS`` labelled rows, those with the smallest seeded
-hash of their id; executors turn their texts into term buckets, and only these
-numbers come to the driver.  The ``MAX_TERMS`` buckets that tell the classes
+hash of their id; executors turn their texts into term buckets and count them
+by class, and only these counts and, of each row, the places of the buckets
+that are kept come to the driver.  The ``MAX_TERMS`` buckets that tell the classes
 apart best (signed chi-square on presence, at least ``MIN_SUPPORT`` documents)
 get weights; Adagrad steps with L2 in numpy, seeded.  The fitted model is a
 table of fixed size that goes to the tasks.
@@ -40,10 +41,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kpiloom.llm.common import bounded_batches, fold, table
+from kpiloom.llm.common import bounded_batches, fold, table, written
 
 HASH_BITS = 20
-SAMPLE_DOCS = 12_000
+SAMPLE_DOCS = 20_000
 MAX_TERMS = 4096
 MIN_SUPPORT = 3
 FACTORS = 8
@@ -80,19 +81,30 @@ def buckets_of(text: str) -> set[int]:
     return {term for word in words_of(text) for term in terms_of(word)}
 
 
-def _select(docs: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """The buckets that get weights, strongest first."""
+def _chi(both: np.ndarray, toxic: np.ndarray, n: int, p: float) -> np.ndarray:
+    """Chi-square of each bucket's presence against the label; 0 without support or under one chance in a hundred."""
+    p = max(p, 1e-9)
+    chi = (toxic - both * p) ** 2 / np.maximum(both * p * (1 - p) * (1 - both / n) + 1e-9, 1e-9)
+    return np.where((both < MIN_SUPPORT) | (chi < 6.6), 0, chi)
+
+
+def _strong(both: np.ndarray, toxic: np.ndarray, n: int, p: float) -> np.ndarray:
+    """The buckets that tell the classes apart by themselves, strongest first."""
+    chi = _chi(both, toxic, n, p)
+    order = np.lexsort((np.arange(len(chi)), -chi))[:MAX_TERMS]
+    return order[chi[order] > 0]
+
+
+def _counts(docs: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     size = 1 << HASH_BITS
     count = lambda which: np.bincount(np.concatenate([*which, np.empty(0, "int64")]).astype("int64"), minlength=size).astype(float)
     toxic = count([d for d, y in zip(docs, labels) if y])
-    both = toxic + count([d for d, y in zip(docs, labels) if not y])
-    n, p = len(docs), max(labels.mean(), 1e-9)
-    expected = both * p
-    chi = (toxic - expected) ** 2 / np.maximum(both * p * (1 - p) * (1 - both / n) + 1e-9, 1e-9)
-    chi[both < MIN_SUPPORT] = 0
-    chi[chi < 6.6] = 0  # one chance in a hundred
-    order = np.lexsort((np.arange(size), -chi))[:MAX_TERMS]
-    return order[chi[order] > 0]
+    return toxic + count([d for d, y in zip(docs, labels) if not y]), toxic
+
+
+def _select(docs: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """The buckets that get weights, strongest first."""
+    return _strong(*_counts(docs, labels), len(docs), labels.mean())
 
 
 def fit(docs: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, rate: float = 0.1, l2: float = 2e-5) -> Model:
@@ -162,10 +174,23 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Mode
         for texts in batches:
             yield pd.Series([sorted(buckets_of(t)) for t in texts], dtype=object)
 
-    rows = (docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
-            .select("doc_id", "toxic", buckets(F.coalesce("text", F.lit(""))).alias("terms")).toArrow().to_pandas())
-    rows = rows.iloc[np.lexsort((rows.toxic, rows.doc_id))]
-    return fit([np.asarray(t, "int32") for t in rows.terms], rows.toxic.to_numpy())
+    rows = written(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+                   .select("doc_id", "toxic", F.col("toxic").cast("int").alias("y"), buckets(F.coalesce("text", F.lit(""))).alias("terms")), "toxicity-sample")
+    n, toxic_rows = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
+    found = (rows.select("y", F.explode("terms").alias("term")).groupBy("term")
+             .agg(F.count("*").cast("int").alias("both"), F.sum("y").cast("int").alias("toxic")).filter(F.col("both") >= MIN_SUPPORT).toArrow().to_pandas())
+    both, toxic = (np.zeros(1 << HASH_BITS) for _ in range(2))
+    both[found.term], toxic[found.term] = found.both, found.toxic
+    kept = np.sort(_strong(both, toxic, n, toxic_rows / n) if 0 < toxic_rows < n else np.empty(0, "int64"))
+
+    @F.pandas_udf(T.ArrayType(T.ShortType()))
+    def places(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for terms in batches:
+            yield pd.Series([np.flatnonzero(np.isin(kept, t)).astype("int16") for t in terms], dtype=object)
+
+    rows = rows.select("doc_id", "y", places("terms").alias("at")).toArrow().to_pandas()
+    rows = rows.iloc[np.lexsort((rows.y, rows.doc_id))]
+    return fit([kept[np.asarray(at, "int64")].astype("int32") for at in rows["at"]], rows.y.to_numpy())
 
 
 def scorer(spark: SparkSession, model: Model, text: Column) -> Column:

@@ -73,6 +73,21 @@ def test_held_out_rows_teach_nothing(spark):
     assert all((s > 0.5) == i % 2 for i, s in got.items())
 
 
+def test_sample_and_what_reaches_the_driver(spark, monkeypatch):
+    assert toxicity.SAMPLE_DOCS >= 20_000
+    some = toxic_docs(900, 12)
+    docs = spark.createDataFrame([(i, f"{t} rare{i}") for i, (t, _) in enumerate(some)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(some)], "doc_id long, toxic int")
+    sent = []
+    fit = toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda docs, labels: sent.append((docs, labels)) or fit(docs, labels))
+    model = toxicity.train(docs, labels)
+    learned = [i for i in range(900) if fold(i, 3) != 1]
+    whole = fit([np.array(sorted(toxicity.buckets_of(f"{some[i][0]} rare{i}")), "int32") for i in learned], np.array([some[i][1] for i in learned]))
+    assert len(sent[0][0]) == len(learned) and sum(map(len, sent[0][0])) < 900 * 13 / 2  # kept terms only
+    assert (model.slots == whole.slots).all() and np.allclose(model.weights, whole.weights) and np.allclose(model.factors, whole.factors)
+
+
 def language_docs(n, seed):
     rnd = random.Random(seed)
     syllables = {"aa": ["ka", "lo", "mi", "ku"], "bb": ["ber", "sch", "ung", "zu"], "cc": ["ção", "nhe", "que", "lhá"]}
