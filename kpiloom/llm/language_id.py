@@ -4,9 +4,10 @@ Every byte of a window has a small embedding; filters of several widths run
 over them, the largest response of each filter over the window is its feature,
 and a softmax layer turns features into languages.  The network is trained in
 numpy (Adam, seeded) on windows of a bounded sample of labelled rows:
-about ``SAMPLE_DOCS`` rows (twice that at most), an equal share of each
-language or all it has, those whose id's seeded hash is under the language's
-share of its rows, and ``SAMPLE_WINDOWS`` places of each text.
+about ``SAMPLE_DOCS`` ids (twice that at most), an equal share of each
+language or all it has, those whose seeded hash is under the language's share
+of its ids, and ``SAMPLE_WINDOWS`` places of each id's text (of several texts
+of one id that with the smallest hash).
 
 Applied, a text is cut into windows of ``WINDOW`` bytes, one after the other
 until its end (the last one padded with byte 0); the windows of many texts are
@@ -166,17 +167,19 @@ class Reader:
 def sample_windows(docs: DataFrame, sample: int = SAMPLE_DOCS) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Windows, label numbers and languages of the bounded sample."""
     rows = docs.filter(F.col("lang").isNotNull() & (fold("doc_id", FOLDS) != HELD_OUT))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    known = rows.groupBy("doc_id").agg(F.min("lang").alias("lang"))
+    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     languages = sorted(counts)
     parts = [F.lit(x) for lang in languages for x in (lang, min(1.0, sample / len(languages) / counts[lang]))]
     place = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = rows.select("doc_id", "lang").filter(place < F.create_map(*parts)[F.col("lang")] if parts else F.lit(False))
-    ids = chosen.groupBy("doc_id").agg(F.min("lang").alias("lang")).orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(2 * sample)
+    chosen = known.filter(place < F.create_map(*parts)[F.col("lang")] if parts else F.lit(False))
+    ids = chosen.orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(2 * sample)
     body = F.coalesce("text", F.lit("")).cast("binary")
     places = F.transform(F.sequence(F.lit(1), F.lit(SAMPLE_WINDOWS)), lambda i: F.substring(
         body, F.pmod(F.xxhash64("doc_id", i), F.greatest(F.octet_length(body) - WINDOW + 1, F.lit(1))).cast("int") + 1, F.lit(WINDOW)))
-    found = (docs.select("doc_id", "text").filter(F.col("text").rlike(r"\p{L}")).join(F.broadcast(ids), "doc_id")
-             .select("doc_id", "lang", F.explode(F.array_distinct(places)).alias("window")).limit(2 * sample * SAMPLE_WINDOWS).collect())
+    one = (docs.select("doc_id", "text").filter(F.col("text").rlike(r"\p{L}")).join(F.broadcast(ids), "doc_id")
+           .groupBy("doc_id", "lang").agg(F.min_by(F.array_distinct(places), F.xxhash64("text")).alias("windows")))
+    found = one.select("doc_id", "lang", F.explode("windows").alias("window")).collect()
     found.sort(key=lambda r: (r["doc_id"], r["lang"], r["window"]))
     windows = np.frombuffer(b"".join(bytes(r["window"]).ljust(WINDOW, b"\0") for r in found), "uint8").reshape(-1, WINDOW)
     return windows, np.array([languages.index(r["lang"]) for r in found], "int64"), languages

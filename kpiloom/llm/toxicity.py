@@ -10,8 +10,8 @@ over the terms present: beside each term's own weight it learns a weight for
 every pair through the factors, so that two terms harmless alone can be toxic
 together (and the other way round).
 
-Fit: on at most ``SAMPLE_DOCS`` labelled rows, those with the smallest seeded
-hash of their id; executors turn their texts into term buckets and count them
+Fit: on at most ``SAMPLE_DOCS`` labelled ids, those with the smallest seeded
+hash; executors turn their texts into term buckets and count them
 by class, and only these counts and, of each row, the places of the buckets
 that are kept come to the driver.  The ``MAX_TERMS`` buckets that tell the classes
 apart best (signed chi-square on presence, at least ``MIN_SUPPORT`` documents)
@@ -22,8 +22,9 @@ Scoring reads every whole text, in one narrow stage without a shuffle.
 
 Cases: a null text has no terms, like an empty one or one without a word, and
 gets the score of the bias alone; documents without an id are scored but never
-learned from; a label other than 0 and 1, or null, is no label; several labels
-of one id count as they come; without any labelled row of both classes the
+learned from; a label other than 0 and 1, or null, is no label; an id
+teaches once, by the text with the smallest hash and by most of its labels
+(toxic on a tie), so a repeated id brings one row to the driver; without any labelled row of both classes the
 score is the share of toxic rows learned from, 0 if there is none; equal rows
 score alike; other columns are ignored; an empty table gives an empty result.
 """
@@ -166,16 +167,18 @@ def score_text(model: Model, text: str, memo: dict[str, tuple[int, ...]]) -> flo
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Model:
     """Fit on labelled rows outside the held-out fold; ``docs`` has doc_id and
     text, ``labels`` has doc_id and toxic."""
-    known = (labels.filter(F.col("toxic").isin(0, 1) & (fold("doc_id", FOLDS) != HELD_OUT)).select("doc_id", "toxic")
-             .orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id", "toxic").limit(sample))
+    valid = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & (fold("doc_id", FOLDS) != HELD_OUT))
+    known = (valid.groupBy("doc_id").agg((F.avg("toxic") >= 0.5).cast("int").alias("y"))
+             .orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(sample))
+    body = F.coalesce("text", F.lit(""))
+    one = docs.select("doc_id", body.alias("text")).join(F.broadcast(known), "doc_id").groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def buckets(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([sorted(buckets_of(t)) for t in texts], dtype=object)
 
-    rows = written(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
-                   .select("doc_id", "toxic", F.col("toxic").cast("int").alias("y"), buckets(F.coalesce("text", F.lit(""))).alias("terms")), "toxicity-sample")
+    rows = written(one.select("doc_id", "y", buckets("text").alias("terms")), "toxicity-sample")
     n, toxic_rows = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     found = (rows.select("y", F.explode("terms").alias("term")).groupBy("term")
              .agg(F.count("*").cast("int").alias("both"), F.sum("y").cast("int").alias("toxic")).filter(F.col("both") >= MIN_SUPPORT).toArrow().to_pandas())
@@ -189,7 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Mode
             yield pd.Series([np.flatnonzero(np.isin(kept, t)).astype("int16") for t in terms], dtype=object)
 
     rows = rows.select("doc_id", "y", places("terms").alias("at")).toArrow().to_pandas()
-    rows = rows.iloc[np.lexsort((rows.y, rows.doc_id))]
+    rows = rows.sort_values("doc_id")
     return fit([kept[np.asarray(at, "int64")].astype("int32") for at in rows["at"]], rows.y.to_numpy())
 
 

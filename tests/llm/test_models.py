@@ -112,6 +112,27 @@ def test_language_rows(spark):
     assert {r["language_id"]["lang"] for r in language_id.identify(spark, unlabelled).collect()} == {"und"}
 
 
+def test_a_repeated_id_teaches_once(spark, monkeypatch):
+    some = language_docs(300, 8)
+    hot = next(i for i in range(300) if fold(i, 3) != 1 and fold(i, 4) != 2)
+    copies = [(hot, f"{some[hot][0]} copy {i}", some[hot][1]) for i in range(3000)]
+    docs = spark.createDataFrame([(i, t, k) for i, (t, k) in enumerate(some)] + copies, "doc_id long, text string, lang string").repartition(5)
+    windows, labels, languages = language_id.sample_windows(docs, 300)
+    learned = [i for i in range(300) if fold(i, 4) != 2]
+    assert languages == ["aa", "bb", "cc"] and len(windows) <= 3 * len(learned)
+    once = language_id.sample_windows(docs.filter(f"doc_id != {hot}"), 300)
+    assert 0 < len(windows) - len(once[0]) <= 3
+    again = language_id.sample_windows(docs.repartition(3), 300)
+    assert (windows == again[0]).all() and (labels == again[1]).all()
+
+    sent = []
+    monkeypatch.setattr(toxicity, "fit", lambda docs, labels: sent.append(labels))
+    known = spark.createDataFrame([(i, i % 2) for i in range(300)] + [(hot, hot % 2)] * 2000 + [(hot, 1 - hot % 2)], "doc_id long, toxic int")
+    toxicity.train(docs, known, 1000)
+    ids = [i for i in range(300) if fold(i, 3) != 1]
+    assert sent[0].tolist() == [i % 2 for i in ids]
+
+
 def test_windows_cover_whole_texts():
     windows = np.frombuffer(b"".join((t.encode() * 9)[:256].ljust(256, b"\0") for t, _ in language_docs(300, 5)), "uint8").reshape(-1, 256)
     names = ["aa", "bb", "cc"]
