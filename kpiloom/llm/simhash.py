@@ -7,8 +7,8 @@ sequence); a bit is set if it is set in over half of the shingles' XXH64 (seed
 other.  Two fingerprints link at ``RADIUS`` or fewer differing bits.
 
 1. Fingerprints are computed in one narrow stage and written once; everything
-   after works on distinct fingerprints, each with its smallest doc_id, so
-   exact copies cost nothing.
+   after works on distinct fingerprints, whose rows may all lack an id, so
+   exact copies cost nothing; a group is named by its smallest doc_id at the end.
 2. Candidates by pigeonhole: the 64 bits are cut into ``blocks`` parts; two
    fingerprints within the radius agree on ``blocks - RADIUS`` parts at least,
    so every choice of that many parts makes a table, and the pair meets in a
@@ -27,9 +27,9 @@ other.  Two fingerprints link at ``RADIUS`` or fewer differing bits.
    links, each a grouped minimum and a join, written to the shared folder
    every round.
 
-Cases: a null text has no words; a null doc_id keeps its fingerprint and takes
-the component of its fingerprint (null where no document with an id shares
-it), but links nothing; rows that share a doc_id count as one document with
+Cases: a null text has no words; a row with a null doc_id links like any
+other and takes the component of its group, null where no document of the
+group has an id; rows that share a doc_id count as one document with
 several texts; repeated rows are returned as often as they come; other columns
 are ignored; an empty table gives an empty result.
 """
@@ -245,35 +245,57 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS,
                     bucket: int = BUCKET, split: int = SPLIT) -> DataFrame:
     """doc_id, fp (long) and component_id of every row of ``docs``."""
+    prints, labels = _grouped(docs, doc_id, text, shingle, radius, bucket, split)
+    return prints.join(labels, "fp", "left").select("doc_id", "fp", "component_id")
+
+
+def _grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS,
+             bucket: int = BUCKET, split: int = SPLIT) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of every row, and of every fingerprint its group (the
+    smallest fingerprint) and component_id (the smallest doc_id, null where the
+    group has none)."""
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     prints = written(fingerprints(own, "text", "fp", shingle).select("doc_id", "fp"), "fingerprints")
-    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("id")).filter("id is not null"), "fingerprint-nodes")
-    found = components(same_document(prints).unionByName(links(nodes, nodes.count(), radius, bucket, split)))
-    labels = nodes.join(found, "id", "left").select("fp", F.coalesce("component", "id").alias("component_id"))
-    return prints.join(labels, "fp", "left").select("doc_id", "fp", "component_id")
+    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("id")), "fingerprint-nodes")
+    keyed = nodes.select(F.col("fp").alias("id"), "fp")
+    found = components(same_document(prints).unionByName(links(keyed, nodes.count(), radius, bucket, split)))
+    linked = nodes.join(found.withColumnRenamed("id", "fp"), "fp")
+    least = linked.groupBy("component").agg(F.min("id").alias("component_id"))
+    linked = linked.join(least, "component").select("fp", "component", "component_id")
+    labels = nodes.join(linked, "fp", "left").select("fp", F.coalesce("component", "fp").alias("group"), F.coalesce("component_id", "id").alias("component_id"))
+    return prints, written(labels, "fingerprint-groups")
 
 
 def same_document(prints: DataFrame) -> DataFrame:
-    """Links between a doc_id that comes with several fingerprints and the smallest ids of those."""
+    """Links between the fingerprints that come with one doc_id and the smallest of them."""
     several = prints.filter("doc_id is not null").groupBy("doc_id").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low != high")
-    lows = prints.groupBy("fp").agg(F.min("doc_id").alias("id"))
-    return (prints.join(several.select("doc_id"), "doc_id", "left_semi").distinct().join(lows, "fp")
-            .select(F.col("doc_id").alias("a"), F.col("id").alias("b")))
+    return prints.join(several, "doc_id").select(F.col("fp").alias("a"), F.col("low").alias("b")).distinct()
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without those whose group has a smaller doc_id.
-    Rows without an id stay; of several rows with one id that stays, the one
-    with the first text does."""
-    found = near_duplicates(docs)
+    """The rows of ``docs`` without those whose group has a smaller doc_id; of
+    several rows with one id that stays, the one with the first text does.  A
+    row without an id goes if its group has a document with one; a group
+    without any id keeps one row, that with the first text."""
+    prints, labels = _grouped(docs)
+    found = prints.filter("doc_id is not null").join(labels, "fp")
     dropped = written(found.filter("doc_id != component_id").select("doc_id").distinct(), "near-duplicates")
-    kept = left_out(docs, dropped, {"doc_id": F.col("doc_id")})
+    kept = left_out(docs.filter("doc_id is not null"), dropped, {"doc_id": F.col("doc_id")})
     repeated = found.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    if not repeated.head(1):
+    if repeated.head(1):
+        one = _first(kept.join(repeated, "doc_id", "left_semi"), "doc_id", docs.columns)
+        kept = kept.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(one)
+    if not prints.filter("doc_id is null").head(1):
         return kept
-    first = Window.partitionBy("doc_id").orderBy("text", *(c for c in docs.columns if c not in ("doc_id", "text")))
-    one = kept.join(repeated, "doc_id", "left_semi").withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n")
-    return kept.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(one)
+    groups = labels.filter("component_id is null").select(F.col("fp").alias("_fp"), F.col("group").alias("_group"))
+    lone = fingerprints(docs.filter("doc_id is null"), "text", "_fp").join(groups, "_fp").select(*docs.columns, "_group")
+    return kept.unionByName(_first(lone, "_group", docs.columns))
+
+
+def _first(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """One row a key: the first by its text, then by the other columns."""
+    first = Window.partitionBy(key).orderBy("text", *(c for c in columns if c not in ("doc_id", "text")))
+    return rows.withColumn("_n", F.row_number().over(first)).filter("_n = 1").select(columns)
 
 
 def hex_of(fp: Column) -> Column:

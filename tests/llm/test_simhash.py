@@ -121,6 +121,20 @@ def test_rows(spark):
     assert simhash.near_duplicates(df.filter("false")).count() == 0
 
 
+def test_rows_without_an_id(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(simhash, "fingerprints", lambda df, text="text", out="fp", shingle=4: df.withColumn(out, F.col(text).cast("long")))
+    far = 0x5555 << 40
+    docs = [(3, "0"), (None, "15"), (5, "255"), (None, "15"),  # 0 and 255 meet through 15, which has no id
+            (None, str(far)), (None, str(far)), (None, str(far + 1)), (9, str(0x7777 << 20)), (None, str(0x7777 << 20))]
+    df = spark.createDataFrame([(d, t, 1) for d, t in docs], "doc_id long, text string, extra int")
+    got = {(r["doc_id"], r["fp"]): r["component_id"] for r in simhash.near_duplicates(df).collect()}
+    assert got[(3, 0)] == got[(5, 255)] == got[(None, 15)] == 3 and got[(None, far)] is None and got[(None, 0x7777 << 20)] == 9
+    kept = simhash.deduplicated(df)
+    assert kept.columns == df.columns
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept.collect()) == [("3", "0"), ("9", str(0x7777 << 20)), ("None", str(far))]
+
+
 def test_query_over_table(spark, sf):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     prints = [(d, brute_fingerprint(t)) for d, t in docs]
