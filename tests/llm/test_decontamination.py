@@ -84,6 +84,27 @@ def test_against_all_alignments(spark, broadcast_rows):
     assert D.overlaps(df.filter("false"), bench, ["doc_id"]).count() == D.overlaps(df, bench.filter("false"), ["doc_id"]).count() == 0
 
 
+def test_short_items_scripts_without_spaces_and_equal_items(spark, tmp_path):
+    items, docs, want = [], [], set()
+    for n in range(5, 13):
+        body = [f"i{n}w{k}" for k in range(n)]
+        items.append((n, " ".join(body)))
+        for at in range(n + 1):  # one word changed, none at the end
+            one = ["zz" if k == at else w for k, w in enumerate(body)]
+            docs.append((100 * n + at, "before " + " ".join(one) + " after"))
+            docs.append((5000 + 100 * n + at, " ".join(w for k, w in enumerate(one) if k or at)))  # at a text's start, or its first word cut off
+            if at == n or n >= 7:
+                want |= {(100 * n + at, n), (5000 + 100 * n + at, n)}
+    long = "\u6c34\u706b\u6728\u91d1\u571f\u65e5\u6708\u661f\u98a8\u96f2\u96e8\u96ea\u5c71\u5ddd\u6d77\u7530"
+    items += [(50, long), (51, long), (52, items[0][1])]
+    docs += [(9000, "\u4eba" * 4 + long[:8] + "\u7a7a" + long[9:] + "\u4eba"), (9001, long[:8] + "\u4eba" * 9)]
+    want |= {(9000, 50), (9000, 51), *((d, 52) for d, i in want if i == 5)}
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = [(r["doc_id"], r["item_id"]) for r in D.op2_spaced_seed_decontamination(spark, str(tmp_path)).collect()]
+    assert set(got) == want and len(got) == len(want)
+
+
 def test_query_over_table(spark, sf):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
