@@ -22,7 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language of the corpus; those that have no letter, or fit none, go."""
+    """Documents in a language of the corpus; those that have no letter go."""
     return language_id.with_known_language(spark, docs)
 
 

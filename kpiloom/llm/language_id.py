@@ -47,7 +47,6 @@ BATCH = 64
 SEED = 5
 BLOCK_WINDOWS = 1024
 UNDETERMINED = "und"
-LEAST_SCORE = 0.4
 FOLDS, HELD_OUT = 4, 2
 
 
@@ -216,11 +215,11 @@ def identify(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return docs.withColumn("language_id", predictor(spark, train(docs), F.col("text")))
 
 
-def with_known_language(spark: SparkSession, docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """The rows of ``docs`` in some learned language, with a score of ``least`` or more."""
+def with_known_language(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` in some learned language, whatever the score: a
+    text that mixes languages, or a short one, has a low score but is no junk."""
     found = predictor(spark, train(docs), F.col("text"))
-    judged = docs.withColumn("_language", found)
-    return judged.filter((F.col("_language.lang") != UNDETERMINED) & (F.col("_language.score") >= least)).select(docs.columns)
+    return docs.withColumn("_language", found).filter(F.col("_language.lang") != UNDETERMINED).select(docs.columns)
 
 
 def op6_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -133,6 +133,16 @@ def test_a_repeated_id_teaches_once(spark, monkeypatch):
     assert sent[0].tolist() == [i % 2 for i in ids]
 
 
+def test_only_undetermined_documents_go(spark, monkeypatch):
+    names = ["aa", "bb", "cc"]
+    net = language_id.Net(names, np.zeros((256, 8), "float32"), [np.zeros((8 * w, 8), "float32") for w in language_id.WIDTHS],
+                          [np.zeros(8, "float32")] * 3, np.zeros((24, 3), "float32"), np.zeros(3, "float32"))  # a third for each language
+    monkeypatch.setattr(language_id, "train", lambda docs: net)
+    docs = spark.createDataFrame([(1, "a text in all of them", "aa"), (2, "x", None), (3, "12 _ ?!", "aa"), (4, None, "bb"), (5, "", "cc")], "doc_id long, text string, lang string")
+    kept = language_id.with_known_language(spark, docs)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 2]
+
+
 def test_windows_cover_whole_texts():
     windows = np.frombuffer(b"".join((t.encode() * 9)[:256].ljust(256, b"\0") for t, _ in language_docs(300, 5)), "uint8").reshape(-1, 256)
     names = ["aa", "bb", "cc"]
