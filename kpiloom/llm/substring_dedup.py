@@ -52,6 +52,7 @@ from kpiloom.llm.skew import HEAVY_KEYS, looked_up
 
 WINDOW = 35
 MINIMISER_WORDS = 8
+SLICE_CHARS = 1_000_000
 MAX_BLOCKS = 1 << 19
 KEYS_PER_BLOCK = 32
 HOT_MINIMISERS = 1 << 20
@@ -95,6 +96,18 @@ def super_k_mers(docs: list[list[bytes]], window: int = WINDOW, m: int = MINIMIS
     return doc, starts[first] - (np.cumsum(sizes) - sizes)[doc], np.diff(np.r_[first, len(starts)]), value[at[first]].view(np.int64)
 
 
+def _slices(texts: list[str]) -> Iterator[slice]:
+    """Consecutive texts of ``SLICE_CHARS`` together, or one longer text."""
+    begin = size = 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > SLICE_CHARS:
+            yield slice(begin, i)
+            begin, size = i, 0
+        size += len(text)
+    if begin < len(texts):
+        yield slice(begin, len(texts))
+
+
 def _words(texts: Iterable[str]) -> list[list[bytes]]:
     return [t.encode().split() for t in texts]
 
@@ -103,8 +116,10 @@ def repeated_minimisers(docs: DataFrame, window: int = WINDOW, m: int = MINIMISE
     """The minimisers of two or more super-k-mers of the column ``text``."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            values, n = np.unique(super_k_mers(_words(batch["text"]), window, m)[3], return_counts=True)
-            yield pd.DataFrame({"minimiser": values, "n": n})
+            texts = batch["text"].tolist()
+            for some in _slices(texts):
+                values, n = np.unique(super_k_mers(_words(texts[some]), window, m)[3], return_counts=True)
+                yield pd.DataFrame({"minimiser": values, "n": n})
 
     counts = docs.select("text").mapInPandas(count, "minimiser long, n long")
     return counts.groupBy("minimiser").agg(F.sum("n").alias("n")).filter("n > 1").select("minimiser")
@@ -133,15 +148,17 @@ def packed_super_k_mers(docs: DataFrame, keep: Broadcast, window: int = WINDOW,
     copies of a text within an Arrow batch are one row with their number ``n``."""
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = batch.groupby("text_id", sort=False)["text"].agg(["first", "size"])
-            ids, sizes, words = texts.index.tolist(), texts["size"].tolist(), _words(texts["first"])
-            found = super_k_mers(words, window, m)
-            passed = possible(keep.value, found[3])
-            rows = []
-            for doc, start, windows, minimiser in zip(*(x[passed].tolist() for x in found)):
-                packed = b" ".join(words[doc][start:start + windows + window - 1])
-                rows.append((ids[doc], start, windows, minimiser, packed, hashlib.blake2b(packed, digest_size=16).digest(), sizes[doc]))
-            yield pd.DataFrame(rows, columns=["text_id", "start", "windows", "minimiser", "packed", "packed_id", "n"])
+            distinct = batch.groupby("text_id", sort=False)["text"].agg(["first", "size"])
+            texts = distinct["first"].tolist()
+            for some in _slices(texts):
+                ids, sizes, words = distinct.index[some].tolist(), distinct["size"].iloc[some].tolist(), _words(texts[some])
+                found = super_k_mers(words, window, m)
+                passed = possible(keep.value, found[3])
+                rows = []
+                for doc, start, windows, minimiser in zip(*(x[passed].tolist() for x in found)):
+                    packed = b" ".join(words[doc][start:start + windows + window - 1])
+                    rows.append((ids[doc], start, windows, minimiser, packed, hashlib.blake2b(packed, digest_size=16).digest(), sizes[doc]))
+                yield pd.DataFrame(rows, columns=["text_id", "start", "windows", "minimiser", "packed", "packed_id", "n"])
 
     return docs.select("text_id", "text").mapInPandas(pack, SUPER_K_MER)
 
@@ -261,7 +278,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     @F.pandas_udf("n_words long, n_removed long, kept string")
     def kept(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for texts, covers, whole in batches:
-            rows = [_kept(w, c, a, window) for w, c, a in zip(_words(texts), covers, whole)]
+            rows = [_kept(t.encode().split(), c, a, window) for t, c, a in zip(texts, covers, whole)]
             yield pd.DataFrame(rows, columns=["n_words", "n_removed", "kept"])
 
     body = F.coalesce(F.col(text), F.lit(""))
