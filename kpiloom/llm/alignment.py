@@ -84,6 +84,8 @@ def tokenizer_a(name: str):
     made = [vocab["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in merges]
     if file["model"]["type"] != "BPE" or file["normalizer"] or any(a >= b for a, b in zip(made, made[1:])):
         raise ValueError(f"{name}: not a byte-level BPE file whose ids follow its merges")
+    if max(vocab.values()) * B_IDS >= 1 << 31:
+        raise ValueError(f"{name}: a pair of ids is over an int")
     letters, special = _byte_letters(), {t["id"] for t in file["added_tokens"]}
     ranks = {bytes(letters[c] for c in token): i for token, i in vocab.items() if i not in special}
     tokens: list[bytes] = [b""] * (max(ranks.values()) + 1)
@@ -132,17 +134,15 @@ def encode_both(text: str, a_file: str = A_FILE, b_file: str = B_FILE, chunk: in
     """The ids of A and of B, or None if either doesn't give the bytes of the space and the text."""
     if not text:
         return None
-    (enc, a_bytes), (sp, proven), b_bytes = tokenizer_a(a_file), processor(b_file), tokens_b(b_file)
-    a: list[int] = []
-    b: list[int] = []
+    (enc, _), (sp, proven), b_bytes = tokenizer_a(a_file), processor(b_file), tokens_b(b_file)
     full = " " + text
-    for part in chunks(full, chunk if proven else len(full)):
-        a += encode_text(enc, part, chunk)
-        b += sp.encode(part[1:])
-    raw = full.encode()
-    if b"".join([a_bytes[i] for i in a]) != raw or b"".join([b_bytes[i] for i in b]) != raw:
+    parts = list(chunks(full, chunk if proven else len(full)))
+    # A's merges only ever join bytes of the text, B's normalizer may change them
+    b = [i for part in parts for i in sp.encode(part[1:])] if len(parts) > 1 else sp.encode(text)
+    if b"".join([b_bytes[i] for i in b]) != full.encode():
         return None
-    return np.array(a, np.int32), np.array(b, np.int32)
+    a = [enc.encode_to_numpy(part) if len(part) <= chunk else np.array(encode_text(enc, part, chunk), np.uint32) for part in parts]
+    return np.concatenate(a).astype(np.int32), np.array(b, np.int32)
 
 
 def diagonal(a_ends: np.ndarray, b_ends: np.ndarray, steps: int) -> tuple[int, int]:
@@ -187,16 +187,17 @@ def merged(a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray,
     """One piece: its links as distinct pairs, the ids before its first common
     end (head), its whole groups (body), and the ids after its last (tail)."""
     a_own, b_own = a_ends[:own_a], b_ends[:own_b]
-    steps = np.union1d(a_own, b_own)
-    pair = a[np.searchsorted(a_ends, steps)].astype(np.int64) * B_IDS + b[np.searchsorted(b_ends, steps)]
-    pairs, counts = np.unique(pair, return_counts=True)
-    common = np.intersect1d(a_own, b_own, assume_unique=True)
+    ends = np.concatenate([a_own, b_own])
+    ends.sort(kind="stable")   # two sorted runs: one merge
+    first = np.r_[True, ends[1:] != ends[:-1]][:len(ends)]
+    steps, common = ends[first], ends[~first]
+    pairs, counts = np.unique(a[np.searchsorted(a_ends, steps)] * np.int32(B_IDS) + b[np.searchsorted(b_ends, steps)], return_counts=True)
     a_group, b_group = np.searchsorted(common, a_own), np.searchsorted(common, b_own)
     n = len(common)
     a, b = a[:own_a].astype(np.int64), b[:own_b].astype(np.int64)
     a_cut, b_cut = np.searchsorted(a_group, [1, max(n, 1)]), np.searchsorted(b_group, [1, max(n, 1)])
     ids = lambda x: ",".join(map(str, x.tolist())).encode()
-    return {"n_groups": n, "n_links": len(steps), "pairs": pairs.astype(np.int32), "counts": counts.astype(np.int32),
+    return {"n_groups": n, "n_links": len(steps), "pairs": pairs, "counts": counts.astype(np.int32),
             "head_a": ids(a[:a_cut[0]]), "head_b": ids(b[:b_cut[0]]),
             "body": groups_text(a[a_cut[0]:a_cut[1]], a_group[a_cut[0]:a_cut[1]] - 1, b[b_cut[0]:b_cut[1]], b_group[b_cut[0]:b_cut[1]] - 1, max(n - 1, 0)),
             "tail_a": ids(a[a_cut[1]:]), "tail_b": ids(b[b_cut[1]:])}
