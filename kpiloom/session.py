@@ -57,8 +57,12 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/kpiloom/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder under the shared checkpoint root, below the application's own."""
+    return f"{_own_scratch(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _own_scratch(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/kpiloom/{spark.sparkContext.applicationId}"
 
 
 def materialized(df: DataFrame, name: str) -> DataFrame:
@@ -70,7 +74,7 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
 
 
 def clear_scratch(spark: SparkSession) -> None:
-    """Delete every scratch folder of this session's checkpoint root; call it
-    once the results that were built from them have been written."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/kpiloom")
+    """Delete this application's scratch folders, not those of others that share
+    the checkpoint root; call it once the results built from them have been written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_scratch(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,60 +1,23 @@
-"""CSV deliveries: scan by header group, provenance, allowlists, format labels,
+"""CSV deliveries: scan with drifting headers, provenance, allowlists, format labels,
 and the KPI / heatmap sinks.
 
 A folder of exports whose headers drift cannot be read with one
 ``spark.read.csv``: the first file's header would be applied by position to
-every file.  Files are therefore listed on the driver (metadata only: path,
-length and the header line), grouped by header, each group is read in one
-distributed scan with its own all-string schema, and the groups are stacked
-by name.  0-byte files are skipped and reported; header-only files yield no
-rows.
+every file.  ``sources.deliveries`` resolves each file's header on the executors
+and reads all files in one scan.  0-byte files are listed as empty; header-only
+files yield no rows.
 """
 
 from __future__ import annotations
 
-import csv
-import fnmatch
-import io
-import logging
-import time
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kpiloom.schema import KPI_SCHEMA, KPI_VALUE_COLUMNS, select_kpi_columns
-
-log = logging.getLogger(__name__)
-
-BOM = "﻿"
-HEADER_THREADS = 16
-HEADER_TRIES, HEADER_WAIT_S = 4, 0.5
-
-
-@dataclass
-class CsvListing:
-    groups: dict[tuple[str, ...], list[str]] = field(default_factory=dict)
-    skipped_empty: list[str] = field(default_factory=list)
-    unreadable: list[str] = field(default_factory=list)
-
-    def leave_out(self, path: str) -> None:
-        """Take a file that a scan could not read to its end out of the groups, whole, and list it."""
-        for header, files in list(self.groups.items()):
-            if path in files:
-                self.unreadable.append(path)
-                files.remove(path)
-                if not files:
-                    del self.groups[header]
-                return
-        raise ValueError(f"not a file of this listing: {path}")
-
-
-class UnreadableFiles(OSError):
-    """Files whose header could not be read, where the caller has no listing that names them."""
+from kpiloom.sources.deliveries import Deliveries, UnreadableFiles, inspect, list_files, scan
 
 
 def _fs(spark: SparkSession, path: str):
@@ -63,116 +26,28 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def list_csv(spark: SparkSession, pattern: str, allow: list[str] | None = None) -> CsvListing:
-    """Files matching ``pattern`` (a Hadoop glob), optionally restricted to
-    names matching one of the ``allow`` globs, grouped by header line.  A file
-    whose header cannot be read in ``HEADER_TRIES`` tries is listed as
-    unreadable."""
-    fs, p, jvm = _fs(spark, pattern)
-    statuses = fs.globStatus(p) or []
-    out = CsvListing()
-    files = []
-    for st in statuses:
-        if st.isDirectory():
-            continue
-        path = st.getPath().toString()
-        name = st.getPath().getName()
-        if name.startswith(("_", ".")):
-            continue
-        if allow is not None and not any(fnmatch.fnmatch(path, a) or fnmatch.fnmatch(name, a) for a in allow):
-            continue
-        if st.getLen() == 0:
-            log.warning("empty file (0 bytes) skipped: %s", path)
-            out.skipped_empty.append(path)
-            continue
-        files.append((path, st.getPath()))
-
-    def read(file: tuple) -> tuple[str, list[str] | None]:
-        for n in range(1, HEADER_TRIES + 1):
-            try:
-                return file[0], _header(spark, fs, file[1], jvm)
-            except Py4JJavaError as e:
-                log.warning("header not read: %s (try %d of %d: %s)", file[0], n, HEADER_TRIES, e.java_exception.getMessage())
-            if n < HEADER_TRIES:
-                time.sleep(HEADER_WAIT_S * n)
-        return file[0], None
-
-    # only the header line of each file is read here, several files at a time
-    with ThreadPoolExecutor(HEADER_THREADS) as pool:
-        headers = list(pool.map(read, files))
-    for path, header in headers:
-        if header is None:
-            out.unreadable.append(path)
-            continue
-        if not header:
-            out.skipped_empty.append(path)
-            continue
-        out.groups.setdefault(tuple(header), []).append(path)
-    return out
-
-
-def _header(spark: SparkSession, fs, path, jvm) -> list[str]:
-    stream = fs.open(path)
-    try:
-        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration()).getCodec(path)
-        stream = stream if codec is None else codec.createInputStream(stream)
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine()
-    finally:
-        stream.close()
-    if line is None:
-        return []
-    line = line.lstrip(BOM)
-    return next(csv.reader(io.StringIO(line)), [])
-
-
-def unique_names(header: list[str]) -> list[str]:
-    """Header names with repeats numbered: a, b, a -> a, b, a_2 (names compare
-    without case, as Spark's columns do)."""
-    out, seen = [], set()
-    for name in header:
-        new, i = name, 1
-        while new.lower() in seen:
-            i += 1
-            new = f"{name}_{i}"
-        seen.add(new.lower())
-        out.append(new)
-    return out
-
-
 def scan_raw_csv(spark: SparkSession, pattern: str, allow: list[str] | None = None,
-                 listing: CsvListing | None = None, multi_line: bool = False) -> DataFrame:
+                 deliveries: Deliveries | None = None, multi_line: bool = False) -> DataFrame:
     """Every CSV under ``pattern`` as all-string columns (header names kept,
     repeated names numbered), plus ``_source_path``, ``_source_header`` (the
     names in the file's header) and ``_corrupt`` (the raw line where its number
-    of fields is not the header's, else null); groups of different headers
-    stacked by name.
+    of fields is not the header's, else null), in one scan (``sources.deliveries``).
 
     ``multi_line``: fields may hold line breaks inside quotes; such files are
-    not split, so it is a choice per source.  No file counts by a part of its
-    rows: an error further down fails the task, is retried like any task, and
-    then fails the query with the file's path.  To go on without such a file, or
-    one whose header fails, pass the ``listing`` that names it (``leave_out``,
-    ``unreadable``); without a listing an unreadable header raises."""
-    if listing is None:
-        listing = list_csv(spark, pattern, allow)
-        if listing.unreadable:
-            raise UnreadableFiles(f"headers that could not be read: {', '.join(sorted(listing.unreadable))}")
-    parts = []
-    for header, files in sorted(listing.groups.items()):
-        names = unique_names(list(header))
-        schema = T.StructType([T.StructField(h, T.StringType(), True) for h in [*names, "_corrupt"]])
-        df = (spark.read.schema(schema)
-              .option("header", True).option("quote", '"').option("escape", '"').option("enforceSchema", True)
-              .option("multiLine", multi_line).option("mode", "PERMISSIVE").option("encoding", "UTF-8")
-              .option("columnNameOfCorruptRecord", "_corrupt").option("ignoreCorruptFiles", False)
-              .csv(files))
-        parts.append(df.withColumns({"_source_path": F.col("_metadata.file_path"),
-                                     "_source_header": F.array(*map(F.lit, names))}))
-    if not parts:
-        return spark.sql("SELECT CAST(NULL AS STRING) AS _source_path, CAST(NULL AS ARRAY<STRING>) AS _source_header, "
-                         "CAST(NULL AS STRING) AS _corrupt WHERE FALSE")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    not split, so it is a choice per source.  A file that can't be read to its end
+    raises, unless the caller passes the ``deliveries`` (``inspect_csv``) whose
+    table names it; then it is left out whole and the others count."""
+    if deliveries is None:
+        deliveries = inspect_csv(spark, pattern, allow)
+        if deliveries.unreadable:
+            raise UnreadableFiles(f"files that could not be read: {', '.join(sorted(deliveries.unreadable))}")
+    return scan(deliveries, multi_line)
+
+
+def inspect_csv(spark: SparkSession, pattern: str, allow: list[str] | None = None) -> Deliveries:
+    """The files of ``pattern``, optionally those matching one of the ``allow``
+    globs, each read once to its end: header, lines, status."""
+    return inspect(spark, list_files(spark, pattern, allow))
 
 
 def source_file_column(path_col: Column | str = "_source_path", level: str = "file") -> Column:
@@ -212,12 +87,13 @@ def detect_format(df: DataFrame, rules: list[tuple[str, list[str]]], out: str =
 
 def sink_kpi(kpi: DataFrame, path: str, source: str, mode: str = "overwrite") -> None:
     """KPI rows, all 19 columns, as Parquet partitioned by (source, year);
-    dynamic partition overwrite replaces only the partitions written.  Rows of a
+    dynamic partition overwrite, an option of the writer whatever the session says,
+    replaces only the partitions written.  Rows of a
     year are brought together by a rebalance, which splits large years over
     several tasks and files (``spark.sql.adaptive.advisoryPartitionSizeInBytes``)."""
     (select_kpi_columns(kpi, with_timestamp=True).withColumn("last_updated", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
         .withColumn("source", F.lit(source)).hint("rebalance", "year")
-        .write.mode(mode).partitionBy("source", "year").parquet(path))
+        .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("source", "year").parquet(path))
 
 
 def read_kpi(spark: SparkSession, path: str) -> DataFrame:
@@ -230,7 +106,9 @@ def sink_heatmap_json(cells: DataFrame, stats: DataFrame, path: str, source: str
     """Heatmap as JSON lines under source=/metric= folders: one line per
     (metric, school) with its ordered cells (kind ``school``), one per metric
     with its stats (``stats``), and one for each of ``metrics`` that has no cell
-    (``empty``).  No line grows with the number of schools."""
+    (``empty``).  No line grows with the number of schools.  Lines of a metric are
+    brought together by a rebalance, so a task writes few files; only the
+    (source, metric) folders written are replaced."""
     row = (cells.groupBy("metric", "year", "school_name", "school_rank")
                 .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("student_group", "value")))).alias("values")))
     lines = row.select("metric", F.to_json(F.struct(F.lit("school").alias("kind"), "metric", "year", "school_name", "school_rank", "values")).alias("value"))
@@ -239,7 +117,8 @@ def sink_heatmap_json(cells: DataFrame, stats: DataFrame, path: str, source: str
         empty = metrics.select("metric").distinct().join(stats.select("metric"), "metric", "left_anti")
         error = F.lit("No data available for this metric").alias("error")
         lines = lines.unionByName(empty.select("metric", F.to_json(F.struct(F.lit("empty").alias("kind"), "metric", error)).alias("value")))
-    lines.withColumn("source", F.lit(source)).write.mode("overwrite").partitionBy("source", "metric").text(path)
+    (lines.withColumn("source", F.lit(source)).hint("rebalance", "metric")
+          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source", "metric").text(path))
 
 
 HEATMAP_LINE = ("kind string, year string, school_name string, school_rank bigint, values map<string, double>, total_schools bigint, "

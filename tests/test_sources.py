@@ -16,9 +16,10 @@ def test_scan_groups_by_header(spark, tmp_path):
     (d / "old_2020.csv").write_text("SCHOOL YEAR,SCHOOL CODE,DEMOGRAPHIC,EXTRA\n20192020,000456,MALE,x\n", encoding="utf-8")
     (d / "empty.csv").write_text("", encoding="utf-8")
     (d / "header_only.csv").write_text("School Year,School Code\n", encoding="utf-8")
-    listing = IO.list_csv(spark, f"file://{d}/*.csv")
-    assert len(listing.skipped_empty) == 1
-    raw = IO.scan_raw_csv(spark, f"file://{d}/*.csv", listing=listing)
+    found = IO.inspect_csv(spark, f"file://{d}/*.csv")
+    assert sorted((r["path"].rsplit("/", 1)[1], r["status"], r["n_lines"]) for r in found.table.collect()) == [
+        ("empty.csv", "empty", None), ("header_only.csv", "ok", 1), ("new_2024.csv", "ok", 2), ("old_2020.csv", "ok", 2)]
+    raw = IO.scan_raw_csv(spark, f"file://{d}/*.csv", deliveries=found)
     canon = rename_columns(raw)
     rows = sorted((r.school_year, r.school_code, r.demographic) for r in canon.collect())
     assert rows == [("20192020", "000456", "MALE"), ("20232024", "000123", "Female")]
@@ -43,9 +44,9 @@ def test_repeated_headers_line_breaks_and_bad_files(spark, tmp_path):
     d.mkdir()
     (d / "twice.csv").write_text("Name,Total,total\nx,1,2\ny,3\n", encoding="utf-8")
     (d / "broken.csv.gz").write_bytes(b"this is not gzip")
-    listing = IO.list_csv(spark, f"file://{d}/*")
-    assert [p.rsplit("/", 1)[1] for p in listing.unreadable] == ["broken.csv.gz"]
-    raw = IO.scan_raw_csv(spark, f"file://{d}/*", listing=listing)
+    found = IO.inspect_csv(spark, f"file://{d}/*")
+    assert [p.rsplit("/", 1)[1] for p in found.unreadable] == ["broken.csv.gz"]
+    raw = IO.scan_raw_csv(spark, f"file://{d}/*", deliveries=found)
     got = sorted((r["Name"], r["Total"], r["total_2"], r["_corrupt"]) for r in raw.select("Name", "Total", "total_2", "_corrupt").collect())
     assert got == [("x", "1", "2", None), ("y", "3", None, "y,3")]
     (d / "lines.csv").write_text('Name,Note\na,"one\ntwo"\nb,three\n', encoding="utf-8")
@@ -60,33 +61,63 @@ def test_no_file_counts_by_a_part_of_its_rows(spark, tmp_path):
     rnd = random.Random(1)
     whole = gzip.compress(("A,B\n" + "".join(f"{rnd.random()},{i}\n" for i in range(60_000))).encode())
     (d / "cut.csv.gz").write_bytes(whole[:len(whole) * 2 // 3])
-    listing = IO.list_csv(spark, f"file://{d}/*")
-    assert not listing.unreadable  # the header is whole
-    with pytest.raises(Exception, match="cut.csv.gz"):
-        IO.scan_raw_csv(spark, f"file://{d}/*", listing=listing).select("A", "B").collect()
-    listing.leave_out(next(f for files in listing.groups.values() for f in files if f.endswith("cut.csv.gz")))
-    assert [p.rsplit("/", 1)[1] for p in listing.unreadable] == ["cut.csv.gz"]
-    assert [tuple(r) for r in IO.scan_raw_csv(spark, f"file://{d}/*", listing=listing).select("A", "B").collect()] == [("1", "2")]
+    found = IO.inspect_csv(spark, f"file://{d}/*")
+    assert sorted((r["path"].rsplit("/", 1)[1], r["status"]) for r in found.table.collect()) == [("cut.csv.gz", "unreadable"), ("good.csv", "ok")]
+    assert all(r["error"] for r in found.table.filter("status = 'unreadable'").collect())
+    assert [tuple(r) for r in IO.scan_raw_csv(spark, f"file://{d}/*", deliveries=found).select("A", "B").collect()] == [("1", "2")]
+    with pytest.raises(IO.UnreadableFiles, match="cut.csv.gz"):   # nobody would hear of it
+        IO.scan_raw_csv(spark, f"file://{d}/*")
 
 
-def test_header_reads_are_retried_and_then_raise(spark, tmp_path, monkeypatch):
+def test_a_thousand_headers_are_one_scan(spark, tmp_path):
     d = tmp_path / "raw"
     d.mkdir()
-    (d / "a.csv").write_text("A\n1\n", encoding="utf-8")
-    read, failed = IO._header, []
-
-    def once(spark, fs, path, jvm):
-        if not failed:
-            failed.append(path)
-            fs.open(jvm.org.apache.hadoop.fs.Path(f"file://{d}/missing"))
-        return read(spark, fs, path, jvm)
-
-    monkeypatch.setattr(IO, "HEADER_WAIT_S", 0)
-    monkeypatch.setattr(IO, "_header", once)
-    assert IO.scan_raw_csv(spark, f"file://{d}/*").count() == 1 and failed
-    (d / "broken.csv.gz").write_bytes(b"this is not gzip")
-    with pytest.raises(IO.UnreadableFiles, match="broken.csv.gz"):
-        IO.scan_raw_csv(spark, f"file://{d}/*")
+    for i in range(1000):
+        names = [f"c{(i + k) % 40}" for k in range(3 + i % 5)] + [f"own {i}"] * (i % 50 == 0)
+        (d / f"f {i}.csv").write_text(",".join(names) + "\n" + ",".join(f"{i}.{n}" for n in names) + "\n", encoding="utf-8")
+    raw = IO.scan_raw_csv(spark, f"file://{d}/*.csv")
+    plan = raw._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [_0") == 1 and "Union" not in plan
+    rows = raw.collect()
+    assert len(rows) == 1000 and len(raw.columns) == 40 + 20 + 3
+    for r in rows:
+        i = int(r["_source_path"].rsplit("f%20", 1)[1].split(".")[0])
+        assert all(r[n] == (f"{i}.{n}" if n in r["_source_header"] else None) for n in raw.columns[:-3]) and r["_corrupt"] is None
+
+
+def test_rows_too_long_or_too_short_keep_their_line(spark, tmp_path):
+    d = tmp_path / "raw"
+    d.mkdir()
+    (d / "a.csv").write_text('A,B\n1,2\n3\n4,5,6\n"x, y","say ""hi"""\n' + ",".join(map(str, range(40))) + "\n", encoding="utf-8")
+    (d / "b.csv").write_text("A,B,C,D\n1,2,3,4\n", encoding="utf-8")
+    got = sorted((r["A"], r["B"], r["_corrupt"]) for r in IO.scan_raw_csv(spark, f"file://{d}/*.csv").collect())
+    assert got == [("0", "1", ",".join(map(str, range(40)))), ("1", "2", None), ("1", "2", None), ("3", None, "3"), ("4", "5", "4,5,6"), ("x, y", 'say "hi"', None)]
+
+
+def test_two_sources_with_a_default_session(spark, tmp_path):
+    """Neither sink depends on the session's overwrite mode (Spark's default is static)."""
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+    kpi = spark.range(3).selectExpr("'2024' as year", "concat('m', id) as metric", "'d' as district", "cast(id as double) as value", "'N' as suppressed")
+    for source in ("a", "b", "a"):
+        IO.sink_kpi(kpi, f"file://{tmp_path}/kpi", source)
+    assert sorted((r[0], r[1]) for r in IO.read_kpi(spark, f"file://{tmp_path}/kpi").groupBy("source").count().collect()) == [("a", 3), ("b", 3)]
+    cells = kpi.selectExpr("metric", "year", "'s' as school_name", "1L as school_rank", "'g' as student_group", "value")
+    stats = kpi.selectExpr("metric", "1L as total_schools")
+    for source in ("a", "b", "a"):
+        IO.sink_heatmap_json(cells, stats, f"file://{tmp_path}/json", source)
+    assert sorted((r[0], r[1]) for r in IO.read_heatmap_json(spark, f"file://{tmp_path}/json").groupBy("source").count().collect()) == [("a", 6), ("b", 6)]
+
+
+def test_scratch_of_other_applications_stays(spark):
+    from kpiloom.session import checkpoint_root, clear_scratch, scratch_path
+    other = f"{checkpoint_root(spark)}/kpiloom/app-of-another/x"
+    own = scratch_path(spark, "x")
+    for path in (other, own):
+        spark.range(1).write.parquet(path)
+    clear_scratch(spark)
+    assert spark.read.parquet(other).count() == 1
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(own)
 
 
 def test_format_comes_from_the_header_not_from_the_cells(spark, tmp_path):
