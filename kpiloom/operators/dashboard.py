@@ -78,14 +78,15 @@ def heatmap_cells(kpi: DataFrame, year: str | None = None, metrics: DataFrame |
                          F.bround("cell", 1).alias("value"), "cell", "school_mean"))
 
 
-def heatmap_pivot(kpi: DataFrame, metric: str, year: str | None = None) -> DataFrame:
-    """Schools x groups matrix for one metric: a column for every student group
-    that has a cell, in alphabetical order.  Groups are a dimension (tens)."""
+def heatmap_pivot(kpi: DataFrame, metric: str, groups: list[str], year: str | None = None) -> DataFrame:
+    """Schools x groups matrix for one metric: a column for each of ``groups`` (the
+    dimension's), and a map ``other_groups`` of the cells whose label is none of
+    them, so the columns don't depend on the data."""
     cells = heatmap_cells(kpi.filter(F.col("metric") == metric), year)
-    groups = sorted(r[0] for r in cells.select("student_group").distinct().collect() if r[0] is not None)
-    piv = (cells.groupBy("metric", "year", "school_name", "school_rank")
-                .pivot("student_group", groups).agg(F.first("value")))
-    return piv.select("metric", "year", "school_name", "school_rank", *[F.col(f"`{g}`") for g in groups])
+    other = F.struct("student_group", "value")
+    return cells.groupBy("metric", "year", "school_name", "school_rank").agg(
+        *(F.max(F.when(F.col("student_group") == g, F.col("value"))).alias(g) for g in groups),
+        F.map_from_entries(F.sort_array(F.collect_list(F.when(~F.col("student_group").isin(groups), other)))).alias("other_groups"))
 
 
 def heatmap_stats(cells: DataFrame) -> DataFrame:

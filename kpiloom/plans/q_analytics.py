@@ -248,10 +248,21 @@ def heatmap_cells_q(spark, sf):
         "metric", "year", "school_name", "school_rank", "student_group", "value")
 
 
-@register("heatmap_pivot", ctes("hm") + "SELECT * FROM (PIVOT (SELECT metric, year, school_name, school_rank, student_group, value "
-          "FROM hm WHERE metric = 'r_rate') ON student_group USING max(value) GROUP BY metric, year, school_name, school_rank)")
+# Fixed values (fixture): the groups that have a column of their own.
+PIVOT_GROUPS = ["All Students", "AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"]
+
+
+@register("heatmap_pivot", ctes("hm") + """SELECT metric, year, school_name, school_rank,
+ max(value) FILTER (WHERE student_group = 'All Students') AS "All Students", max(value) FILTER (WHERE student_group = 'AUTOMOBILE') AS "AUTOMOBILE",
+ max(value) FILTER (WHERE student_group = 'BUILDING') AS "BUILDING", max(value) FILTER (WHERE student_group = 'FURNITURE') AS "FURNITURE",
+ max(value) FILTER (WHERE student_group = 'HOUSEHOLD') AS "HOUSEHOLD",
+ count(*) FILTER (WHERE student_group NOT IN ('All Students', 'AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD')) AS n_other_groups,
+ max(value) FILTER (WHERE student_group = 'MACHINERY') AS other_machinery
+FROM hm WHERE metric = 'r_rate' GROUP BY metric, year, school_name, school_rank""")
 def heatmap_pivot_q(spark, sf):
-    return DB.heatmap_pivot(kpi_long(Tables(spark, sf)), "r_rate")
+    wide = DB.heatmap_pivot(kpi_long(Tables(spark, sf)), "r_rate", PIVOT_GROUPS)
+    return wide.select("metric", "year", "school_name", "school_rank", *PIVOT_GROUPS, F.size("other_groups").cast("bigint").alias("n_other_groups"),
+                       F.col("other_groups")["MACHINERY"].alias("other_machinery"))
 
 
 @register("heatmap_stats", ctes("hm") + """SELECT c.metric, c.year, c.total_schools, c.data_points, c.min_value, c.max_value,

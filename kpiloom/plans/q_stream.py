@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from kpiloom.plans.dims import W_DIMS
 from kpiloom.plans.oracle_fixtures import ctes
+from kpiloom.plans.q_normalize import W_SOURCE_HEADERS
+from kpiloom.plans.q_sources import write_wide_deliveries
 from kpiloom.plans.registry import register
 from kpiloom.session import scratch_path
 from kpiloom.sources import fixtures
@@ -29,9 +31,10 @@ def write_drops(spark, sf, quarantine: bool = False) -> str:
 
 @register("stream_kpi_ingest", ctes("fx_k") + "SELECT * FROM fx_k")
 def stream_kpi_ingest_q(spark, sf):
-    src = write_drops(spark, sf)
-    out, ckpt = scratch_path(spark, "stream-kpi"), scratch_path(spark, "stream-kpi-ckpt")
-    ST.stream_kpi_ingest(ST.read_drops(spark, src, W_COLUMNS), W_DIMS, out, ckpt)
+    """CSV drops with two headers, a micro-batch of some files at a time."""
+    src = write_wide_deliveries(spark, sf)
+    out, listing, ckpt = (scratch_path(spark, f"stream-{x}") for x in ("kpi", "listing", "kpi-ckpt"))
+    ST.csv_kpi_ingest(ST.read_csv_drops(spark, src, files_per_trigger=16), W_SOURCE_HEADERS, W_COLUMNS, W_DIMS, out, listing, ckpt)
     return ST.read_kpi_output(spark, out)
 
 
@@ -48,7 +51,7 @@ def stream_progress_counts_q(spark, sf):
     src = write_drops(spark, sf)
     out, ckpt = scratch_path(spark, "stream-counts"), scratch_path(spark, "stream-counts-ckpt")
     ST.stream_progress_counts(ST.read_drops(spark, src, W_COLUMNS), W_DIMS, out, ckpt)
-    return spark.read.parquet(out).select("source_file", "n_rows")
+    return ST.read_progress(spark, out)
 
 
 @register("stream_quarantine", ctes("fx_w") + "SELECT school_year, school_name, demographic, 'missing_school_id' AS reject_reason "

@@ -107,7 +107,7 @@ def _first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
             last = (file[-1], block[-1]) if len(file) else last
 
     lines = spark.read.option("ignoreCorruptFiles", False).text(paths)
-    counted = (lines.select(_file_id("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    counted = (lines.select(F.xxhash64(_key("_metadata.file_path")).alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
                .mapInArrow(runs, "file long, n_lines long, line string"))
     return counted.groupBy("file").agg(F.sum("n_lines").alias("n_lines"), F.max("line").alias("line"))
 
@@ -148,20 +148,19 @@ def inspect(spark: SparkSession, files: list[tuple[str, int]]) -> Deliveries:
     spelled = headers.select(F.explode("header").alias("name")).groupBy(F.lower("name").alias("key")).agg(F.min("name").alias("name"))
     names = sorted(r["name"] for r in spelled.collect())  # the columns of the result; names compare without case
     width = headers.agg(F.max(F.size("header"))).first()[0] or 0
-    sizes = local_table(spark, [(p, length[p]) for p in left], "path string, length long")
-    read = (lines.join(sizes.withColumn("file", _file_id("path")), "file").join(headers, "line")
+    sizes = local_table(spark, [(p, _plain(p), length[p]) for p in left], "path string, plain string, length long")
+    read = (lines.join(sizes.withColumn("file", F.xxhash64("plain")), "file").join(headers, "line")
             .select("path", "length", F.lit("ok").alias("status"), "n_lines", "header", F.lit(None).cast("string").alias("error")))
     return Deliveries(spark, materialized(read.unionByName(table), "delivery-table"), left, names, width, unreadable)
 
 
-def _file_id(path: str | Column) -> Column:
-    return F.xxhash64(_key(path))
+def _plain(path: str) -> str:
+    return re.sub("^file:/+", "/", path)
 
 
-def _key(path: str | Column) -> Column:
-    """A path as both listings and scans spell it (``file:/a`` and ``file:///a``, escaped or not)."""
-    c = F.col(path) if isinstance(path, str) else path
-    return F.url_decode(F.replace(F.regexp_replace(c, "^file:/+", "/"), F.lit("+"), F.lit("%2B")))
+def _key(path: str) -> Column:
+    """The path that a scan gives (a URI, escaped) as a listing spells it (``_plain``)."""
+    return F.try_url_decode(F.replace(F.regexp_replace(path, "^file:/+", "/"), F.lit("+"), F.lit("%2B")))
 
 
 def scan(found: Deliveries, multi_line: bool = False) -> DataFrame:
@@ -182,7 +181,7 @@ def scan(found: Deliveries, multi_line: bool = False) -> DataFrame:
             .withColumns({"_path": F.col("_metadata.file_path"), "_key": _key("_metadata.file_path")}))
     lower = F.transform("header", F.lower)
     at = F.array(*(F.array_position(lower, F.lower(F.lit(n))).cast("int") - 1 for n in found.names))
-    headers = found.table.filter("status = 'ok'").select(_key("path").alias("_key"), F.col("header").alias("_header"), at.alias("_at"))
+    headers = found.table.filter("status = 'ok'").select(F.regexp_replace("path", "^file:/+", "/").alias("_key"), F.col("header").alias("_header"), at.alias("_at"))
     bare = F.regexp_replace("_raw", '"[^"]*"', "")
     n_fields = F.when(F.col("_raw").isNull(), len(places)).otherwise(F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1)
     fields = F.array(*places)

@@ -39,6 +39,44 @@ def test_stream_restart_is_exactly_once(spark):
     assert first == E.queries()["wide_to_long"](spark, SF001).count()
 
 
+def test_csv_drops_with_drifting_headers_in_any_order(spark, tmp_path):
+    """Each run is a micro-batch: headers unknown before, a broken file, a replay of the same drops."""
+    from kpiloom.plans.q_normalize import W_SOURCE_HEADERS
+    drops, out, listing, ckpt = (f"file://{tmp_path}/{x}" for x in ("drops", "out", "listing", "ckpt"))
+    (tmp_path / "drops" / "sub").mkdir(parents=True)
+    def drop(name, header, *rows):
+        (tmp_path / "drops" / name).write_text("\n".join([header, *rows]) + "\n", encoding="utf-8")
+
+    def run():
+        ST.csv_kpi_ingest(ST.read_csv_drops(spark, drops), W_SOURCE_HEADERS, W_COLUMNS, W_DIMS, out, listing, ckpt)
+        return sorted((r["year"], r["school_id"], r["metric"], r["value"]) for r in ST.read_kpi_output(spark, out).collect())
+
+    total = W_SOURCE_HEADERS["total_count"]
+    drop("late.csv", f"{total[0]},Demographic,School Code,School Year", "7,All Students,12,20232024", "8,All Students,13,20232024")
+    first = run()
+    assert first == [("2024", "12", "total_count", 7.0), ("2024", "13", "total_count", 8.0)]
+    drop("sub/early.csv", f"SCHOOL YEAR,SCHOOL CODE,DEMOGRAPHIC,Never Seen,{total[-1]}", "20192020,44,All Students,x,9")
+    (tmp_path / "drops" / "cut.csv.gz").write_bytes(b"this is not gzip")
+    second = run()
+    assert second == sorted([*first, ("2020", "44", "total_count", 9.0)])
+    assert run() == second
+    files = sorted((r["path"].rsplit("/", 1)[1], r["status"], r["n_lines"]) for r in spark.read.parquet(listing).collect())
+    assert files == [("cut.csv.gz", "unreadable", None), ("early.csv", "ok", 2), ("late.csv", "ok", 3)]
+
+
+def test_progress_writes_only_changed_files(spark):
+    src = write_drops(spark, SF001)
+    out, ckpt = scratch_path(spark, "progress"), scratch_path(spark, "progress-ckpt")
+    ST.stream_progress_counts(ST.read_drops(spark, src, W_COLUMNS), W_DIMS, out, ckpt)
+    first = {r["source_file"]: r["n_rows"] for r in ST.read_progress(spark, out).collect()}
+    extra = spark.read.parquet(src).filter("school_year like '%1995'")
+    extra.write.mode("append").parquet(src)
+    ST.stream_progress_counts(ST.read_drops(spark, src, W_COLUMNS), W_DIMS, out, ckpt)
+    second = {r["source_file"]: r["n_rows"] for r in ST.read_progress(spark, out).collect()}
+    assert {k for k in second if second[k] != first[k]} == {"wide_1995.csv"} and second["wide_1995.csv"] == 2 * first["wide_1995.csv"]
+    assert [r[0] for r in spark.read.parquet(f"{out}/epoch=1").select("source_file").collect()] == ["wide_1995.csv"]
+
+
 def test_required_groups_and_unpaired_metrics(spark):
     from kpiloom.operators.quality import dq_band_rules, dq_paired_metrics
     kpi = spark.createDataFrame([("2024", "a"), ("2024", "a"), ("2024", "b"), ("2023", "a"), ("2023", "b")], "year string, metric string")
@@ -87,6 +125,6 @@ def test_pivot_shows_every_group(spark):
     from kpiloom.operators.dashboard import heatmap_pivot
     rows = [("m", "2024", "a", g, float(i), "N") for i, g in enumerate(["All Students", "Some New Group"])] + [("m", "2024", "b", "All Students", 3.0, "N"), ("m", "2024", "b", "Hidden", None, "Y")]
     kpi = spark.createDataFrame(rows, "metric string, year string, school_name string, student_group string, value double, suppressed string")
-    got = heatmap_pivot(kpi, "m")
-    assert got.columns[4:] == ["All Students", "Some New Group"]
-    assert [(r["school_name"], r["school_rank"]) for r in got.orderBy("school_rank").collect()] == [("b", 1), ("a", 2)]
+    got = heatmap_pivot(kpi, "m", ["All Students", "Absent"])
+    assert got.columns[4:] == ["All Students", "Absent", "other_groups"]
+    assert [tuple(r)[2:] for r in got.orderBy("school_rank").collect()] == [("b", 1, 3.0, None, {}), ("a", 2, 0.0, None, {"Some New Group": 1.0})]
