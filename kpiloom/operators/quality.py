@@ -1,8 +1,8 @@
 """Data-quality queries over KPI tables; each returns violations or measures.
 
-All are grouped aggregates or filters; the per-file sample uses
-``row_number() <= n`` which Spark plans with a partial group limit before the
-shuffle, so a file holding most rows still sends only n rows per task.
+All are grouped aggregates or filters.  The per-file sample counts rows by hash
+range first and orders those of one range only; the comparison of two runs joins
+only the parts whose digests differ.
 """
 
 from __future__ import annotations
@@ -11,7 +11,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.schema import LOGICAL_KEY
+from kpiloom.session import materialized
 
+# a sample's hash ranges: so many hex digits, 4,096 ranges
+RANGE_DIGITS = 3
+DIFF_PART = ["year", "metric"]
 AGGREGATE_GROUP_LABELS = ["Total Events", "---District Total---", "District Total", "All Schools"]
 
 
@@ -170,10 +174,20 @@ def dq_group_labels(kpi: DataFrame, basic: DataFrame) -> DataFrame:
 
 
 def sample_per_file(df: DataFrame, n: int, key_cols: list[str], file_col: str = "source_file") -> DataFrame:
-    """n rows per file in hash order of their key (deterministic, no driver)."""
-    h = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key_cols]))
-    w = Window.partitionBy(file_col).orderBy(h, *key_cols)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+    """The ``n`` rows of each file that come first in the hash order of their key,
+    for any ``n``.  Rows are counted by file and hash range (partial sums); the
+    counts say which ranges belong to the sample whole and which one it ends in,
+    and only the rows of that last range, one in 4,096 of a file's, are ordered."""
+    rows = df.withColumn("_h", F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key_cols])))
+    rows = rows.withColumns({"_range": F.substring("_h", 1, RANGE_DIGITS), "_file": F.when(F.col(file_col).isNull(), F.lit("")).otherwise(F.concat(F.lit("/"), F.col(file_col)))})
+    counts = rows.groupBy("_file", "_range").agg(F.count(F.lit(1)).alias("_rows"))
+    before = F.coalesce(F.sum("_rows").over(Window.partitionBy("_file").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    taken = counts.withColumn("_left", F.lit(n) - before).filter("_left > 0")
+    near = rows.join(taken, ["_file", "_range"])
+    whole = near.filter("_rows <= _left").select(*df.columns)
+    rank = F.row_number().over(Window.partitionBy("_file", "_range").orderBy("_h", *key_cols))
+    last = near.filter("_rows > _left").withColumn("_rn", rank).filter("_rn <= _left").select(*df.columns)
+    return whole.unionByName(last)
 
 
 def dq_sample_reconcile(sample: DataFrame, kpi: DataFrame, key: list[str], tol: float = 0.01) -> DataFrame:
@@ -186,21 +200,48 @@ def dq_sample_reconcile(sample: DataFrame, kpi: DataFrame, key: list[str], tol:
                                         F.count_if(F.coalesce(equal, F.lit(False))).alias("n_equal"))
 
 
-def dq_baseline_diff(old: DataFrame, new: DataFrame, key: list[str] | None = None) -> DataFrame:
-    """Added / removed / changed rows between two runs (full outer join on key,
-    null-safe)."""
-    key = key or LOGICAL_KEY
-    o = old.select(*[F.col(c).alias(f"o_{c}") for c in key], F.col("value").alias("old_value"),
-                   F.col("suppressed").alias("old_suppressed"), F.lit(1).alias("_o"))
-    n = new.select(*[F.col(c).alias(f"n_{c}") for c in key], F.col("value").alias("new_value"),
-                   F.col("suppressed").alias("new_suppressed"), F.lit(1).alias("_n"))
-    cond = None
-    for c in key:
-        e = F.col(f"o_{c}").eqNullSafe(F.col(f"n_{c}"))
-        cond = e if cond is None else cond & e
-    j = o.join(n, cond, "full_outer").select(*[F.coalesce(f"o_{c}", f"n_{c}").alias(c) for c in key],
-                                            "old_value", "new_value", "old_suppressed", "new_suppressed", "_o", "_n")
+def run_digests(run: DataFrame, part: list[str], columns: list[str]) -> DataFrame:
+    """Per part of a run: rows, and two digests of its rows whatever their order."""
+    h = F.xxhash64(*(F.col(c) for c in columns), *(F.col(c).isNull() for c in columns))
+    low = h.bitwiseAND(F.lit(0xFFFFFFFF))
+    return run.groupBy(*part).agg(F.count(F.lit(1)).alias("n_rows"), F.bit_xor(h).alias("mixed"), F.sum(low).alias("summed"))
+
+
+def dq_baseline_diff(old: DataFrame, new: DataFrame, key: list[str] | None = None, part: list[str] | None = None,
+                     old_digests: DataFrame | None = None) -> DataFrame:
+    """Added / removed / changed rows between two runs.  Parts (year and metric)
+    whose digests agree are left alone; only the rows of parts that differ meet, in
+    a full outer join on the key, null-safe.  Both runs should be stored tables;
+    ``old_digests`` are those kept with the old one."""
+    key, part = key or LOGICAL_KEY, part or DIFF_PART
+    columns = [*key, "value", "suppressed"]
+    sides = [d.select(*part, F.col("n_rows").alias(f"{p}_rows"), F.col("mixed").alias(f"{p}_mixed"), F.col("summed").alias(f"{p}_summed"))
+             for p, d in (("o", run_digests(old, part, columns) if old_digests is None else old_digests), ("n", run_digests(new, part, columns)))]
+    o, n = (d.select(*[F.col(c).alias(f"{p}_{c}") for c in part], *[c for c in d.columns if c not in part]) for p, d in zip("on", sides))
+    met = o.join(n, _same(part), "full_outer")
+    equal = F.lit(True)
+    for c in ("rows", "mixed", "summed"):
+        equal &= F.col(f"o_{c}").eqNullSafe(F.col(f"n_{c}"))
+    differ = materialized(met.filter(~equal).select(*[F.coalesce(f"o_{c}", f"n_{c}").alias(f"d_{c}") for c in part]), "differing-parts")
+
+    def within(run: DataFrame, p: str) -> DataFrame:
+        own = F.lit(True)
+        for c in part:
+            own &= run[c].eqNullSafe(F.col(f"d_{c}"))
+        return run.join(differ, own, "left_semi").select(*[F.col(c).alias(f"{p}_{c}") for c in key], F.col("value").alias(f"{p}_value"),
+                                                        F.col("suppressed").alias(f"{p}_suppressed"), F.lit(1).alias(f"_{p}"))
+
+    j = within(old, "o").join(within(new, "n"), _same(key), "full_outer").select(
+        *[F.coalesce(f"o_{c}", f"n_{c}").alias(c) for c in key], F.col("o_value").alias("old_value"), F.col("n_value").alias("new_value"),
+        F.col("o_suppressed").alias("old_suppressed"), F.col("n_suppressed").alias("new_suppressed"), "_o", "_n")
     status = (F.when(F.col("_o").isNull(), F.lit("added")).when(F.col("_n").isNull(), F.lit("removed"))
                .when(~F.col("old_value").eqNullSafe(F.col("new_value"))
                      | ~F.col("old_suppressed").eqNullSafe(F.col("new_suppressed")), F.lit("changed")))
     return j.withColumn("status", status).filter(F.col("status").isNotNull()).drop("_o", "_n")
+
+
+def _same(columns: list[str]) -> Column:
+    out = F.lit(True)
+    for c in columns:
+        out &= F.col(f"o_{c}").eqNullSafe(F.col(f"n_{c}"))
+    return out

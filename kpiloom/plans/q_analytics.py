@@ -20,9 +20,11 @@ from kpiloom.plans.registry import register
 from kpiloom.plans.specs import run_spec
 from kpiloom.plans.wide_kpi import W_IDS, kpi_long, with_second_delivery
 from kpiloom.schema import LOGICAL_KEY, select_kpi_columns
-from kpiloom.session import materialized
+from kpiloom.session import materialized, scratch_path
 from kpiloom.sources import fixtures
-from kpiloom.sources.master import kpi_schema_check, union_master
+from kpiloom.sources.csv_io import read_kpi, sink_kpi
+from kpiloom.sources.master import union_master
+from kpiloom.sources.store import stored_schema_check, update_master
 from kpiloom.sources.tables import Tables
 
 KPI = ", ".join(S.KPI_LIST)
@@ -348,7 +350,52 @@ def source_profile_q(spark, sf):
     return DB.source_profile(master(spark, sf))
 
 
-@register("kpi_schema_check", ctes("master") + "SELECT source, count(*) AS n_rows, count(*) FILTER (WHERE value IS NOT NULL AND "
-          "TRY_CAST(value AS DOUBLE) IS NULL) AS n_bad_value, '' AS missing_columns FROM master GROUP BY source")
+# --- stored KPI tables, and the master that follows them ------------------------------
+# The sources of these two queries; the second delivery of one of them starts here.
+STORED = {"graduation_rates": "job_graduation", "cte_participation": "job_cte", "safe_schools_discipline": "job_discipline"}
+NEW_YEAR = "1998"
+
+
+def stored_jobs(spark, sf):
+    """source -> KPI rows of its job over the exports, written once."""
+    exports = materialized(fixtures.wide_parts(Tables(spark, sf)), "exports-wide")
+    return {name: run_spec(JOB_SPECS[job][0](), exports, W_DIMS) for name, job in STORED.items()}
+
+
+_STORED_SQL = "\nUNION ALL ".join(f"SELECT {KPI}, '{name}' AS source FROM ({JOB_SQL[job]}) s{i}" for i, (name, job) in enumerate(STORED.items()))
+define("stored", _STORED_SQL, [f"{job}_map" for job in STORED.values()])
+
+
+@register("kpi_schema_check", ctes("stored") + """SELECT source, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_bad_value, '' AS missing_columns FROM stored GROUP BY source
+UNION ALL SELECT 'planted_short', count(*), 0, 'district,value' FROM stored WHERE source = 'cte_participation'
+UNION ALL SELECT 'planted_text', count(*), count(*) FILTER (WHERE value IS NULL), '' FROM stored WHERE source = 'cte_participation'""")
 def kpi_schema_check_q(spark, sf):
-    return kpi_schema_check(master(spark, sf))
+    """Three stored sources, a planted table without two columns and one with text among its values."""
+    path = scratch_path(spark, "schema-check")
+    jobs = stored_jobs(spark, sf)
+    for name, kpi in jobs.items():
+        sink_kpi(kpi, path, name)
+    cte = jobs["cte_participation"]
+    planted = {"short": cte.drop("district", "value"), "text": cte.withColumn("value", F.coalesce(F.col("value").cast("string"), F.lit("n/a")))}
+    for kind, table in planted.items():
+        table.write.partitionBy("year").parquet(f"{path}/source=planted_{kind}")
+    return stored_schema_check(spark, path)
+
+
+@register("master_incremental", ctes("stored") + "SELECT * FROM stored")
+def master_incremental_q(spark, sf):
+    """Built from a first delivery that ends before NEW_YEAR for two sources, and
+    brought up to date once their other years are stored."""
+    kpi, master_table, manifest = (scratch_path(spark, f"store-{x}") for x in ("kpi", "master", "manifest"))
+    for name, rows in stored_jobs(spark, sf).items():
+        sink_kpi(rows, kpi, name)
+    late = f"year >= '{NEW_YEAR}'"
+    first, both = scratch_path(spark, "store-first"), [n for n in STORED if n != "safe_schools_discipline"]
+    for name in STORED:
+        rows = read_kpi(spark, kpi).filter(F.col("source") == name)
+        sink_kpi(rows.filter(f"NOT ({late})") if name in both else rows, first, name)
+    update_master(spark, first, master_table, manifest)
+    for name in both:
+        sink_kpi(read_kpi(spark, kpi).filter((F.col("source") == name) & F.expr(late)), first, name)
+    update_master(spark, first, master_table, manifest)
+    return read_kpi(spark, master_table)

@@ -15,6 +15,7 @@ from kpiloom.plans.q_analytics import events_job
 from kpiloom.plans.registry import register
 from kpiloom.plans.wide_kpi import W_MEASURES, kpi_long, wide_source_file, with_second_delivery
 from kpiloom.schema import LOGICAL_KEY
+from kpiloom.session import materialized
 from kpiloom.sources import fixtures
 from kpiloom.sources.local import local_table
 from kpiloom.sources.tables import Tables
@@ -191,7 +192,7 @@ def dq_group_labels_q(spark, sf):
     return Q.dq_group_labels(K(spark, sf), basic)
 
 
-SAMPLE_N = 5
+SAMPLE_N = 500
 define("dq_sample", f"""SELECT year, school_id, student_group, 'r_count' AS metric, source_file, value FROM (
  SELECT *, row_number() OVER (PARTITION BY source_file ORDER BY md5(concat_ws('|', COALESCE(year, ''), COALESCE(school_id, ''),
   COALESCE(student_group, ''))), year, school_id, student_group) AS rn FROM (
@@ -284,13 +285,17 @@ define("dq_new", f"SELECT {kpi_cols(value='CASE WHEN CAST(school_id AS BIGINT) %
        "FROM fx_k WHERE NOT ends_with(school_id, '7')", ["fx_k"])
 
 
+_DIFF_KEY = "concat_ws(chr(1), " + ", ".join(f"COALESCE({{a}}.{c}, chr(2))" for c in LOGICAL_KEY) + ")"
+
+
 @register("dq_baseline_diff", ctes("fx_k", "dq_new") + f"""SELECT * FROM (SELECT {', '.join(f'COALESCE(o.{c}, n.{c}) AS {c}' for c in LOGICAL_KEY)},
  o.value AS old_value, n.value AS new_value, o.suppressed AS old_suppressed, n.suppressed AS new_suppressed,
- CASE WHEN o.metric IS NULL THEN 'added' WHEN n.metric IS NULL THEN 'removed'
+ CASE WHEN o.diff_key IS NULL THEN 'added' WHEN n.diff_key IS NULL THEN 'removed'
   WHEN o.value IS DISTINCT FROM n.value OR o.suppressed IS DISTINCT FROM n.suppressed THEN 'changed' END AS status
-FROM fx_k o FULL OUTER JOIN dq_new n ON {' AND '.join(f'o.{c} IS NOT DISTINCT FROM n.{c}' for c in LOGICAL_KEY)}) d WHERE status IS NOT NULL""")
+FROM (SELECT *, {_DIFF_KEY.format(a='k')} AS diff_key FROM fx_k k) o
+FULL OUTER JOIN (SELECT *, {_DIFF_KEY.format(a='k')} AS diff_key FROM dq_new k) n ON o.diff_key = n.diff_key) d WHERE status IS NOT NULL""")
 def dq_baseline_diff_q(spark, sf):
-    k = kpi_long(Tables(spark, sf))
+    k = materialized(kpi_long(Tables(spark, sf)).select(*LOGICAL_KEY, "value", "suppressed"), "baseline-run")
     new = (k.filter(~F.col("school_id").endswith("7"))
             .withColumn("value", F.when(F.col("school_id").cast("bigint") % 10 == 0, F.col("value") + 1).otherwise(F.col("value"))))
-    return Q.dq_baseline_diff(k, new)
+    return Q.dq_baseline_diff(k, materialized(new, "new-run"))

@@ -1,6 +1,7 @@
 """Operators on small frames: mapping precedence, emission policies, dedupe,
 distributed ranking against a window brute force."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -97,3 +98,36 @@ def test_position_within_without_exchange_reuse(spark):
             sorted(map(tuple, slow.select("grp", "name", "pos").collect()))
     finally:
         spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
+@pytest.mark.parametrize("n", [1, 7, 4000, 10**6])
+def test_sample_per_file_of_any_size(spark, n):
+    """The rows of a sort by hash, without one: a hot file, a null file, equal keys."""
+    import hashlib
+
+    from kpiloom.operators.quality import sample_per_file
+    rows = [(f"f{i % 3}" if i % 7 else None if i % 2 else "hot", i // 2) for i in range(9000)] + [("hot", i) for i in range(20_000, 26_000)]
+    got = sample_per_file(spark.createDataFrame(rows, "source_file string, k long"), n, ["k"]).collect()
+    want = []
+    for file in {f for f, _ in rows}:
+        own = sorted((hashlib.md5(str(k).encode()).hexdigest(), k) for f, k in rows if f == file)
+        want += [(file, k) for _, k in own[:n]]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_baseline_diff_descends_only_into_parts_that_differ(spark):
+    from kpiloom.operators.quality import dq_baseline_diff, run_digests
+    from kpiloom.schema import LOGICAL_KEY
+    schema = ", ".join(f"{c} string" for c in LOGICAL_KEY) + ", value double, suppressed string"
+    base = [("d", str(i), None, y, g, m, float(i), "N") for i in range(5) for y in ("2020", "2021", None) for g in ("a", None) for m in ("x", "y")]
+    change = {(1, "2020", "x"): 9.0, (2, None, "y"): None}
+    new = [(*r[:6], change.get((int(r[1]), r[3], r[5]), r[6]), r[7]) for r in base if r[:4] != ("d", "4", None, "2021")] + [("d", "7", None, "2022", "a", "x", 1.0, "N")]
+    old_df, new_df = spark.createDataFrame(base, schema), spark.createDataFrame(new[::-1], schema)
+    got = {(r["school_id"], r["year"], r["student_group"], r["metric"], r["status"], r["old_value"], r["new_value"]) for r in dq_baseline_diff(old_df, new_df).collect()}
+    want = {(str(i), y, g, m, "changed", float(i), v) for (i, y, m), v in change.items() for g in ("a", None)}
+    want |= {("4", "2021", g, m, "removed", 4.0, None) for g in ("a", None) for m in ("x", "y")} | {("7", "2022", "a", "x", "added", None, 1.0)}
+    assert got == want
+    assert dq_baseline_diff(old_df, old_df.repartition(7)).count() == 0
+    part = ["year", "metric"]
+    a, b = (sorted(map(str, run_digests(d, part, [*LOGICAL_KEY, "value", "suppressed"]).collect())) for d in (old_df, new_df))
+    assert len(set(a) & set(b)) == len(a) - 4   # (2020, x), (null, y), (2021, x), (2021, y)

@@ -151,3 +151,38 @@ def test_master_leaves_out_audit_and_short_tables(spark):
     got = union_master(spark, [("a", full), ("a_demographic_audit", full), ("short", full.select("year", "metric"))])
     assert [r["source"] for r in got.collect()] == ["a"]
     assert union_master(spark, []).count() == 0
+
+
+def test_master_follows_the_stored_tables(spark, tmp_path):
+    """Only changed partitions are replaced; the result equals a full build at every step."""
+    from kpiloom.schema import KPI_VALUE_COLUMNS
+    from kpiloom.sources.store import update_master
+    kpi, master, manifest = (f"file://{tmp_path}/{x}" for x in ("kpi", "master", "manifest"))
+
+    def rows(*years, by=1):
+        return spark.createDataFrame([(y, f"m{i}", "d", str(i), "g", float(i * by), "N", "f") for y in years for i in range(3)],
+                                     "year string, metric string, district string, school_id string, student_group string, value double, suppressed string, source_file string")
+
+    def update():
+        done = update_master(spark, kpi, master, manifest)
+        same = lambda path: sorted(map(str, IO.read_kpi(spark, path).filter("source not like '%audit' and source <> 'short'").select(*KPI_VALUE_COLUMNS, "source").collect()))
+        assert same(master) == same(kpi)
+        return done
+
+    IO.sink_kpi(rows("2020", "2021"), kpi, "a")
+    IO.sink_kpi(rows("2021"), kpi, "b c/d")
+    rows("2021").drop("suppressed").write.partitionBy("year").parquet(f"{kpi}/source=short")
+    IO.sink_kpi(rows("2021"), kpi, "a_demographic_audit")
+    first = update()
+    assert first.replaced == [("a", "2020"), ("a", "2021"), ("b c/d", "2021")] and first.left_out == ["a_demographic_audit", "short"]
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "master").rglob("*.parquet")}
+    assert update().replaced == []
+    IO.sink_kpi(rows("2022"), kpi, "a")                # one new year: one partition read and written
+    assert update().replaced == [("a", "2022")]
+    assert all(p.stat().st_mtime_ns == t for p, t in files.items())
+    IO.sink_kpi(rows("2021", by=5), kpi, "a")          # a corrected year
+    assert update().replaced == [("a", "2021")]
+    import shutil
+    shutil.rmtree(tmp_path / "kpi" / "source=a" / "year=2020")
+    gone = update()
+    assert gone.removed == [("a", "2020")] and gone.replaced == []
