@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from kpiloom.operators import demographics as DM
+from kpiloom.operators.demographic_rules import map_by_rules, read_rules, rule_rows, write_rules
 from kpiloom.operators.longform import with_kpi_ids
 from kpiloom.plans.dims import W_DIMS
 from kpiloom.plans.oracle_fixtures import ctes, define
 from kpiloom.plans.registry import register
 from kpiloom.plans.wide_kpi import kpi_long, typed_wide, wide_source_file
+from kpiloom.plans import sqltext as S
+from kpiloom.plans import state_labels as L
+from kpiloom.session import scratch_path
 from kpiloom.sources import fixtures
 from kpiloom.sources.tables import Tables
 
@@ -68,3 +74,54 @@ def mapping_report_q(spark, sf):
     t = Tables(spark, sf)
     cov = DM.demographic_coverage(kpi_long(t), W_DIMS)
     return DM.mapping_report(mapped_w(spark, sf), cov)
+
+
+# --- the state's labels as a stored table of rules ---------------------------------
+# Every row of W takes one of these spellings, and a year of 2019 to 2025, by its school, year and group.
+SPELLINGS = [*L.STANDARD, *(label for label, _ in L.GENERAL), *(label for *_, label, _ in L.BY_YEAR),
+             "MALE", " Female ", "aSIAN", "iep", "non english learner", "", "Some New Category"]
+define("spelled", f"""SELECT year, CASE pick {' '.join(f"WHEN {i} THEN {S.q(x)}" for i, x in enumerate(SPELLINGS))} END AS demographic FROM
+ (SELECT CAST(2019 + CAST(school_code AS BIGINT) % 7 AS VARCHAR) AS year,
+  (CAST(school_code AS BIGINT) * 13 + CAST(substr(school_year, 5, 4) AS BIGINT) * 5 + length(COALESCE(demographic, ''))) % {len(SPELLINGS) + 1} AS pick FROM fx_w) p""", ["fx_w"])
+
+
+@register("demographic_rules", ctes("spelled") + f""", rules AS (
+ SELECT 1 AS precedence, 'standard' AS kind, label, label AS mapped, 0 AS since, 9999 AS until, FALSE AS any_case, 0 AS place FROM (VALUES {', '.join(f'({S.q(x)})' for x in L.STANDARD)}) s(label)
+ UNION ALL SELECT 2, 'year_specific', label, mapped, since, until, FALSE, 0 FROM (VALUES {', '.join(f'({a}, {b}, {S.q(x)}, {S.q(m)})' for a, b, x, m in L.BY_YEAR)}) y(since, until, label, mapped)
+ UNION ALL SELECT 3, 'general', label, mapped, 0, 9999, FALSE, 0 FROM (VALUES {', '.join(f'({S.q(x)}, {S.q(m)})' for x, m in L.GENERAL)}) g(label, mapped)
+ UNION ALL SELECT 4, 'case_insensitive', label, mapped, 0, 9999, TRUE, place FROM (VALUES {', '.join(f'({S.q(x)}, {S.q(m)}, {i})' for i, (x, m) in enumerate(L.GENERAL))}) c(label, mapped, place)),
+ pairs AS (SELECT year, demographic, count(*) AS n_rows FROM spelled GROUP BY year, demographic),
+ best AS (SELECT p.year, p.demographic, min_by(r.mapped, r.precedence * 1000 + r.place) AS mapped, min_by(r.kind, r.precedence * 1000 + r.place) AS kind
+  FROM pairs p JOIN rules r ON CASE WHEN r.any_case THEN lower(r.label) = lower(trim(p.demographic)) ELSE r.label = trim(p.demographic) END
+   AND CAST(p.year AS INT) BETWEEN r.since AND r.until GROUP BY p.year, p.demographic)
+SELECT p.year, p.demographic, CASE WHEN COALESCE(p.demographic, '') = '' THEN 'All Students' ELSE COALESCE(b.mapped, trim(p.demographic)) END AS student_group,
+ CASE WHEN COALESCE(p.demographic, '') = '' THEN 'default' ELSE COALESCE(b.kind, 'no_mapping') END AS mapping_type, p.n_rows
+FROM pairs p LEFT JOIN best b ON p.year = b.year AND p.demographic = b.demographic""")
+def demographic_rules_q(spark, sf):
+    path = scratch_path(spark, "demographic-rules")
+    write_rules(spark, rule_rows(L.STANDARD, L.GENERAL[:5], []), path)
+    write_rules(spark, rule_rows(L.STANDARD, L.GENERAL, L.BY_YEAR), path)
+    school = F.col("school_code").cast("bigint")
+    pick = (school * 13 + F.substring("school_year", 5, 4).cast("bigint") * 5 + F.length(F.coalesce("demographic", F.lit("")))) % (len(SPELLINGS) + 1)
+    spelled = fixtures.wide(Tables(spark, sf)).select((2019 + school % 7).cast("string").alias("year"),
+                                                      F.get(F.array(*map(F.lit, SPELLINGS)), pick.cast("int")).alias("demographic"))
+    mapped = map_by_rules(spelled, read_rules(spark, path))
+    return mapped.groupBy("year", "demographic", "student_group", "mapping_type").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+define("state_k", "SELECT DISTINCT year, demographic AS student_group FROM spelled WHERE COALESCE(demographic, '') <> ''", ["spelled"])
+
+
+@register("state_coverage", ctes("state_k") + f""", expected(year, student_group) AS (VALUES {', '.join(f'({S.q(y)}, {S.q(g)})' for y, g in L.STATE_DIMS.expected)}),
+ required(student_group) AS (VALUES {', '.join(f'({S.q(g)})' for g in L.REQUIRED)}), allowed(student_group) AS (VALUES {', '.join(f'({S.q(g)})' for g in L.ALLOW_MISSING)}),
+ status AS (SELECT k.year, CASE WHEN e.year IS NULL THEN 'unexpected' ELSE 'valid' END AS status, k.student_group
+   FROM state_k k LEFT JOIN expected e ON k.year = e.year AND k.student_group = e.student_group
+  UNION ALL SELECT e.year, 'missing_optional', e.student_group FROM expected e WHERE e.student_group NOT IN (SELECT student_group FROM allowed)
+   AND e.year IN (SELECT year FROM state_k) AND NOT EXISTS (SELECT 1 FROM state_k k WHERE k.year = e.year AND k.student_group = e.student_group)
+  UNION ALL SELECT y.year, 'missing_required', r.student_group FROM required r, (SELECT DISTINCT year FROM state_k WHERE year BETWEEN '2020' AND '2024') y
+   WHERE r.student_group NOT IN (SELECT student_group FROM allowed) AND NOT EXISTS (SELECT 1 FROM state_k k WHERE k.year = y.year AND k.student_group = r.student_group))
+SELECT s.*, CAST(COALESCE((SELECT count(*) FROM expected e WHERE e.year = s.year), 0) AS BIGINT) AS total_expected,
+ (SELECT count(*) FROM state_k k WHERE k.year = s.year) AS total_actual FROM status s""")
+def state_coverage_q(spark, sf):
+    spelled = demographic_rules_q(spark, sf).filter("coalesce(demographic, '') <> ''").select("year", F.col("demographic").alias("student_group"))
+    return DM.demographic_coverage(spelled, L.STATE_DIMS)
