@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kpiloom.llm.common import spare_prefix
+
 WORDS = 8
 KEYS_PER_BLOCK = 32
 MAX_BLOCKS = 1 << 18
@@ -31,17 +33,20 @@ def bloom_blocks(keys: DataFrame, key: str, blocks: int) -> DataFrame:
             .groupBy("_block").agg(*(F.bit_or(f"_m{i}").alias(f"_w{i}") for i in range(WORDS))))
 
 
-def probed(rows: DataFrame, keys: DataFrame, key: str, max_blocks: int = MAX_BLOCKS) -> DataFrame:
+def probed(rows: DataFrame, keys: DataFrame, key: str, max_blocks: int = MAX_BLOCKS, prefix: str = "_") -> DataFrame:
     """``rows`` with the column ``_possible``: false only where ``key`` is not
-    among the column of that name in ``keys``."""
+    among the column of that name in ``keys``.  No column of ``rows`` may begin with
+    ``prefix``, which that column and those used here begin with."""
     blocks = 1 << max(0, min(max_blocks.bit_length() - 1, (keys.count() // KEYS_PER_BLOCK).bit_length()))
     possible = F.lit(True)
     for i, mask in enumerate(_masks(F.col(key))):
-        possible &= F.col(f"_w{i}").bitwiseAND(mask) != 0
-    return (rows.withColumn("_block", _block(F.col(key), blocks))
-            .join(F.broadcast(bloom_blocks(keys, key, blocks)), "_block", "left")
-            .withColumn("_possible", F.coalesce(possible, F.lit(False)))
-            .select(*rows.columns, "_possible"))
+        possible &= F.col(f"{prefix}w{i}").bitwiseAND(mask) != 0
+    filters = bloom_blocks(keys, key, blocks)
+    filters = filters.select(*(F.col(c).alias(prefix + c[1:]) for c in filters.columns))
+    return (rows.withColumn(f"{prefix}block", _block(F.col(key), blocks))
+            .join(F.broadcast(filters), f"{prefix}block", "left")
+            .withColumn(f"{prefix}possible", F.coalesce(possible, F.lit(False)))
+            .select(*rows.columns, f"{prefix}possible"))
 
 
 def left_out(rows: DataFrame, keys: DataFrame, on: dict[str, Column]) -> DataFrame:
@@ -49,12 +54,13 @@ def left_out(rows: DataFrame, keys: DataFrame, on: dict[str, Column]) -> DataFra
     whose values say how a row's keys are made; nulls are equal).  The filter
     lets nearly all such rows pass where they are; only possible hits, with
     whatever long columns they have, meet ``keys`` in an exact anti join."""
-    names = [f"_k_{name}" for name in on]
+    own, inner = spare_prefix(rows.columns), spare_prefix(rows.columns) + "_"
+    names, key = [f"{own}k_{name}" for name in on], f"{own}key"
     wanted = keys.select(*(F.col(name).alias(k) for name, k in zip(on, names))).distinct()
-    found = probed(rows.withColumns({**dict(zip(names, on.values())), "_key": F.xxhash64(*on.values())}),
-                   wanted.select(F.xxhash64(*names).alias("_key")), "_key")
+    found = probed(rows.withColumns({**dict(zip(names, on.values())), key: F.xxhash64(*on.values())}),
+                   wanted.select(F.xxhash64(*names).alias(key)), key, prefix=inner)
     same = F.lit(True)
     for k in names:
         same &= F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
-    sure = found.filter("not _possible").select(rows.columns)
-    return sure.unionByName(found.filter("_possible").alias("l").join(wanted.alias("r"), same, "left_anti").select(rows.columns))
+    sure = found.filter(f"not {inner}possible").select(rows.columns)
+    return sure.unionByName(found.filter(f"{inner}possible").alias("l").join(wanted.alias("r"), same, "left_anti").select(rows.columns))

@@ -21,6 +21,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spare_prefix(columns: list[str]) -> str:
+    """Underscores with which no column begins: names that start so are free."""
+    prefix = "_"
+    while any(c.startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
+
+
 def fold(doc_id: str | Column, n: int) -> Column:
     """crc32 of the id written as text, modulo ``n`` (null id: null)."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

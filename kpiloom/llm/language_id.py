@@ -219,7 +219,7 @@ def with_known_language(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` in some learned language, whatever the score: a
     text that mixes languages, or a short one, has a low score but is no junk."""
     found = predictor(spark, train(docs), F.col("text"))
-    return docs.withColumn("_language", found).filter(F.col("_language.lang") != UNDETERMINED).select(docs.columns)
+    return docs.filter(found["lang"] != UNDETERMINED)
 
 
 def op6_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:

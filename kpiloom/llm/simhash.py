@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kpiloom.llm.bloom import left_out
-from kpiloom.llm.common import bounded_batches, table, written
+from kpiloom.llm.common import bounded_batches, spare_prefix, table, written
 
 SHINGLE = 4
 RADIUS = 4
@@ -287,15 +287,18 @@ def deduplicated(docs: DataFrame) -> DataFrame:
         kept = kept.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(one)
     if not prints.filter("doc_id is null").head(1):
         return kept
-    groups = labels.filter("component_id is null").select(F.col("fp").alias("_fp"), F.col("group").alias("_group"))
-    lone = fingerprints(docs.filter("doc_id is null"), "text", "_fp").join(groups, "_fp").select(*docs.columns, "_group")
-    return kept.unionByName(_first(lone, "_group", docs.columns))
+    own = spare_prefix(docs.columns)
+    fp, group = f"{own}fp", f"{own}group"
+    groups = labels.filter("component_id is null").select(F.col("fp").alias(fp), F.col("group").alias(group))
+    lone = fingerprints(docs.filter("doc_id is null"), "text", fp).join(groups, fp).select(*docs.columns, group)
+    return kept.unionByName(_first(lone, group, docs.columns))
 
 
 def _first(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """One row a key: the first by its text, then by the other columns."""
     first = Window.partitionBy(key).orderBy("text", *(c for c in columns if c not in ("doc_id", "text")))
-    return rows.withColumn("_n", F.row_number().over(first)).filter("_n = 1").select(columns)
+    n = f"{spare_prefix(columns)}n"
+    return rows.withColumn(n, F.row_number().over(first)).filter(f"{n} = 1").select(columns)
 
 
 def hex_of(fp: Column) -> Column:

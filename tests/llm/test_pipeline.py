@@ -1,9 +1,10 @@
 import hashlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from kpiloom.llm import byte_bpe, language_id, toxicity
+from kpiloom.llm import byte_bpe, decontamination, language_id, simhash, toxicity
 from tests.llm.test_decontamination import brute as brute_overlaps
 from tests.llm.test_simhash import brute_components, brute_fingerprint
 
@@ -54,3 +55,18 @@ def test_awkward_documents(spark, sf, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{sf}/{name}.parquet").filter("false").write.parquet(f"{empty}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(empty)).count() == 0
+
+
+def test_no_column_of_the_documents_clashes(spark, sf, tmp_path):
+    """An extra column of every name that a stage uses for itself comes back as it was."""
+    names = ["fp", "group", "n", "score", "toxic_score", "language_id", "row", "h", "_language", "_key", "_block", "_possible", "_w0", "_w7", "_k_doc_id",
+             "_k_text_hash", "_group", "_fp", "_n", "__key", "__w0", "___w0"]
+    base = spark.read.parquet(f"{sf}/documents.parquet").limit(60).select("doc_id", "text", "lang")
+    lone = base.limit(3).withColumn("doc_id", F.lit(None).cast("bigint"))
+    docs = base.unionByName(lone).unionByName(base.limit(2)).select("*", *(F.concat(F.lit(f"{n}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(n) for n in names))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    docs, benchmark = spark.read.parquet(f"{tmp_path}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
+    for rows in (language_id.with_known_language(spark, docs), simhash.deduplicated(docs), decontamination.clean(docs, benchmark)):
+        assert rows.columns == docs.columns
+        found = rows.collect()
+        assert found and all(r[n] == f"{n}:{'-' if r['doc_id'] is None else r['doc_id']}" for r in found for n in names)
