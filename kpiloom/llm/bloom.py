@@ -33,7 +33,7 @@ def bloom_blocks(keys: DataFrame, key: str, blocks: int) -> DataFrame:
             .groupBy("_block").agg(*(F.bit_or(f"_m{i}").alias(f"_w{i}") for i in range(WORDS))))
 
 
-def probed(rows: DataFrame, keys: DataFrame, key: str, max_blocks: int = MAX_BLOCKS, prefix: str = "_") -> DataFrame:
+def probed(rows: DataFrame, keys: DataFrame, key: str, max_blocks: int = MAX_BLOCKS, *, prefix: str = "_") -> DataFrame:
     """``rows`` with the column ``_possible``: false only where ``key`` is not
     among the column of that name in ``keys``.  No column of ``rows`` may begin with
     ``prefix``, which that column and those used here begin with."""
