@@ -5,7 +5,9 @@
    top bits of the hash deal a source into buckets, counts per (source,
    bucket) give each bucket its first rank, and a window numbers the rows of
    one bucket.  Rows that agree in all they are ordered by are counted first
-   (map-side) and ranked as one entry with a weight.
+   (map-side) and ranked as one entry with a weight.  An entry is unfolded
+   into its rows again after the ranking; one of more than ``BLOCK`` rows goes
+   through a shuffle as blocks first, so its rows are made by many tasks.
 2. A row of rank r among n stands at the fraction (r + phase) / n of its
    source; the phase, a seeded hash of the source, keeps sources with few rows
    from meeting at the same fraction.
@@ -38,6 +40,7 @@ SHARDS = 40
 SEED = 20240607
 ROW_OVERHEAD = 16
 BUCKET_ROWS = 65_536
+BLOCK = 65_536
 LEAST_BUCKET_BITS = 8
 _KEY = ["stratum", "bucket"]
 _ORDER = ["h", "doc_id", "text_crc32", "size"]
@@ -47,8 +50,20 @@ def _bucket_bits(rows: int) -> int:
     return max(LEAST_BUCKET_BITS, math.ceil(math.log2(max(1, rows) / BUCKET_ROWS)) if rows > BUCKET_ROWS else 0)
 
 
+def unfolded(entries: DataFrame, block: int) -> DataFrame:
+    """Every entry ``weight`` times, numbered by ``copy`` from 0."""
+    span = lambda first, last: F.explode(F.sequence(first, last))
+    zero = F.lit(0).cast("long")
+    light = entries.filter(F.col("weight") <= block).withColumn("copy", span(zero, F.col("weight") - 1))
+    heavy = (entries.filter(F.col("weight") > block)
+             .withColumn("_block", span(zero, F.expr(f"(weight - 1) div {block}")))
+             .repartition("stratum", *_ORDER, "_block")
+             .withColumn("copy", span(F.col("_block") * block, F.least(F.col("weight"), (F.col("_block") + 1) * block) - 1)))
+    return light.unionByName(heavy.drop("_block"))
+
+
 def interleave(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, doc_id: str = "doc_id",
-               text: str = "text", source: str = "source") -> DataFrame:
+               text: str = "text", source: str = "source", block: int = BLOCK) -> DataFrame:
     """doc_id, source, size, text_crc32, shard, slot of every row of ``docs``."""
     text_bytes = F.col(text).cast("string").cast("binary")
     narrow = docs.select(
@@ -68,12 +83,13 @@ def interleave(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, doc_id:
                        F.sum("n").over(in_source).alias("n_source")))
     in_bucket = Window.partitionBy(*_KEY).orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, 0)
     phase = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "stratum"), 44) + 0.5) / float(1 << 20)
-    ranked = written(
+    firsts = written(
         rows.join(offsets, _KEY)
         .withColumn("first", F.col("before") + F.sum("weight").over(in_bucket) - F.col("weight"))
-        .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("weight") - 1)))
-        .withColumn("fraction", (F.col("first") + F.col("copy") + phase) / F.col("n_source"))
-        .select("stratum", *_ORDER, "copy", "fraction"), "shard-ranks")
+        .select("stratum", *_ORDER, "weight", "first", "n_source"), "shard-ranks")
+    ranked = (unfolded(firsts, block)
+              .withColumn("fraction", (F.col("first") + F.col("copy") + phase) / F.col("n_source"))
+              .select("stratum", *_ORDER, "copy", "fraction"))
 
     ranked = ranked.withColumn("part", F.floor(F.col("fraction") * float(1 << bits)))
     before = (ranked.groupBy("part").agg(F.count("*").alias("n"))

@@ -63,6 +63,14 @@ def test_nulls_ties_and_hot_source(spark):
     assert Counter(map(tuple, again.collect())) == Counter(map(tuple, sharding.interleave(df, shards=7).collect()))
 
 
+def test_equal_rows_unfold_in_blocks(spark):
+    docs = [(7, "same", "x")] * 1000 + [(i, f"t{i}", "x") for i in range(50)] + [(None, None, None)] * 300
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    rows = sharding.interleave(df, shards=7, block=64)
+    check(rows.collect(), docs, 7)
+    assert Counter(map(tuple, rows.collect())) == Counter(map(tuple, sharding.interleave(df, shards=7).collect()))
+
+
 def test_few_rows_and_empty(spark):
     df = spark.createDataFrame([(1, "a", "s"), (2, "b", "s")], "doc_id long, text string, source string")
     rows = sharding.interleave(df, shards=5).collect()
