@@ -13,10 +13,16 @@ together (and the other way round).
 Fit: on at most ``SAMPLE_DOCS`` labelled ids, those with the smallest seeded
 hash; executors turn their texts into term buckets and count them
 by class, and only these counts and, of each row, the places of the buckets
-that are kept come to the driver.  The ``MAX_TERMS`` buckets that tell the classes
-apart best (signed chi-square on presence, at least ``MIN_SUPPORT`` documents)
-get weights; Adagrad steps with L2 in numpy, seeded.  The fitted model is a
-table of fixed size that goes to the tasks.
+that are kept come to the driver.  Two kinds of buckets get weights: the
+``MAX_TERMS`` that tell the classes apart best by themselves (chi-square on
+presence, at least ``MIN_SUPPORT`` documents), and up to ``MAX_PAIRED`` more
+that do so only in pairs.  For these, the ``PAIR_TERMS`` buckets with the most
+even presence are crossed: a pair counts if, over its four cells of presence,
+the toxic shares depart from a sum of two effects (chi-square over
+``PAIR_CHI``) and each cell expects ``LEAST_CELL`` documents of each class.
+The crossing takes a bit a document and bucket to the driver, 2.5 MB at most.
+Adagrad steps with L2 in numpy, seeded.  The fitted model is a table of fixed
+size that goes to the tasks.
 
 Scoring reads every whole text, in one narrow stage without a shuffle.
 
@@ -48,6 +54,10 @@ HASH_BITS = 20
 SAMPLE_DOCS = 20_000
 MAX_TERMS = 4096
 MIN_SUPPORT = 3
+PAIR_TERMS = 1024
+PAIR_CHI = 36.0
+LEAST_CELL = 5
+MAX_PAIRED = 512
 FACTORS = 8
 EPOCHS = 20
 STEMS = (5, 7)
@@ -103,9 +113,60 @@ def _counts(docs: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, np.
     return toxic + count([d for d, y in zip(docs, labels) if not y]), toxic
 
 
+def _candidates(both: np.ndarray, n: int, p: float) -> np.ndarray:
+    """The buckets whose pairs are tested: most even presence first, enough of either class on both sides."""
+    even = np.minimum(both, n - both)
+    order = np.lexsort((np.arange(len(both)), -even))[:PAIR_TERMS]
+    return order[even[order] * min(p, 1 - p) >= 2 * LEAST_CELL]
+
+
+def _crossed(x: np.ndarray) -> np.ndarray:
+    """How many rows hold each two columns of a matrix of booleans."""
+    out = np.zeros((x.shape[1], x.shape[1]))
+    for first in range(0, len(x), 2048):
+        some = x[first:first + 2048].astype("float32")
+        out += some.T @ some
+    return out
+
+
+def _paired(present: np.ndarray, labels: np.ndarray, terms: np.ndarray) -> np.ndarray:
+    """Those of ``terms`` (the columns of ``present``) with a strong pair, strongest first."""
+    if len(terms) < 2:
+        return terms[:0]
+    p = labels.mean()
+
+    def cells(x: np.ndarray) -> np.ndarray:
+        together, alone = _crossed(x), x.sum(0, dtype="float64")
+        return np.stack([together, alone[:, None] - together, alone - together, len(x) - alone[:, None] - alone + together])
+
+    n, toxic = cells(present), cells(present[labels > 0])
+    share = toxic / np.maximum(n, 1)
+    apart = share[0] - share[1] - share[2] + share[3]
+    chi = apart**2 / (p * (1 - p) * (1 / np.maximum(n, 1)).sum(0))
+    chi[n.min(0) * min(p, 1 - p) < LEAST_CELL] = 0
+    best = chi.max(1)
+    order = np.lexsort((terms, -best))
+    return terms[order[best[order] > PAIR_CHI]]
+
+
+def _kept(strong: np.ndarray, paired: np.ndarray) -> np.ndarray:
+    return np.concatenate([strong, paired[~np.isin(paired, strong)][:MAX_PAIRED]])
+
+
+def _presence(docs: list[np.ndarray], terms: np.ndarray) -> np.ndarray:
+    at = np.sort(terms)
+    out = np.zeros((len(docs), len(at)), bool)
+    for i, d in enumerate(docs):
+        out[i] = np.isin(at, d)
+    return out
+
+
 def _select(docs: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """The buckets that get weights, strongest first."""
-    return _strong(*_counts(docs, labels), len(docs), labels.mean())
+    """The buckets that get weights: strong alone, then strong in pairs only."""
+    both, toxic = _counts(docs, labels)
+    n, p = len(docs), labels.mean()
+    tested = np.sort(_candidates(both, n, p))
+    return _kept(_strong(both, toxic, n, p), _paired(_presence(docs, tested), labels, tested))
 
 
 def fit(docs: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, rate: float = 0.1, l2: float = 2e-5) -> Model:
@@ -184,7 +245,21 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Mode
              .agg(F.count("*").cast("int").alias("both"), F.sum("y").cast("int").alias("toxic")).filter(F.col("both") >= MIN_SUPPORT).toArrow().to_pandas())
     both, toxic = (np.zeros(1 << HASH_BITS) for _ in range(2))
     both[found.term], toxic[found.term] = found.both, found.toxic
-    kept = np.sort(_strong(both, toxic, n, toxic_rows / n) if 0 < toxic_rows < n else np.empty(0, "int64"))
+    kept = np.empty(0, "int64")
+    if 0 < toxic_rows < n:
+        tested = np.sort(_candidates(both, n, toxic_rows / n))
+
+        @F.pandas_udf("binary")
+        def presence(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for terms in batches:
+                yield pd.Series([np.packbits(np.isin(tested, t)).tobytes() for t in terms], dtype=object)
+
+        paired = tested[:0]
+        if len(tested) > 1:
+            bits = rows.select("y", presence("terms").alias("bits")).toArrow().to_pandas()
+            packed = np.frombuffer(b"".join(bits["bits"]), "uint8").reshape(n, -1)
+            paired = _paired(np.unpackbits(packed, axis=1, count=len(tested)).astype(bool), bits["y"].to_numpy(), tested)
+        kept = np.sort(_kept(_strong(both, toxic, n, toxic_rows / n), paired))
 
     @F.pandas_udf(T.ArrayType(T.ShortType()))
     def places(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

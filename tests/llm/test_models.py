@@ -41,6 +41,52 @@ def test_learns_pairs_that_linear_weights_miss():
     assert min(at) >= 0 and model.factors[at[0]] @ model.factors[at[1]] > 0 and model.factors[at[2]] @ model.factors[at[3]] > 0
 
 
+def balanced_docs(n, seed, same):
+    """Toxic iff exactly one of two words stands in the text (``same``: both or none); each word alone tells nothing."""
+    rnd = random.Random(seed)
+    out = []
+    for _ in range(n):
+        a, b = rnd.randrange(2), rnd.randrange(2)
+        words = rnd.choices([f"word{i}" for i in range(80)], k=14) + ["alpha"] * a + ["beta"] * b
+        rnd.shuffle(words)
+        out.append((" ".join(words), int((a == b) == same)))
+    return out
+
+
+@pytest.mark.parametrize("same", [False, True])
+def test_learns_pairs_of_balanced_terms(same):
+    train, test = balanced_docs(4000, 5, same), balanced_docs(1000, 6, same)
+    model = toxicity.fit([np.array(sorted(toxicity.buckets_of(t)), "int32") for t, _ in train], np.array([y for _, y in train]))
+    assert all(model.slots[toxicity.terms_of(w)[0]] >= 0 for w in ("alpha", "beta"))
+    memo = {}
+    assert np.mean([(toxicity.score_text(model, t, memo) > 0.5) == y for t, y in test]) > 0.95
+
+
+def test_pair_strength_by_direct_count():
+    rnd = np.random.default_rng(4)
+    x = rnd.random((1500, 6)) < 0.5
+    y = ((x[:, 1] ^ x[:, 4]) | (rnd.random(1500) < 0.05)).astype(int)
+    terms = np.arange(6) * 10
+    p, strong = y.mean(), set()
+    for i in range(6):
+        for j in range(6):
+            if i != j:
+                cell = {(a, b): y[(x[:, i] == a) & (x[:, j] == b)] for a in (0, 1) for b in (0, 1)}
+                apart = cell[1, 1].mean() - cell[1, 0].mean() - cell[0, 1].mean() + cell[0, 0].mean()
+                if apart**2 / (p * (1 - p) * sum(1 / len(c) for c in cell.values())) > toxicity.PAIR_CHI:
+                    strong |= {10 * i, 10 * j}
+    assert set(toxicity._paired(x, y, terms).tolist()) == strong == {10, 40}
+
+
+def test_balanced_pairs_over_tables(spark):
+    some = balanced_docs(2400, 8, False)
+    docs = spark.createDataFrame(list(enumerate(t for t, _ in some)), "doc_id long, text string")
+    labels = spark.createDataFrame(list(enumerate(y for _, y in some)), "doc_id long, toxic int")
+    got = {r["doc_id"]: r["toxic_score"] for r in toxicity.score_documents(spark, docs, labels).collect()}
+    held = [i for i in range(2400) if fold(i, 3) == 1]
+    assert np.mean([(got[i] > 0.5) == some[i][1] for i in held]) > 0.95
+
+
 def test_one_class_or_no_labels():
     docs = [np.array([1, 2], "int32")] * 3
     assert toxicity.score_text(toxicity.fit([], np.zeros(0)), "a b", {}) < 1e-9
@@ -175,3 +221,13 @@ def test_queries_over_table(spark, sf):
     held = [r for r in rows if r["held_out"]]
     assert len(rows) == n and all(r["held_out"] == (fold(r["doc_id"], 4) == 2) for r in rows)
     assert np.mean([r["lang_pred"] == lang[r["doc_id"]] for r in held]) > 0.95
+
+
+def test_toxicity_query_held_out(spark):
+    from pyspark.sql import functions as F
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    got = toxicity.op3_fm_toxicity(spark, sf).join(labels, "doc_id").filter("held_out").groupBy("toxic", "predicted").agg(F.count("*").alias("n")).collect()
+    n = {(r["toxic"], r["predicted"]): r["n"] for r in got}
+    assert n.get((1, 1), 0) >= 0.75 * (n.get((1, 0), 0) + n[1, 1])  # the labels themselves are noisy
+    assert n.get((0, 1), 0) <= 0.01 * n[0, 0]
