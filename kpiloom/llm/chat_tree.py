@@ -33,7 +33,8 @@ assistant turns end in ``</s>``, and any other role is named between
 string gets a backslash after its first character, so none occurs there.
 
 Cases: a null text or role is an empty one; an empty role is a role by its
-name; rows without a conv_id form one conversation without an id; turns with
+name; every row without a conv_id is a conversation of one turn without an id,
+dealt on its own, since nothing says which of them belong together; turns with
 equal numbers are ordered by role and text, null numbers first, and repeated
 rows are turns of their own; other columns are ignored; an empty table gives
 an empty stream.
@@ -139,7 +140,7 @@ def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: tuple | None = None
     path: list[bytes] = []
     for conv_id, role, text in _rows(batches):
-        fresh = held is None or held[1] != conv_id
+        fresh = held is None or conv_id is None or held[1] != conv_id
         if held is not None:
             yield from out.add((*held, b"".join(path) if fresh else None), len(held[6]))
             conv += fresh
@@ -182,7 +183,8 @@ def build(conversations: DataFrame) -> Forest:
     """The forest of ``conversations`` (conv_id, turn, role, text)."""
     turns = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", F.coalesce(F.col("role"), F.lit("")).alias("role"),
                                  F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    chain = written(turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
+    own = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id())
+    chain = written(turns.repartition("conv_id", own).sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
                     .mapInArrow(_chain, _CHAIN_SQL), "chat-turns")
     ends = chain.filter("path is not null").select("conv", "conv_id", F.col("key").alias("leaf"), "path")
     leaves = (ends.groupBy("leaf", "path").agg(F.min("conv").alias("speaker"))

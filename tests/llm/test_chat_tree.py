@@ -22,8 +22,8 @@ def test_turns_are_reversible(role):
 def turns_of(rows):
     by = {}
     low = lambda v: (v is not None, v if v is not None else 0)
-    for conv, turn, role, text in sorted(rows, key=lambda r: (low(r[1]), r[2] or "", (r[3] or "").encode())):
-        by.setdefault(conv, []).append((role or "", text or ""))
+    for i, (conv, turn, role, text) in enumerate(sorted(rows, key=lambda r: (low(r[1]), r[2] or "", (r[3] or "").encode()))):
+        by.setdefault(conv if conv is not None else ("alone", i), []).append((role or "", text or ""))
     return by
 
 
@@ -31,7 +31,7 @@ def brute(rows):
     out = []
     for conv, turns in turns_of(rows).items():
         loss = "".join(t for r, t in turns if r == "assistant")
-        out.append((conv, len(turns), hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(),
+        out.append((None if isinstance(conv, tuple) else conv, len(turns), hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(),
                     sum(len(C.format_turn(r, t, i == 0)[0]) for i, (r, t) in enumerate(turns))))
     return out
 
@@ -67,10 +67,12 @@ def test_stream_is_the_tree_depth_first(spark):
     paths = {}
     for r in sorted(forest.index.collect(), key=lambda r: r["depth"]):
         paths.setdefault(r["conv"], []).append(by_start[r["start"]])
-    assert Counter(ids[c] for c in paths) == Counter(convs.keys())
+    assert Counter(ids[c] for c in paths) == Counter(None if isinstance(c, tuple) else c for c in convs)
+    alone = [turns for c, turns in convs.items() if isinstance(c, tuple)]
     tree = {}
     for conv, path in paths.items():
-        assert [C.parse_turn(n["segment"]) for n in path] == convs[ids[conv]]
+        said = [C.parse_turn(n["segment"]) for n in path]
+        assert said == convs[ids[conv]] if ids[conv] is not None else said in alone
         position = 0
         for depth, node in enumerate(path):
             assert (node["depth"], node["position"]) == (depth, position)
