@@ -70,19 +70,24 @@ _EV_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in ["source_file", "value", *
 _EV_KEY = "district, school_id, school_name, year, base_metric"
 
 
-def _tier_sql(prefix: str, group: str, valid: str) -> str:
+def _tier_sql(long: str, prefix: str, group: str, valid: str) -> str:
     return (f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {_EV_KEY} ORDER BY {_EV_ORDER}) AS rn FROM "
-            f"(SELECT *, replace(metric, '{prefix}', '') AS base_metric FROM ev_long WHERE starts_with(metric, '{prefix}') "
+            f"(SELECT *, replace(metric, '{prefix}', '') AS base_metric FROM {long} WHERE starts_with(metric, '{prefix}') "
             f"AND student_group = '{group}' AND {valid}) x) y WHERE rn = 1")
 
 
-define("ev_rate", f"""SELECT 'safe_incident_rate_' || a.base_metric AS metric, a.district, a.school_name, 'All Students' AS student_group,
+def rate_sql(long: str) -> str:
+    """Incident rates over a CTE of long event rows."""
+    return f"""SELECT 'safe_incident_rate_' || a.base_metric AS metric, a.district, a.school_name, 'All Students' AS student_group,
  round_even(b.value / a.value, 3) AS value, 'N' AS suppressed, a.school_id, a.year,
  {', '.join(f'COALESCE(a.{c}, b.{c}) AS {c}' for c in _LOC)}, 'derived_rates_' || a.base_metric AS source_file
-FROM ({_tier_sql('safe_students_affected_', 'All Students', 'value > 0')}) a
-JOIN ({_tier_sql('safe_event_count_', 'All Students - Total Events', "value >= 0 AND NOT contains(metric, '_by_demo') AND NOT contains(metric, 'students_affected')")}) b
+FROM ({_tier_sql(long, 'safe_students_affected_', 'All Students', 'value > 0')}) a
+JOIN ({_tier_sql(long, 'safe_event_count_', 'All Students - Total Events', "value >= 0 AND NOT contains(metric, '_by_demo') AND NOT contains(metric, 'students_affected')")}) b
  ON a.district IS NOT DISTINCT FROM b.district AND a.school_id IS NOT DISTINCT FROM b.school_id
- AND a.school_name IS NOT DISTINCT FROM b.school_name AND a.year IS NOT DISTINCT FROM b.year AND a.base_metric = b.base_metric""", ["ev_long"])
+ AND a.school_name IS NOT DISTINCT FROM b.school_name AND a.year IS NOT DISTINCT FROM b.year AND a.base_metric = b.base_metric"""
+
+
+define("ev_rate", rate_sql("ev_long"), ["ev_long"])
 define("ev_job", f"SELECT {KPI} FROM ev_long UNION ALL SELECT {KPI} FROM ev_rate", ["ev_long", "ev_rate"])
 
 
