@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.functions import clean as C
 from kpiloom.functions import derive as D
+from kpiloom.functions import labels as L
 from kpiloom.operators.columns import COMMON_HEADERS, rename_columns
 from kpiloom.operators.demographics import DemographicDims
 from kpiloom.operators.longform import Entry
@@ -94,6 +95,23 @@ SUSPENSION_HEADERS = {
     "removal_by_hearing_officer": ["Removal by Hearing Officer IAES2"],
     "total_discipline_resolutions": ["Total Discipline Resolutions"],
 }
+ABSENTEEISM_HEADERS = {
+    "grade": ["Grade", "GRADE"],
+    "chronic_absenteeism_rate": ["Chronic Absenteeism Rate", "PERCENT CHRONICALLY ABSENT"],
+    "chronically_absent_count": ["Chronically Absent Students", "CHRONIC ABSENTEE COUNT"],
+    "enrollment_count": ["Students Enrolled 10 or More Days", "ENROLLMENT COUNT OF STUDENTS WITH 10+ ENROLLED DAYS"],
+}
+ENGLISH_LEARNER_HEADERS = {
+    "level": ["Level", "LEVEL"],
+    "percentage_score_0": ["Percentage Of Value Table Score Of 0", "PERCENTAGE OF VALUE TABLE SCORE OF 0"],
+    "percentage_score_60_80": ["Percentage Of Value Table Score Of 60 And 80", "PERCENTAGE OF VALUE TABLE SCORE OF 60 AND 80"],
+    "percentage_score_100": ["Percentage Of Value Table Score Of 100", "PERCENTAGE OF VALUE TABLE SCORE OF 100"],
+    "percentage_score_140": ["Percentage Of Value Table Score Of 140", "PERCENTAGE OF VALUE TABLE SCORE OF 140"],
+}
+POSTSECONDARY_READINESS_HEADERS = {
+    "postsecondary_rate": ["Postsecondary Rate", "POSTSECONDARY RATE"],
+    "postsecondary_rate_with_bonus": ["Postsecondary Rate With Bonus", "POSTSECONDARY RATE WITH BONUS"],
+}
 # Output metric names, where they are not the canonical column's.
 GRADUATION_METRICS = {y: {f"graduation_rate_{y}_year": f"graduation_rate_{y}_year", f"graduation_count_{y}_year": f"grads_{y}_year_cohort",
                           f"graduation_total_{y}_year": f"students_{y}_year_cohort"} for y in (4, 5)}
@@ -211,7 +229,37 @@ def _suspension() -> list[SourceSpec]:
     return [_spec("out_of_school_suspension", measures, entries, defaults, flag, "metric")]
 
 
+def _by_period(name: str, period: Callable[[], Column], measures: Callable[[], dict[str, Column]]) -> SourceSpec:
+    """A spec whose metric names end in a grade or level of the row."""
+    def named(stem: str) -> Column:
+        return F.concat(F.lit(f"{stem}_"), F.col("period"))
+
+    return _spec(name, lambda: {"period": period(), **measures()}, lambda: [Entry(named(m), F.col(m)) for m in measures()],
+                 lambda: [Entry(named(m), F.lit(None).cast("double"), F.lit(True)) for m in measures()])
+
+
+def _absenteeism() -> list[SourceSpec]:
+    return [_by_period("chronic_absenteeism", lambda: L.normalize_grade("grade"), lambda: {
+        "chronic_absenteeism_rate": C.range_guard(_n("chronic_absenteeism_rate"), 0, 100),
+        "chronic_absenteeism_count": C.range_guard(_n("chronically_absent_count"), 0),
+        "chronic_absenteeism_enrollment": C.range_guard(_n("enrollment_count"), 0)})]
+
+
+def _english_learner() -> list[SourceSpec]:
+    return [_by_period("english_learner_progress", lambda: L.normalize_level("level"), lambda: {
+        f"english_learner_score_{k}": C.range_guard(_n(f"percentage_score_{k}"), 0, 100) for k in ("0", "60_80", "100", "140")})]
+
+
+def _postsecondary_readiness() -> list[SourceSpec]:
+    return [_spec("postsecondary_readiness", lambda: {
+        "postsecondary_readiness_rate": C.range_guard(_n("postsecondary_rate"), 0, 100),
+        "postsecondary_readiness_rate_with_bonus": C.range_guard(_n("postsecondary_rate_with_bonus"), 0, 150)}, defaults=lambda: [], policy="always")]
+
+
 EXPORTS = {
+    "chronic_absenteeism": Export(ABSENTEEISM_HEADERS, _absenteeism),
+    "english_learner_progress": Export(ENGLISH_LEARNER_HEADERS, _english_learner),
+    "postsecondary_readiness": Export(POSTSECONDARY_READINESS_HEADERS, _postsecondary_readiness),
     "graduation_rates": Export(GRADUATION_HEADERS, _graduation),
     "postsecondary_enrollment": Export(POSTSECONDARY_ENROLLMENT_HEADERS, _postsecondary_enrollment),
     "cte_participation": Export(CTE_HEADERS, _cte),

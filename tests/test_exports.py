@@ -72,3 +72,26 @@ def test_suspension_formats(spark, tmp_path):
         "in_school_suspension_with_disabilities_count": 5, "in_school_suspension_total_count": 5}
     assert got["new.csv"]["out_of_school_suspension_multiple_with_disabilities_count"] == (None, "Y") and "out_of_school_suspension_count" not in got["new.csv"]
     assert old["out_of_school_suspension_count"] == (7.0, "N") and old["restraint_count"] == (1.0, "N") and "out_of_school_suspension_total_count" not in got["old.csv"]
+
+
+def test_absenteeism_names_by_grade(spark, tmp_path):
+    got = rows(spark, tmp_path, "chronic_absenteeism", {
+        "new.csv": f"{NEW_IDS},Grade,Chronically Absent Students,Students Enrolled 10 or More Days,Chronic Absenteeism Rate\n{ROW},All Grades,\"1,020\",4000,25.5\n",
+        "old.csv": f"{IDS},GRADE,SUPPRESSED,CHRONIC ABSENTEE COUNT,PERCENT CHRONICALLY ABSENT\n{ROW},Grade 3,Yes,*,*\n"})
+    assert got == {"new.csv": {"chronic_absenteeism_rate_all_grades": (25.5, "N"), "chronic_absenteeism_count_all_grades": (1020.0, "N"),
+                               "chronic_absenteeism_enrollment_all_grades": (4000.0, "N")},
+                   "old.csv": {f"chronic_absenteeism_{k}_grade_3": (None, "Y") for k in ("rate", "count", "enrollment")}}
+
+
+def test_english_learner_names_by_level(spark, tmp_path):
+    got = rows(spark, tmp_path, "english_learner_progress", {
+        "new.csv": f"{NEW_IDS},Level,Percentage Of Value Table Score Of 0,Percentage Of Value Table Score Of 140\n{ROW},ES,10,101\n",
+        "old.csv": f"{IDS},LEVEL,PERCENTAGE OF VALUE TABLE SCORE OF 60 AND 80\n{ROW},High School,7\n"})
+    assert got == {"new.csv": {"english_learner_score_0_elementary": (10.0, "N")}, "old.csv": {"english_learner_score_60_80_high": (7.0, "N")}}
+
+
+def test_readiness_gives_both_rates_always(spark, tmp_path):
+    got = rows(spark, tmp_path, "postsecondary_readiness", {"a.csv": f"{NEW_IDS},Postsecondary Rate,Postsecondary Rate With Bonus\n{ROW},88,130\n",
+                                                             "b.csv": f"{IDS},POSTSECONDARY RATE\n{ROW},*\n"})
+    both = "postsecondary_readiness_rate", "postsecondary_readiness_rate_with_bonus"
+    assert got == {"a.csv": dict(zip(both, [(88.0, "N"), (130.0, "N")])), "b.csv": dict(zip(both, [(None, "N"), (None, "N")]))}
