@@ -17,11 +17,19 @@
 4. In a bucket, full codes are compared; those within the radius are reranked
    with the original vectors in double precision.  A bucket returns at most
    ``k`` candidates a query, so no list of pairs is shuffled.
-5. Large buckets, on either side, are split: index rows and probes are dealt
+5. Where the tables stand depends on the radius alone (``buckets_met``).  While
+   a query probes less than one bucket in 2 ** SUB_BITS over all substrings
+   together, rows are shuffled by (substring, bucket) and only probed buckets
+   see a query.  Beyond that a row would meet a query more than once, and eight
+   copies of each vector would travel for it; rows then go once into parts,
+   each with the tables of its own rows, and query blocks visit the parts.
+   Both ways find the same rows.
+6. Large buckets, on either side, are split: index rows and probes are dealt
    into parts by hash and every two parts meet in a group of their own, so no
    group holds more than about ``PART`` of either, whatever the skew.  Copies
-   of one vector only make more parts.
-6. A query that is left with fewer than ``k`` candidates is run again with a
+   of one vector only make more parts.  Parts with tables of their own hold
+   about ``LOCAL_PART`` rows and meet blocks of about as many queries.
+7. A query that is left with fewer than ``k`` candidates is run again with a
    radius of all bits, which meets every row: the exact way for the rest.
 
 Cases: vectors that are null, empty, zero, or hold a null or a component that
@@ -54,6 +62,9 @@ PART = 2000
 ITERATIONS = 30
 SEED = 3
 PAIRS_AT_ONCE = 100_000
+LOCAL_PART = 8000
+SCORES_AT_ONCE = 4_000_000
+ROUNDING = 1e-9  # far above the error of a product of unit vectors in double precision
 
 
 class Code(NamedTuple):
@@ -157,6 +168,60 @@ def best_in_bucket(queries: pd.DataFrame, index: pd.DataFrame, sub: int, radii:
     return pd.concat(parts) if parts else pd.DataFrame({c: pd.Series(dtype=t) for c, t in (("row", "int64"), ("query_id", "int64"), ("vec_id", "int64"), ("score", "float64"))})
 
 
+def buckets_met(code: Code, radius: int) -> float:
+    """How many substring tables meet a query with a row, on average over rows with even bytes."""
+    return sum(len(flips(r)) for r in probe_radii(code, radius) if r >= 0) / 2 ** SUB_BITS
+
+
+def within(queries: np.ndarray, index: np.ndarray, radii: list[int], radius: int) -> np.ndarray:
+    """queries x index: which codes lie within ``radius``, found by probing the
+    tables of ``index``.  Codes are rows of bytes."""
+    padded = lambda c: np.ascontiguousarray(np.pad(c, ((0, 0), (0, -c.shape[1] % 8)))).view("uint64")
+    qw, xw = padded(queries), padded(index)
+    met = np.zeros((len(queries), len(index)), bool)
+    every = np.arange(2 ** SUB_BITS, dtype="uint8")
+    for sub, r in enumerate(radii):
+        if r < 0:
+            continue
+        order = np.argsort(index[:, sub], kind="stable")
+        ends = np.searchsorted(index[order, sub], np.arange(len(every) + 1))
+        probes = np.bitwise_count(queries[:, sub][None] ^ every[:, None]) <= r
+        for bucket in np.flatnonzero(np.diff(ends)):
+            rows, asking = order[ends[bucket]:ends[bucket + 1]], np.flatnonzero(probes[bucket])
+            if len(asking):
+                apart = sum(np.bitwise_count(qw[asking, w][:, None] ^ xw[rows, w][None]).astype("uint16") for w in range(qw.shape[1]))
+                met[np.ix_(asking, rows)] |= apart <= radius
+    return met
+
+
+def best_in_part(queries: pd.DataFrame, index: pd.DataFrame, radii: list[int], radius: int, k: int) -> pd.DataFrame:
+    """The ``k`` nearest index rows of each query among those within the radius.
+    One product of unit vectors finds the rows that can be among them, with all
+    that come near the last; their cosines decide."""
+    parts: list[pd.DataFrame] = []
+    if len(queries) and len(index):
+        pack = lambda s: np.frombuffer(b"".join(s), "uint8").reshape(len(s), -1)
+        qc, xc = pack(queries["q_code"]), pack(index["x_code"])
+        qv, xv = np.stack(queries["q_vector"].to_numpy()).astype("float64"), np.stack(index["x_vector"].to_numpy()).astype("float64")
+        q_id, x_id, q_row = queries["q_id"].to_numpy("int64"), index["x_id"].to_numpy("int64"), queries["q_row"].to_numpy("int64")
+        qu, xu = unit(qv), unit(xv)
+        step = max(1, SCORES_AT_ONCE // len(xc))
+        for first in range(0, len(qc), step):
+            asked = slice(first, first + step)
+            rough = qu[asked] @ xu.T
+            rough[~within(qc[asked], xc, radii, radius) | (q_id[asked, None] == x_id[None])] = -np.inf
+            last = np.partition(rough, -k, axis=1)[:, -k] if k < len(xc) else np.full(len(rough), -np.inf)
+            i, j = np.nonzero((rough >= last[:, None] - ROUNDING) & (rough > -np.inf))
+            i += first
+            score = np.concatenate([cosines(qv[i[a:a + PAIRS_AT_ONCE]], xv[j[a:a + PAIRS_AT_ONCE]]) for a in range(0, len(i), PAIRS_AT_ONCE)] or [np.empty(0)])
+            order = np.lexsort((x_id[j], -score, i))
+            i, j, score = i[order], j[order], score[order]
+            top = np.arange(len(i)) - np.searchsorted(i, i) < k
+            i, j, score = i[top], j[top], score[top]
+            parts.append(pd.DataFrame({"row": q_row[i], "query_id": q_id[i], "vec_id": x_id[j], "score": score}))
+    return pd.concat(parts) if parts else pd.DataFrame({c: pd.Series(dtype=t) for c, t in (("row", "int64"), ("query_id", "int64"), ("vec_id", "int64"), ("score", "float64"))})
+
+
 def usable(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
     """(id, vector) of the rows that take part."""
     ok = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vector", lambda x: x != 0)
@@ -193,6 +258,22 @@ def search(rows: DataFrame, code: Code, asked: DataFrame, radius: int, k: int, p
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(bucket, "row long, query_id long, vec_id long, score double")
 
 
+def search_parts(rows: DataFrame, code: Code, asked: DataFrame, radius: int, k: int, part: int) -> DataFrame:
+    """As ``search``, with the tables of a part of the rows built where the part is.  Counts both inputs."""
+    radii = probe_radii(code, radius)
+    x_parts, q_parts = (max(1, -(-df.count() // part)) for df in (rows, asked))
+    deal = lambda n: F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    own = lambda side: [F.col(c).alias(f"{side}_{c}") for c in ("row", "id", "code", "vector")]
+    left = asked.select(deal(q_parts).alias("q"), every(x_parts).alias("x"), *own("q"))
+    right = rows.select(deal(x_parts).alias("x"), every(q_parts).alias("q"), *own("x"))
+
+    def meeting(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
+        return best_in_part(queries, candidates, radii, radius, k)
+
+    return left.groupBy("q", "x").cogroup(right.groupBy("q", "x")).applyInPandas(meeting, "row long, query_id long, vec_id long, score double")
+
+
 def _probes(byte: Column, sub: int, radius: int) -> Column:
     """The buckets of a substring within ``radius`` bits of a query's."""
     return F.transform(F.array(*(F.lit(int(f)) for f in flips(radius))),
@@ -200,7 +281,7 @@ def _probes(byte: Column, sub: int, radius: int) -> Column:
 
 
 def nearest(spark: SparkSession, vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", every: int = QUERY_EVERY,
-            k: int = K, target: float = TARGET, sample: int = SAMPLE, part: int = PART) -> DataFrame:
+            k: int = K, target: float = TARGET, sample: int = SAMPLE, part: int = PART, local_part: int = LOCAL_PART) -> DataFrame:
     """query_id, rank, vec_id, score: the nearest rows found for every row whose id is divisible by ``every``."""
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = written(usable(vectors, vec_id, vector), "vectors")
@@ -218,10 +299,15 @@ def nearest(spark: SparkSession, vectors: DataFrame, vec_id: str = "vec_id", vec
 
     rows = written(rows.select(F.monotonically_increasing_id().alias("row"), "id", "vector", encode("vector").alias("code")), "codes")
     asked = rows.filter(F.col("id") % every == 0)
-    found = written(search(rows, code, asked, code.radius, k, part), "candidates")
+
+    def candidates(asking: DataFrame, radius: int) -> DataFrame:
+        local = buckets_met(code, radius) >= 1
+        return written(search_parts(rows, code, asking, radius, k, local_part) if local else search(rows, code, asking, radius, k, part), "candidates")
+
+    found = candidates(asked, code.radius)
     few = asked.join(found.groupBy("row").count().filter(F.col("count") >= k).select("row"), "row", "left_anti")
     if code.radius < code.bits and few.head(1):
-        wide = written(search(rows, code, written(few, "few"), code.bits, k, part), "candidates")
+        wide = candidates(written(few, "few"), code.bits)
         found = found.join(wide.select("row").distinct(), "row", "left_anti").unionByName(wide)
     order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

@@ -62,12 +62,39 @@ def test_search_within_radius_is_exact(spark):
     codes = ann.codes_of(code, np.array([v for _, v in rows]))
     df = spark.createDataFrame([(n, d, v, bytearray(c.tobytes())) for n, ((d, v), c) in enumerate(zip(rows, codes))], "row long, id long, vector array<double>, code binary")
     asked = df.filter("id % 7 = 0")
-    for part in (2000, 3):
-        got = ann.search(df, code, asked, 5, 10_000, part).collect()
+    for way, part in ((ann.search, 2000), (ann.search, 3), (ann.search_parts, 2000), (ann.search_parts, 30)):
+        got = way(df, code, asked, 5, 10_000, part).collect()
         want = {(i, rows[j][0]) for i in range(400) for j in range(400) if rows[i][0] % 7 == 0 and i != j and np.bitwise_count(codes[i] ^ codes[j]).sum() <= 5}
         assert len(got) == len(want) and {(r["row"], r["vec_id"]) for r in got} == want
 
 
+@pytest.mark.parametrize("bits,radius", [(8, 3), (16, 5), (64, 29), (72, 20)])
+def test_tables_of_a_part_find_every_code_within_the_radius(bits, radius):
+    rnd = np.random.default_rng(bits)
+    code = ann.Code(np.zeros(bits), np.eye(bits), radius)
+    a, b = rnd.integers(0, 256, (30, bits // 8), "uint8"), rnd.integers(0, 256, (500, bits // 8), "uint8")
+    assert (ann.within(a, b, ann.probe_radii(code, radius), radius) == (np.bitwise_count(a[:, None] ^ b[None]).sum(2) <= radius)).all()
+
+
+def test_both_places_of_the_tables_return_the_same_nearest(spark):
+    rnd = np.random.default_rng(4)
+    base = rnd.normal(size=(300, 32))
+    rows = [(int(i), base[i % 300].tolist()) for i in range(900)] + [(9, base[5].tolist())]
+    codes_ = ann.learn(np.array([v for _, v in rows]))
+    packed = ann.codes_of(codes_, np.array([v for _, v in rows]))
+    df = spark.createDataFrame([(n, d, v, bytearray(c.tobytes())) for n, ((d, v), c) in enumerate(zip(rows, packed))], "row long, id long, vector array<double>, code binary")
+    asked = df.filter("id % 9 = 0")
+
+    def best(found):
+        by = {}
+        for r in found.collect():
+            by.setdefault(r["row"], []).append((-r["score"], r["vec_id"]))
+        return {row: sorted(own)[:5] for row, own in by.items()}
+
+    for radius in (6, 20, 32):
+        assert best(ann.search(df, codes_, asked, radius, 5, 40)) == best(ann.search_parts(df, codes_, asked, radius, 5, 70))
+
+
 def test_scores_are_exact():
     a = np.array([[3.0, 4.0], [1e200, 1e200], [1e-200, 0.0], [1.0, 1.0]])
     b = np.array([[4.0, 3.0], [1e-180, 1e-180], [1e300, 0.0], [-1.0, -1.0]])
@@ -80,7 +107,7 @@ def test_bad_vectors_ties_and_copies(spark):
     good += [(1000 + i, good[50][1]) for i in range(60)] + [(50, good[7][1])]
     bad = [(None, good[0][1]), (200, None), (250, []), (300, [0.0] * 12), (350, [None] + good[0][1][1:]), (400, [math.nan] + good[0][1][1:]), (450, [math.inf] + good[0][1][1:]), (500, [1.0])]
     df = spark.createDataFrame([(d, v, 1.0, 2) for d, v in good + bad], "vec_id long, embedding array<double>, score double, row int")
-    got = ann.nearest(spark, df, sample=100, part=7).collect()
+    got = ann.nearest(spark, df, sample=100, part=7, local_part=9).collect()
     want = brute(good)
     by = {}
     for r in got:
