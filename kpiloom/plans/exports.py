@@ -22,6 +22,7 @@ from kpiloom.functions import labels as L
 from kpiloom.operators.columns import COMMON_HEADERS, rename_columns
 from kpiloom.operators.demographics import DemographicDims
 from kpiloom.operators.longform import Entry
+from kpiloom.plans.entries import assessment_defaults, assessment_entries, kindergarten_defaults, kindergarten_entries
 from kpiloom.plans.specs import SourceSpec, run_spec
 from kpiloom.schema import ID_PASSTHROUGH
 from kpiloom.sources import csv_io as IO
@@ -112,6 +113,26 @@ POSTSECONDARY_READINESS_HEADERS = {
     "postsecondary_rate": ["Postsecondary Rate", "POSTSECONDARY RATE"],
     "postsecondary_rate_with_bonus": ["Postsecondary Rate With Bonus", "POSTSECONDARY RATE WITH BONUS"],
 }
+KINDERGARTEN_HEADERS = {
+    "total_percent_ready": ["Total Percent Ready", "TOTAL PERCENT READY"],
+    "ready_with_interventions_count": ["Ready With Interventions"],
+    "ready_count": ["Ready"],
+    "ready_with_enrichments_count": ["Ready With Enrichments"],
+    "total_ready_count": ["Total Ready"],
+    "number_tested": ["Number Tested", "NUMBER TESTED"],
+    "prior_setting": ["Prior Setting", "PRIOR SETTING"],
+}
+ASSESSMENT_HEADERS = {
+    "level": ["Level", "LEVEL"],
+    "subject": ["Subject", "SUBJECT"],
+    "grade": ["Grade", "GRADE"],
+    "novice": ["Novice", "NOVICE"],
+    "apprentice": ["Apprentice", "APPRENTICE"],
+    "proficient": ["Proficient", "PROFICIENT"],
+    "distinguished": ["Distinguished", "DISTINGUISHED"],
+    "proficient_distinguished": ["Proficient / Distinguished", "PROFICIENT/DISTINGUISHED"],
+    "content_index": ["Content Index", "CONTENT INDEX"],
+}
 # Output metric names, where they are not the canonical column's.
 GRADUATION_METRICS = {y: {f"graduation_rate_{y}_year": f"graduation_rate_{y}_year", f"graduation_count_{y}_year": f"grads_{y}_year_cohort",
                           f"graduation_total_{y}_year": f"students_{y}_year_cohort"} for y in (4, 5)}
@@ -256,7 +277,51 @@ def _postsecondary_readiness() -> list[SourceSpec]:
         "postsecondary_readiness_rate_with_bonus": C.range_guard(_n("postsecondary_rate_with_bonus"), 0, 150)}, defaults=lambda: [], policy="always")]
 
 
+def delivers(*spellings: str) -> Column:
+    """Whether the row's file has one of the columns."""
+    return F.exists("_source_header", lambda h: h.isin(*spellings))
+
+
+def _kindergarten() -> list[SourceSpec]:
+    """A row is in the count format if all three parts are numbers.  The total ready is
+    a rate, with a rate's bounds, only in rows of the percent format."""
+    parts = {"rwi": "ready_with_interventions_count", "rdy": "ready_count", "rwe": "ready_with_enrichments_count"}
+
+    def measures() -> dict[str, Column]:
+        own = {k: C.range_guard(_n(c), 0) for k, c in parts.items()}
+        tested = own["rwi"] + own["rdy"] + own["rwe"]
+        counts = tested.isNotNull()
+        prior, total = C.slugify("prior_setting"), _n("total_ready_count")
+        return {"count_format": counts, **own, "tested": tested, "prior_slug": prior,
+                "percent_file": delivers(*KINDERGARTEN_HEADERS["total_percent_ready"], *KINDERGARTEN_HEADERS["number_tested"]),
+                "prior_all": F.col("prior_setting").isNull() | (prior == "all_students"), "demo_all": F.lower(F.trim("demographic")) == "all students",
+                "ready": F.when(counts, C.range_guard(total, 0)), "number_tested": C.range_guard(_n("number_tested"), 0),
+                "pct": F.when(~counts, F.coalesce(C.range_guard(_n("total_percent_ready"), 0, 100), C.range_guard(total, 0, 100)))}
+
+    def flag() -> Column:
+        m = measures()
+        return C.override_suppression(C.suppression_flag("suppressed"), [F.coalesce(m["pct"], m["tested"], m["ready"])])
+
+    return [_spec("kindergarten_readiness", measures, kindergarten_entries, kindergarten_defaults, flag)]
+
+
+def _assessment() -> list[SourceSpec]:
+    """By grade and by level; a row without a level has its grade's."""
+    rates = {"novice_rate": "novice", "apprentice_rate": "apprentice", "proficient_rate": "proficient", "distinguished_rate": "distinguished",
+             "proficient_distinguished_rate": "proficient_distinguished"}
+
+    def measures() -> dict[str, Column]:
+        grade, level = L.normalize_grade("grade"), L.normalize_level("level", None)
+        return {"subject_n": L.normalize_subject("subject"), "grade_n": grade,
+                "level_n": F.when((level == "all") & (grade != "all_grades"), L.grade_to_level(grade)).otherwise(level),
+                "content_index_file": delivers(*ASSESSMENT_HEADERS["content_index"]),
+                **{k: C.range_guard(_n(c), 0, 100) for k, c in rates.items()}, "content_index_score": C.range_guard(_n("content_index"), 0)}
+    return [_spec("kentucky_summative_assessment", measures, assessment_entries, lambda: assessment_defaults(F.col("content_index_file")))]
+
+
 EXPORTS = {
+    "kindergarten_readiness": Export(KINDERGARTEN_HEADERS, _kindergarten),
+    "kentucky_summative_assessment": Export(ASSESSMENT_HEADERS, _assessment),
     "chronic_absenteeism": Export(ABSENTEEISM_HEADERS, _absenteeism),
     "english_learner_progress": Export(ENGLISH_LEARNER_HEADERS, _english_learner),
     "postsecondary_readiness": Export(POSTSECONDARY_READINESS_HEADERS, _postsecondary_readiness),

@@ -38,6 +38,22 @@ def _share(part):
     return F.when(total > 0, F.bround(F.try_divide(part, total) * 100, 1))
 
 
+def _prior():
+    return F.when(F.col("school_code").cast("bigint") % 2 == 1, "Child Care").otherwise("All Students")
+
+
+def _ready():
+    return C.parse_number("a_count") + C.parse_number("n_count")
+
+
+def _proficient_distinguished():
+    return C.parse_number("proficient") + C.parse_number("distinguished")
+
+
+def _content_index():
+    return C.parse_number("apprentice") * 0.5 + C.parse_number("proficient") + C.parse_number("distinguished") * 1.25
+
+
 # canonical column of the source -> column of the fixture, or a function that gives one; where the
 # historical files deliver other columns, two such lists
 BINDINGS = {
@@ -58,13 +74,20 @@ BINDINGS = {
     "cte_participation": {"suppressed": "suppressed", "cte_eligible_completer_count": "a_count", "cte_completion_rate": "n_count",
                           "cte_participation_rate": lambda: F.when(F.col("school_code").cast("bigint") % 2 == 0, F.col("r_rate")).otherwise(F.col("qty_text")),
                           "total_student_count": lambda: C.parse_number("qty_text") * 2},
+    "kindergarten_readiness": (
+        {"suppressed": "suppressed", "prior_setting": _prior, "total_percent_ready": "r_rate", "number_tested": "total_count"},
+        {"suppressed": "suppressed", "prior_setting": _prior, "ready_with_interventions_count": "a_count", "ready_count": "n_count",
+         "ready_with_enrichments_count": "r_count", "total_ready_count": _ready}),
+    "kentucky_summative_assessment": {"suppressed": "suppressed", "subject": "subject", "grade": "grade",
+                                      **{c: c for c in ("novice", "apprentice", "proficient", "distinguished")},
+                                      "proficient_distinguished": _proficient_distinguished, "content_index": _content_index},
     "out_of_school_suspension": (
         {"out_of_school_suspension": "total_count", **{c: f"part_{i}" for i, c in enumerate(SUSPENSION_BOTH, 1)}},
         {"suppressed": "suppressed", "single_out_of_school_with_disabilities": "a_count", "single_out_of_school_without_disabilities": "n_count",
          "multiple_out_of_school_with_disabilities": "r_count", "multiple_out_of_school_without_disabilities": "part_0",
          **{c: f"part_{i}" for i, c in enumerate(SUSPENSION_BOTH, 1)}}),
 }
-FIXTURES = {"english_learner_progress": fixtures.bands}
+FIXTURES = {"english_learner_progress": fixtures.bands, "kentucky_summative_assessment": fixtures.bands}
 
 
 def write_exports(spark, sf: str, source: str, stem: str) -> str:
@@ -99,3 +122,5 @@ _register("export_postsec_readiness", "postsecondary_readiness", "job_postsec_re
 _register("export_postsec_enrollment", "postsecondary_enrollment", "job_postsec_enrollment")
 _register("export_cte", "cte_participation", "job_cte")
 _register("export_suspension", "out_of_school_suspension", "job_suspension")
+_register("export_kindergarten", "kindergarten_readiness", "job_kindergarten")
+_register("export_assessment", "kentucky_summative_assessment", "job_assessment")

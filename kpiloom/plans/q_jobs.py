@@ -18,6 +18,7 @@ from kpiloom.functions import labels as L
 from kpiloom.operators.longform import Entry
 from kpiloom.plans import sqltext as S
 from kpiloom.plans.dims import W_DIMS
+from kpiloom.plans.entries import assessment_defaults, assessment_entries, kindergarten_defaults, kindergarten_entries
 from kpiloom.plans.oracle_fixtures import define, pipeline
 from kpiloom.plans.q_long import always_spec, _ae, BANDS, B_IDS
 from kpiloom.plans.q_normalize import (LEVEL_TEXT_SQL, level_text, sql_grade, sql_grade_to_level, sql_level,
@@ -129,7 +130,7 @@ def _kg_prep(w):
     counts = F.substring("school_year", 5, 4) >= "1998"
     # only the rate, the total ready or all three parts count as data, not the number tested
     flag = C.override_suppression(_flag(), [F.when(counts, rwi + r).otherwise(C.range_guard(n("r_rate"), 0, 100))])
-    return w.select(*W_IDS, flag.alias("suppressed"), counts.alias("count_format"),
+    return w.select(*W_IDS, flag.alias("suppressed"), counts.alias("count_format"), (~counts).alias("percent_file"),
                     (C.slugify(prior) == "all_students").alias("prior_all"), C.slugify(prior).alias("prior_slug"),
                     (F.lower(F.trim("demographic")) == "all students").alias("demo_all"),
                     rwi.alias("rwi"), r.alias("rdy"), rwe.alias("rwe"), (rwi + r + rwe).alias("tested"),
@@ -137,45 +138,12 @@ def _kg_prep(w):
                     n("total_count").alias("number_tested"))
 
 
-def _kg_entries():
-    c, a, d = F.col("count_format"), F.col("prior_all"), ~F.col("prior_all") & F.col("demo_all")
-    p = ~c
-    tested, ready, pct, tot = F.col("tested"), F.col("ready"), F.col("pct"), F.col("number_tested")
-    pos = tested > 0
-    slug = F.col("prior_slug")
-    est = D.count_from_rate(pct, tot)
-    e = []
-    for name, col in [("ready_with_interventions", "rwi"), ("ready", "rdy"), ("ready_with_enrichments", "rwe")]:
-        e.append(Entry(f"kindergarten_{name}_count", F.col(col), c & a))
-        e.append(Entry(f"kindergarten_{name}_rate", F.try_divide(F.col(col), tested) * 100, c & a & pos))
-    e += [Entry("kindergarten_readiness_count", ready, c & a & ready.isNotNull()),
-          Entry("kindergarten_readiness_total", tested, c & a & ready.isNotNull()),
-          Entry("kindergarten_readiness_rate", F.try_divide(ready, tested) * 100, c & a & ready.isNotNull() & pos),
-          Entry(F.concat(F.lit("kindergarten_"), slug, F.lit("_count")), ready, c & d & ready.isNotNull()),
-          Entry(F.concat(F.lit("kindergarten_"), slug, F.lit("_rate")), F.try_divide(ready, tested) * 100,
-                c & d & ready.isNotNull() & pos),
-          Entry("kindergarten_readiness_rate", pct, p & a & pct.isNotNull()),
-          Entry("kindergarten_readiness_total", tot, p & a & tot.isNotNull()),
-          Entry("kindergarten_readiness_count", est, p & a & tot.isNotNull() & pct.isNotNull()),
-          Entry(F.concat(F.lit("kindergarten_"), slug, F.lit("_rate")), pct, p & d & tot.isNotNull() & pct.isNotNull()),
-          Entry(F.concat(F.lit("kindergarten_"), slug, F.lit("_count")), est, p & d & tot.isNotNull() & pct.isNotNull())]
-    return e
-
-
-_KG_DEFAULTS = ["kindergarten_readiness_rate", "kindergarten_readiness_count", "kindergarten_readiness_total",
-                *(f"kindergarten_{p}_{k}" for p in ("ready_with_interventions", "ready", "ready_with_enrichments") for k in ("count", "rate"))]
 _KG_ORACLE_DEFAULTS = ["kindergarten_readiness_rate", "kindergarten_readiness_count", "kindergarten_readiness_total",
                        "kindergarten_ready_with_interventions_count", "kindergarten_ready_with_interventions_rate",
                        "kindergarten_ready_count", "kindergarten_ready_rate",
                        "kindergarten_ready_with_enrichments_count", "kindergarten_ready_with_enrichments_rate"]
 
 
-def _kg_defaults():
-    none, prior = F.lit(None).cast("double"), ~F.col("count_format") & ~F.col("prior_all") & F.col("demo_all")
-    return [*(Entry(m, none, F.lit(True)) for m in _KG_DEFAULTS),
-            *(Entry(F.concat(F.lit("kindergarten_"), F.col("prior_slug"), F.lit(f"_{k}")), none, prior) for k in ("count", "rate"))]
-
-
 _kg_prior = f"CASE WHEN {SUPPK_SQL} % 2 = 1 THEN 'Child Care' ELSE 'All Students' END"
 _kg_has = (f"CASE WHEN substr(school_year, 5, 4) >= '1998' THEN {ns('a_count')} + {ns('n_count')} "
            f"ELSE {S.guard(ns('r_rate'), 0, 100)} END IS NOT NULL")
@@ -191,7 +159,7 @@ _P = "(NOT count_format)"
 _EST = "round_even(pct / 100 * number_tested, 0)"
 _kg_sql_entries = []
 for _nm, _col in [("ready_with_interventions", "rwi"), ("ready", "rdy"), ("ready_with_enrichments", "rwe")]:
-    _kg_sql_entries.append((f"'kindergarten_{_nm}_count'", _col, f"{_C} AND {_A}"))
+    _kg_sql_entries.append((f"'kindergarten_{_nm}_count'", _col, f"{_C} AND {_A} AND tested IS NOT NULL"))
     _kg_sql_entries.append((f"'kindergarten_{_nm}_rate'", f"{_col} / tested * 100", f"{_C} AND {_A} AND tested > 0"))
 _kg_sql_entries += [
     ("'kindergarten_readiness_count'", "ready", f"{_C} AND {_A} AND ready IS NOT NULL"),
@@ -204,8 +172,7 @@ _kg_sql_entries += [
     ("'kindergarten_readiness_count'", _EST, f"{_P} AND {_A} AND number_tested IS NOT NULL AND pct IS NOT NULL"),
     ("'kindergarten_' || prior_slug || '_rate'", "pct", f"{_P} AND {_D} AND number_tested IS NOT NULL AND pct IS NOT NULL"),
     ("'kindergarten_' || prior_slug || '_count'", _EST, f"{_P} AND {_D} AND number_tested IS NOT NULL AND pct IS NOT NULL")]
-_job("job_kindergarten", "W", _kg_prep, _kg_entries,
-     _kg_defaults, "row",
+_job("job_kindergarten", "W", _kg_prep, kindergarten_entries, kindergarten_defaults, "row",
      _kg_prep_sql, W_IDS + ["suppressed"],
      ["count_format", "prior_all", "prior_slug", "demo_all", "rwi", "rdy", "rwe", "tested", "ready", "pct", "number_tested"],
      _kg_sql_entries, [*((f"'{m}'",) for m in _KG_ORACLE_DEFAULTS),
@@ -318,7 +285,6 @@ def job_postsec_readiness_q(spark, sf):
 
 
 # 8. assessment: bands, combined, content index x grade and level ------------------
-_KSA = "kentucky_summative_assessment_"
 _KSA_RATES = {"novice_rate": "novice", "apprentice_rate": "apprentice", "proficient_rate": "proficient",
               "distinguished_rate": "distinguished"}
 
@@ -335,28 +301,6 @@ def _ksa_prep(b):
                     index.alias("content_index_score"))
 
 
-_KSA_NAMES = [*_KSA_RATES, "proficient_distinguished_rate", "content_index_score"]
-
-
-def _ksa_entries():
-    subj, grade, level = F.col("subject_n"), F.col("grade_n"), F.col("level_n")
-    out = []
-    for k in _KSA_NAMES:
-        v = F.col(k)
-        out.append(Entry(F.concat(F.lit(_KSA), subj, F.lit(f"_{k}_"), grade), v, v.isNotNull() & (grade != "all_grades")))
-        out.append(Entry(F.concat(F.lit(_KSA), subj, F.lit(f"_{k}_"), level), v, v.isNotNull() & (level != "all")))
-    return out
-
-
-def _ksa_defaults():
-    none, subj, grade, level = F.lit(None).cast("double"), F.col("subject_n"), F.col("grade_n"), F.col("level_n")
-    out = []
-    for k in _KSA_NAMES:
-        out.append(Entry(F.concat(F.lit(_KSA), subj, F.lit(f"_{k}_"), grade), none, grade != "all_grades"))
-        out.append(Entry(F.concat(F.lit(_KSA), subj, F.lit(f"_{k}_"), level), none, level != "all"))
-    return out
-
-
 _kg = sql_grade("grade")
 _ksa_b = {k: S.guard(ns(s), 0, 100) for k, s in _KSA_RATES.items()}
 _ksa_prep_sql = (f"{', '.join(B_IDS)}, {FLAG_SQL} AS suppressed, {sql_subject('subject')} AS subject_n, {_kg} AS grade_n, "
@@ -364,14 +308,15 @@ _ksa_prep_sql = (f"{', '.join(B_IDS)}, {FLAG_SQL} AS suppressed, {sql_subject('s
                  + ", ".join(f"{v} AS {k}" for k, v in _ksa_b.items())
                  + f", {S.guard(_ksa_b['proficient_rate'] + ' + ' + _ksa_b['distinguished_rate'], 0, 100)} AS proficient_distinguished_rate, "
                  f"{S.guard(_ksa_b['apprentice_rate'] + ' * 0.5 + ' + _ksa_b['proficient_rate'] + ' + ' + _ksa_b['distinguished_rate'] + ' * 1.25', 0)} AS content_index_score")
+_KSA_ORACLE = ["novice_rate", "apprentice_rate", "proficient_rate", "distinguished_rate", "proficient_distinguished_rate", "content_index_score"]
 _ksa_sql_entries = []
-for _k in _KSA_NAMES:
-    _ksa_sql_entries.append((f"'{_KSA}' || subject_n || '_{_k}_' || grade_n", _k, f"{_k} IS NOT NULL AND grade_n <> 'all_grades'"))
-    _ksa_sql_entries.append((f"'{_KSA}' || subject_n || '_{_k}_' || level_n", _k, f"{_k} IS NOT NULL AND level_n <> 'all'"))
-_job("job_assessment", "B", _ksa_prep, _ksa_entries, _ksa_defaults, "row", _ksa_prep_sql, B_IDS + ["suppressed"],
-     ["subject_n", "grade_n", "level_n", *_KSA_NAMES], _ksa_sql_entries,
+for _k in _KSA_ORACLE:
+    _ksa_sql_entries.append((f"'kentucky_summative_assessment_' || subject_n || '_{_k}_' || grade_n", _k, f"{_k} IS NOT NULL AND grade_n <> 'all_grades'"))
+    _ksa_sql_entries.append((f"'kentucky_summative_assessment_' || subject_n || '_{_k}_' || level_n", _k, f"{_k} IS NOT NULL AND level_n <> 'all'"))
+_job("job_assessment", "B", _ksa_prep, assessment_entries, assessment_defaults, "row", _ksa_prep_sql, B_IDS + ["suppressed"],
+     ["subject_n", "grade_n", "level_n", *_KSA_ORACLE], _ksa_sql_entries,
      [(f"'kentucky_summative_assessment_' || subject_n || '_{k}_' || {p}_n", f"{p}_n <> '{none}'")
-      for k in ("novice_rate", "apprentice_rate", "proficient_rate", "distinguished_rate", "proficient_distinguished_rate", "content_index_score")
+      for k in _KSA_ORACLE
       for p, none in (("grade", "all_grades"), ("level", "all"))])
 
 

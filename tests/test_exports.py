@@ -95,3 +95,30 @@ def test_readiness_gives_both_rates_always(spark, tmp_path):
                                                              "b.csv": f"{IDS},POSTSECONDARY RATE\n{ROW},*\n"})
     both = "postsecondary_readiness_rate", "postsecondary_readiness_rate_with_bonus"
     assert got == {"a.csv": dict(zip(both, [(88.0, "N"), (130.0, "N")])), "b.csv": dict(zip(both, [(None, "N"), (None, "N")]))}
+
+
+def test_kindergarten_formats(spark, tmp_path):
+    got = rows(spark, tmp_path, "kindergarten_readiness", {
+        "counts.csv": f"{NEW_IDS},Suppressed,Prior Setting,Ready With Interventions,Ready,Ready With Enrichments,Total Ready\n{ROW},Yes,All Students,50,30,20,\"1,050\"\n",
+        "hidden.csv": f"{NEW_IDS},Suppressed,Prior Setting,Ready With Interventions,Ready,Ready With Enrichments,Total Ready\n{ROW},Yes,Child Care,*,*,*,*\n",
+        "percent.csv": f"{IDS},SUPPRESSED,PRIOR SETTING,TOTAL PERCENT READY,NUMBER TESTED\n{ROW},N,,45,50\n",
+        "prior.csv": f"{IDS},SUPPRESSED,PRIOR SETTING,TOTAL PERCENT READY,NUMBER TESTED\n{ROW},Y,Head Start/State,*,*\n",
+        "rate.csv": f"{NEW_IDS},Prior Setting,Total Ready,Number Tested\n{ROW},Child Care,60,10\n"})
+    assert got["counts.csv"] == {f"kindergarten_{k}": (v, "N") for k, v in {
+        "ready_with_interventions_count": 50, "ready_count": 30, "ready_with_enrichments_count": 20, "ready_with_interventions_rate": 50,
+        "ready_rate": 30, "ready_with_enrichments_rate": 20, "readiness_count": 1050, "readiness_total": 100, "readiness_rate": 1050}.items()}
+    assert len(got["hidden.csv"]) == 9 and set(got["hidden.csv"].values()) == {(None, "Y")} and "kindergarten_child_care_count" not in got["hidden.csv"]
+    assert got["percent.csv"] == {"kindergarten_readiness_rate": (45, "N"), "kindergarten_readiness_total": (50, "N"), "kindergarten_readiness_count": (22, "N")}
+    assert len(got["prior.csv"]) == 11 and got["prior.csv"]["kindergarten_head_start_state_rate"] == (None, "Y")
+    assert got["rate.csv"] == {"kindergarten_child_care_rate": (60, "N"), "kindergarten_child_care_count": (6, "N")}
+
+
+def test_assessment_by_grade_and_level(spark, tmp_path):
+    got = rows(spark, tmp_path, "kentucky_summative_assessment", {
+        "new.csv": f"{NEW_IDS},Grade,Subject,Suppressed,Novice,Proficient / Distinguished,Content Index\n{ROW},03,MA,No,12,101,130.5\n",
+        "old.csv": f"{IDS},LEVEL,SUBJECT,SUPPRESSED,NOVICE,APPRENTICE\n{ROW},MS,Social Studies,N,7,9\n",
+        "hidden.csv": f"{NEW_IDS},Level,Grade,Subject,Suppressed,Novice\n{ROW},High School,,RD,Yes,*\n"})
+    own = {f: {k.removeprefix("kentucky_summative_assessment_"): v for k, v in r.items()} for f, r in got.items()}
+    assert own["new.csv"] == {f"math_{n}_{p}": (v, "N") for p in ("grade_3", "elementary") for n, v in (("novice_rate", 12), ("content_index_score", 130.5))}
+    assert own["old.csv"] == {"social_studies_novice_rate_middle": (7, "N"), "social_studies_apprentice_rate_middle": (9, "N")}
+    assert own["hidden.csv"] == {f"reading_{n}_rate_high": (None, "Y") for n in ("novice", "apprentice", "proficient", "distinguished", "proficient_distinguished")}
