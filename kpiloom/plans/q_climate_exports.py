@@ -13,7 +13,7 @@ from kpiloom.plans.q_analytics import dedupe_sql
 from kpiloom.plans.q_exports import CSV
 from kpiloom.plans.registry import register
 from kpiloom.plans.wide_kpi import W_IDS
-from kpiloom.session import materialized, scratch_path
+from kpiloom.session import scratch_path
 from kpiloom.sources import fixtures
 from kpiloom.sources.tables import Tables
 
@@ -35,7 +35,7 @@ def write_climate_exports(spark, sf: str) -> str:
     write(fixtures.survey(t), {c: c for c in [*ids, "question_type", "question_index"]}, False, F.concat(F.lit("survey_"), year, F.lit(".csv")))
     answers = {c: f"policy_{i}" for i, c in enumerate(X.POLICY_HEADERS, 1)}
     write(fixtures.policies(t), {"school_code": "school_code", "district_name": "district_name", **answers}, False, F.lit("precautionary_measures_2024.csv"))
-    w = materialized(fixtures.wide_parts(t).select(*W_IDS, "suppressed", "a_rate", "r_rate"), "climate-scores")
+    w = fixtures.wide_parts(t, [*W_IDS, "suppressed", "a_rate", "r_rate"])
     own = {c: c for c in [*W_IDS, "suppressed"]}
     write(w.filter(year < "1998"), {**own, "climate_safety_combined_rate": "r_rate"}, True, F.concat(F.lit("accountability_"), year, F.lit(".csv")))
     write(w.filter(year >= "1998"), {**own, "climate_index": "a_rate", "safety_index": "r_rate"}, False, F.concat(F.lit("index_scores_"), year, F.lit(".csv")))

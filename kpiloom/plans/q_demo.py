@@ -10,7 +10,7 @@ from kpiloom.operators.longform import with_kpi_ids
 from kpiloom.plans.dims import W_DIMS
 from kpiloom.plans.oracle_fixtures import ctes, define
 from kpiloom.plans.registry import register
-from kpiloom.plans.wide_kpi import kpi_long, typed_wide, wide_source_file
+from kpiloom.plans.wide_kpi import kpi_from_typed, kpi_long, typed_wide, wide_source_file
 from kpiloom.plans import sqltext as S
 from kpiloom.plans import state_labels as L
 from kpiloom.session import scratch_path
@@ -19,7 +19,10 @@ from kpiloom.sources.tables import Tables
 
 
 def mapped_w(spark, sf):
-    tw = typed_wide(fixtures.wide(Tables(spark, sf)))
+    return mapped(typed_wide(fixtures.wide(Tables(spark, sf))))
+
+
+def mapped(tw):
     return with_kpi_ids(tw, W_DIMS, source_file=wide_source_file())
 
 
@@ -71,9 +74,9 @@ SELECT 'files' AS section, CAST(NULL AS VARCHAR) AS year, source_file AS item, c
 UNION ALL SELECT 'mapping_types', NULL, mapping_type, count(*) FROM fx_wid GROUP BY mapping_type
 UNION ALL SELECT 'coverage', year, status, count(*) FROM cov GROUP BY year, status""")
 def mapping_report_q(spark, sf):
-    t = Tables(spark, sf)
-    cov = DM.demographic_coverage(kpi_long(t), W_DIMS)
-    return DM.mapping_report(mapped_w(spark, sf), cov)
+    tw = typed_wide(fixtures.wide(Tables(spark, sf)))
+    cov = DM.demographic_coverage(kpi_from_typed(tw), W_DIMS)
+    return DM.mapping_report(mapped(tw), cov)
 
 
 # --- the state's labels as a stored table of rules ---------------------------------
@@ -105,8 +108,8 @@ def demographic_rules_q(spark, sf):
     pick = (school * 13 + F.substring("school_year", 5, 4).cast("bigint") * 5 + F.length(F.coalesce("demographic", F.lit("")))) % (len(SPELLINGS) + 1)
     spelled = fixtures.wide(Tables(spark, sf)).select((2019 + school % 7).cast("string").alias("year"),
                                                       F.get(F.array(*map(F.lit, SPELLINGS)), pick.cast("int")).alias("demographic"))
-    mapped = map_by_rules(spelled, read_rules(spark, path))
-    return mapped.groupBy("year", "demographic", "student_group", "mapping_type").agg(F.count(F.lit(1)).alias("n_rows"))
+    ruled = map_by_rules(spelled, read_rules(spark, path))
+    return ruled.groupBy("year", "demographic", "student_group", "mapping_type").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 define("state_k", "SELECT DISTINCT year, demographic AS student_group FROM spelled WHERE COALESCE(demographic, '') <> ''", ["spelled"])

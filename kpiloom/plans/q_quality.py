@@ -13,7 +13,7 @@ from kpiloom.plans.dims import W_DIMS, W_YEARS
 from kpiloom.plans.oracle_fixtures import ctes, define, kpi_cols
 from kpiloom.plans.q_analytics import events_job
 from kpiloom.plans.registry import register
-from kpiloom.plans.wide_kpi import W_MEASURES, kpi_long, wide_source_file, with_second_delivery
+from kpiloom.plans.wide_kpi import W_MEASURES, kpi_from_typed, kpi_long, typed_wide, wide_source_file, with_second_delivery
 from kpiloom.schema import LOGICAL_KEY
 from kpiloom.session import materialized
 from kpiloom.sources import fixtures
@@ -44,7 +44,12 @@ FROM fx_k""", ["fx_k"])
 
 
 def K(spark, sf):
-    return planted(kpi_long(Tables(spark, sf)))
+    return K_of(fixtures.wide(Tables(spark, sf)))
+
+
+def K_of(w):
+    """K with its violations from a W that the caller reads too."""
+    return planted(kpi_from_typed(typed_wide(w)))
 
 
 def _kind(m="metric"):
@@ -171,7 +176,7 @@ def dq_source_coverage_q(spark, sf):
     w = fixtures.wide(Tables(spark, sf))
     inputs = w.select(wide_source_file().alias("source_file")).unionByName(
         local_table(spark, [(PLANTED_EMPTY_FILE,)], "source_file string"))
-    return Q.dq_source_coverage(inputs, K(spark, sf))
+    return Q.dq_source_coverage(inputs, K_of(w))
 
 
 # Fixed values (fixture): groups every year must carry.
@@ -207,14 +212,14 @@ FROM dq_sample s LEFT JOIN kdq k ON s.year = k.year AND s.school_id = k.school_i
  AND s.metric = k.metric AND s.source_file = k.source_file GROUP BY s.source_file""")
 def dq_sample_reconcile_q(spark, sf):
     from kpiloom.operators.longform import skip_aggregate_rows
-    from kpiloom.plans.wide_kpi import typed_wide
-    tw = typed_wide(fixtures.wide(Tables(spark, sf)))
+    w = fixtures.wide(Tables(spark, sf))
+    tw = typed_wide(w)
     ids = with_kpi_ids(skip_aggregate_rows(tw), W_DIMS, source_file=wide_source_file())
     rows = ids.filter((F.col("suppressed") == "N") & F.col("school_id").isNotNull()) \
               .select("year", "school_id", "student_group", F.lit("r_count").alias("metric"), "source_file",
                       F.col("r_count").alias("value"))
     sample = Q.sample_per_file(rows, SAMPLE_N, ["year", "school_id", "student_group"])
-    return Q.dq_sample_reconcile(sample, K(spark, sf), ["year", "school_id", "student_group", "metric", "source_file"])
+    return Q.dq_sample_reconcile(sample, K_of(w), ["year", "school_id", "student_group", "metric", "source_file"])
 
 
 # Fixed values (fixture): complementary group pairs and groups that must not appear.
