@@ -182,7 +182,8 @@ def sample_per_file(df: DataFrame, n: int, key_cols: list[str], file_col: str =
     rows = rows.withColumns({"_range": F.substring("_h", 1, RANGE_DIGITS), "_file": F.when(F.col(file_col).isNull(), F.lit("")).otherwise(F.concat(F.lit("/"), F.col(file_col)))})
     counts = rows.groupBy("_file", "_range").agg(F.count(F.lit(1)).alias("_rows"))
     before = F.coalesce(F.sum("_rows").over(Window.partitionBy("_file").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    taken = counts.withColumn("_left", F.lit(n) - before).filter("_left > 0")
+    # stored, so that its size is known and the rows are not shuffled to meet a few ranges
+    taken = materialized(counts.withColumn("_left", F.lit(n) - before).filter("_left > 0"), "sample-ranges")
     near = rows.join(taken, ["_file", "_range"])
     whole = near.filter("_rows <= _left").select(*df.columns)
     rank = F.row_number().over(Window.partitionBy("_file", "_range").orderBy("_h", *key_cols))
@@ -191,8 +192,10 @@ def sample_per_file(df: DataFrame, n: int, key_cols: list[str], file_col: str =
 
 
 def dq_sample_reconcile(sample: DataFrame, kpi: DataFrame, key: list[str], tol: float = 0.01) -> DataFrame:
-    """Per file: sampled rows, rows found in the KPI table, rows with an equal value."""
-    k = kpi.select(*key, F.col("value").alias("kpi_value"))
+    """Per file: sampled rows, rows found in the KPI table, rows with an equal value.
+    The sample is stored, and only the KPI rows of its keys go on to the join."""
+    sample = materialized(sample, "sample")
+    k = kpi.select(*key, F.col("value").alias("kpi_value")).join(sample.select(*key), key, "left_semi")
     j = sample.join(k, key, "left")
     found = F.col("kpi_value").isNotNull() | F.col("value").isNull()
     equal = (F.abs(F.col("value") - F.col("kpi_value")) <= tol) | (F.col("value").isNull() & F.col("kpi_value").isNull())

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from kpiloom.operators import quality as Q
 from kpiloom.plans.oracle_fixtures import ctes
 from kpiloom.sources import fixtures
 from kpiloom.sources.tables import Tables
@@ -52,3 +53,11 @@ def test_filters_on_w_do_not_reach_the_line_items(spark, odd):
     for fixture in (fixtures.wide, fixtures.tiers, fixtures.bands):
         plan = fixture(Tables(spark, odd)).filter(F.regexp_replace("school_code", "0", "") != "")._jdf.queryExecution().optimizedPlan().toString()
         assert "Join" not in plan and "l_suppkey" not in plan
+
+
+def test_reconcile_joins_only_rows_of_sampled_keys(spark):
+    k = spark.range(20000).select(F.col("id").cast("string").alias("key"), F.lit("f").alias("source_file"), F.col("id").cast("double").alias("value"))
+    sample = Q.sample_per_file(k, 5, ["key"])
+    found = Q.dq_sample_reconcile(sample, k, ["key", "source_file"])
+    assert [tuple(r) for r in found.collect()] == [("f", 5, 5, 5)]
+    assert "LeftSemi" in found._jdf.queryExecution().optimizedPlan().toString()
