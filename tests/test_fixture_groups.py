@@ -61,3 +61,10 @@ def test_reconcile_joins_only_rows_of_sampled_keys(spark):
     found = Q.dq_sample_reconcile(sample, k, ["key", "source_file"])
     assert [tuple(r) for r in found.collect()] == [("f", 5, 5, 5)]
     assert "LeftSemi" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_schema_check_covers_all_thirteen_sources():
+    import __spark_entry__ as E
+    from kpiloom.plans.q_analytics import MASTER_SOURCES
+    sql = E.oracle_sql()["kpi_schema_check"]
+    assert len(MASTER_SOURCES) == 13 and all(f"'{name}' AS source" in sql for name in MASTER_SOURCES)
