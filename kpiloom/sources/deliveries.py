@@ -159,8 +159,10 @@ def _plain(path: str) -> str:
 
 
 def _key(path: str) -> Column:
-    """The path that a scan gives (a URI, escaped) as a listing spells it (``_plain``)."""
-    return F.try_url_decode(F.replace(F.regexp_replace(path, "^file:/+", "/"), F.lit("+"), F.lit("%2B")))
+    """The path that a scan gives (a URI, escaped) as a listing spells it (``_plain``).
+    Rows of a path without an escape, which is most, are spared the decoding."""
+    plain = F.regexp_replace(path, "^file:/+", "/")
+    return F.when(F.contains(F.col(path), F.lit("%")), F.try_url_decode(F.replace(plain, F.lit("+"), F.lit("%2B")))).otherwise(plain)
 
 
 def scan(found: Deliveries, multi_line: bool = False) -> DataFrame:
@@ -184,8 +186,11 @@ def scan(found: Deliveries, multi_line: bool = False) -> DataFrame:
     headers = found.table.filter("status = 'ok'").select(F.regexp_replace("path", "^file:/+", "/").alias("_key"), F.col("header").alias("_header"), at.alias("_at"))
     bare = F.regexp_replace("_raw", '"[^"]*"', "")
     n_fields = F.when(F.col("_raw").isNull(), len(places)).otherwise(F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1)
-    fields = F.array(*places)
-    return rows.join(headers, "_key").select(
-        *(F.get(fields, F.get("_at", F.lit(k))).alias(n) for k, n in enumerate(found.names)),
-        F.when(n_fields != F.size("_header"), F.coalesce("_raw", F.concat_ws(",", fields))).alias("_corrupt"),
+    # no header reaches beyond the widest; without the spare fields the parser is told which fields it has
+    # to give, and no row of fewer fields than the schema costs it an exception.  The slice keeps the
+    # optimizer from putting the array of all fields again in the place of every column
+    fields = F.slice(F.array(*places[:found.width]), 1, found.width)
+    corrupt = F.when(n_fields != F.size("_header"), F.coalesce("_raw", F.concat_ws(",", F.array(*places))))
+    return rows.withColumn("_fields", fields).join(headers, "_key").select(
+        *(F.get("_fields", F.get("_at", F.lit(k))).alias(n) for k, n in enumerate(found.names)), corrupt.alias("_corrupt"),
         F.col("_path").alias("_source_path"), F.col("_header").alias("_source_header"))

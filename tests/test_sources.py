@@ -186,3 +186,15 @@ def test_master_follows_the_stored_tables(spark, tmp_path):
     shutil.rmtree(tmp_path / "kpi" / "source=a" / "year=2020")
     gone = update()
     assert gone.removed == [("a", "2020")] and gone.replaced == []
+
+
+def test_fields_of_a_row_are_put_together_once(spark, tmp_path):
+    d = tmp_path / "spaced name"
+    d.mkdir()
+    (d / "a+b.csv").write_text("A,B,C\n1,2,3\n4,5\n")
+    (d / "c.csv").write_text("B,A\n6,7\n8,9,10\n")
+    raw = IO.scan_raw_csv(spark, f"file://{d}/*.csv")
+    plan = raw.select("A", "B", "C")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array(_0") == 1 and "_3#" not in plan.split("array(_0")[1].split("Relation")[0]
+    got = sorted((r["A"], r["B"], r["C"], r["_corrupt"]) for r in raw.collect())
+    assert got == [("1", "2", "3", None), ("4", "5", None, "4,5"), ("7", "6", None, None), ("9", "8", None, "8,9,10")]
