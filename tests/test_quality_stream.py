@@ -128,3 +128,14 @@ def test_pivot_shows_every_group(spark):
     got = heatmap_pivot(kpi, "m", ["All Students", "Absent"])
     assert got.columns[4:] == ["All Students", "Absent", "other_groups"]
     assert [tuple(r)[2:] for r in got.orderBy("school_rank").collect()] == [("b", 1, 3.0, None, {}), ("a", 2, 0.0, None, {"Some New Group": 1.0})]
+
+
+def test_source_coverage_joins_files_not_rows(spark):
+    """However many rows a file has, one row a file goes on to the join; a file without a name counts as one."""
+    from kpiloom.operators.quality import dq_source_coverage
+    inputs = spark.createDataFrame([("a",), ("a",), ("b",), ("c",), (None,)], "source_file string")
+    kpi = spark.createDataFrame([("a", 1), ("a", 2), ("c", 3), (None, 4)], "source_file string, n int")
+    found = dq_source_coverage(inputs, kpi)
+    assert sorted(r[0] or "" for r in found.collect()) == ["", "b"]
+    joined = found._jdf.queryExecution().optimizedPlan().toString().split("Join LeftAnti")[1]
+    assert joined.count("Aggregate [source_file") == 2
