@@ -8,8 +8,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from kpiloom.operators import quality as Q
+from kpiloom.operators.longform import Entry, entries_column, explode_entries
+from kpiloom.plans.dims import W_DIMS
 from kpiloom.plans.oracle_fixtures import ctes
+from kpiloom.plans.q_jobs import JOB_SPECS
+from kpiloom.plans.specs import run_spec
+from kpiloom.session import WRITER_SETTINGS
 from kpiloom.sources import fixtures
+from kpiloom.sources.csv_io import read_kpi, sink_kpi
 from kpiloom.sources.tables import Tables
 
 ROWS = {
@@ -68,3 +74,42 @@ def test_schema_check_covers_all_thirteen_sources():
     from kpiloom.plans.q_analytics import MASTER_SOURCES
     sql = E.oracle_sql()["kpi_schema_check"]
     assert len(MASTER_SOURCES) == 13 and all(f"'{name}' AS source" in sql for name in MASTER_SOURCES)
+
+
+def test_rows_of_a_year_lie_together(spark, odd):
+    """Jobs over W and B then write them year by year without a shuffle of the KPI rows."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for fixture in (fixtures.wide_parts, fixtures.bands):
+            got = fixture(Tables(spark, odd), by_year=True)
+            files = got.select("school_year", F.input_file_name().alias("file")).distinct().groupBy("school_year").count().collect()
+            assert len(files) > 1 and all(n == 1 for _, n in files)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_sink_by_year_stores_the_same_rows(spark, odd, tmp_path):
+    before = {k: spark.conf.get(k, None) for k in WRITER_SETTINGS}
+    w = fixtures.wide_parts(Tables(spark, odd), by_year=True)
+    for job in ("job_suspension", "job_kindergarten", "job_enrollment"):
+        for by_year in (False, True):
+            sink_kpi(run_spec(JOB_SPECS[job][0](), w, W_DIMS), f"file://{tmp_path}/{by_year}", job, by_year=by_year)
+    assert before == {k: spark.conf.get(k, None) for k in WRITER_SETTINGS}
+    stored = [_rows(read_kpi(spark, f"file://{tmp_path}/{by_year}").collect()) for by_year in (False, True)]
+    assert stored[0] and stored[0] == stored[1]
+
+
+def test_emission_does_not_grow_with_the_square_of_the_entries(spark):
+    df = spark.createDataFrame([(1, "N", 1.0), (2, "Y", None)], "id int, suppressed string, a double")
+
+    def emitted(n):
+        entries = [Entry(f"m{i}", F.col("a") + i) for i in range(n)]
+        return explode_entries(df, entries_column(entries, "row", "suppressed", [Entry(f"m{i}", F.lit(None).cast("double"), F.lit(True)) for i in range(n)]), ["id"])
+
+    assert sorted(map(tuple, emitted(2).collect())) == [(1, "m0", 1.0, "N"), (1, "m1", 2.0, "N"), (2, "m0", None, "Y"), (2, "m1", None, "Y")]
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    try:
+        size = {n: emitted(n)._jdf.queryExecution().analyzed().toString().count("coalesce") for n in (8, 32)}
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert size[32] <= 5 * size[8]
